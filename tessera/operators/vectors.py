@@ -4,10 +4,13 @@ and density clusters from epsilon-graph components (C2).
 Exact neighbour search without a cross join: points are assigned to cells
 around sampled pivots (Arrow-batched numpy inside tasks); the triangle
 inequality then gives, for every query, the only cells that can hold a
-neighbour: ``d(q, pivot_c) - radius_c <= bound_q``. Queries are joined to
-the members of those cells by cell id, so the pairs generated are exactly
-the candidates that cannot be ruled out; top-k per query plans as a
-``WindowGroupLimit`` (partial top-k before the shuffle)."""
+neighbour: ``d(q, pivot_c) - radius_c <= bound_q``. Queries meet the
+members of those cells in tiles of bounded size (a hot cell is split into
+blocks on both sides), where numpy computes the block of distances and only
+each query's k best per tile (or the pairs within epsilon) leave the task;
+the final top-k per query plans as a ``WindowGroupLimit`` (partial top-k
+before the shuffle). No pair is ever materialised as a row unless it can
+be part of the answer of its tile."""
 
 from __future__ import annotations
 
@@ -39,14 +42,6 @@ def unit(c) -> F.Column:
     return F.when(norm > 0, F.transform(v, lambda x: x / norm))
 
 
-def _dot(a, b) -> F.Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
-def _sqdist(a, b) -> F.Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-
-
 def _pivots(points: DataFrame, n: int, k_min: int) -> np.ndarray:
     m = min(MAX_PIVOTS, max(k_min + 1, int(math.ceil(math.sqrt(n)))))
     rows = points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(m).select("id", "v").collect()
@@ -97,6 +92,41 @@ def _candidates(points: DataFrame, piv_ids: np.ndarray, piv: np.ndarray, radii:
     return points.mapInPandas(run, "q long, qv array<double>, cell int, bound double")
 
 
+TILE = 2048  # max queries and members per tile
+
+
+def _tile_pairs(k: int | None, metric: str):
+    """Distances of one tile (<= TILE queries x <= TILE members of a cell)
+    in numpy; emits only what can survive: per query its k best, or every
+    pair within the bound."""
+
+    def run(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
+        if len(qs) == 0 or len(xs) == 0:
+            return pd.DataFrame({"src": [], "dst": [], "distance": []})
+        q = np.stack(qs["qv"].to_numpy())
+        x = np.stack(xs["xv"].to_numpy())
+        qid = qs["q"].to_numpy()
+        xid = xs["x"].to_numpy()
+        dot = q @ x.T
+        if metric == "cosine":
+            dist = 1.0 - dot
+            chord = np.sqrt(np.maximum(2.0 * dist, 0.0))
+        else:
+            chord = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * dot, 0.0))
+            dist = chord
+        ok = (chord <= qs["bound"].to_numpy()[:, None] + 1e-12) & (qid[:, None] != xid[None, :])
+        if k is not None and ok.shape[1] > k:
+            masked = np.where(ok, dist, np.inf)
+            idx = np.argpartition(masked, k - 1, axis=1)[:, :k]
+            keep = np.zeros_like(ok)
+            np.put_along_axis(keep, idx, True, axis=1)
+            ok &= keep
+        qi, xi = np.nonzero(ok)
+        return pd.DataFrame({"src": qid[qi], "dst": xid[xi], "distance": dist[qi, xi]})
+
+    return run
+
+
 def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: float | None,
            metric: str) -> DataFrame:
     base = vectors.select(F.col(id_col).cast("long").alias("id"),
@@ -107,21 +137,40 @@ def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: fl
     points = base.persist(StorageLevel.MEMORY_AND_DISK)
     n = points.count()
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "src long, dst long, distance double")
     if n < 2:
-        return empty
+        return spark.createDataFrame([], "src long, dst long, distance double")
     piv_ids, piv = _pivots(points, n, k or 1)
     cells = _assign(points, piv).persist(StorageLevel.MEMORY_AND_DISK)
-    r = {row["cell"]: row["r"] for row in cells.groupBy("cell").agg(F.max("dcell").alias("r")).collect()}
-    radii = np.array([r.get(i, -np.inf) for i in range(len(piv))])
-    cand = _candidates(points, piv_ids, piv, radii, k if eps is None else None, eps)
-    members = cells.select("cell", F.col("id").alias("x"), F.col("v").alias("xv"))
-    j = cand.join(members, "cell").filter(F.col("q") != F.col("x"))
-    d = F.sqrt(F.greatest(_sqdist(F.col("qv"), F.col("xv")), F.lit(0.0)))
-    pairs = j.select(F.col("q").alias("src"), F.col("x").alias("dst"), d.alias("chord"), "bound")
-    pairs = pairs.filter(F.col("chord") <= F.col("bound") + 1e-12)
-    dist = (F.col("chord") * F.col("chord") / 2.0) if metric == "cosine" else F.col("chord")
-    return pairs.select("src", "dst", dist.alias("distance"))
+    per_cell = {r["cell"]: (r["r"], r["n"]) for r in
+                cells.groupBy("cell").agg(F.max("dcell").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
+    radii = np.array([per_cell.get(i, (-np.inf, 0))[0] for i in range(len(piv))])
+    cand = _candidates(points, piv_ids, piv, radii, k if eps is None else None, eps).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    q_per_cell = {r["cell"]: r["n"] for r in cand.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Tiles: a cell's members split into S blocks and its queries into T
+    # blocks; queries are repeated per member block and members per query
+    # block, so no tile holds more than TILE of either side. One row per
+    # cell (bounded by the pivot count) describes the split.
+    plan = spark.createDataFrame(
+        [(c, max(1, math.ceil(nm / TILE)), max(1, math.ceil(q_per_cell.get(c, 0) / TILE)))
+         for c, (_, nm) in per_cell.items()],
+        "cell int, S int, T int",
+    )
+    plan = F.broadcast(plan)
+    qside = cand.join(plan, "cell").select(
+        "q", "qv", "bound", "cell",
+        (F.abs(F.xxhash64("q")) % F.col("T")).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("S") - 1)).alias("sb"),
+    )
+    xside = cells.join(plan, "cell").select(
+        F.col("id").alias("x"), F.col("v").alias("xv"), "cell",
+        (F.abs(F.xxhash64("id")) % F.col("S")).cast("int").alias("sb"),
+        F.explode(F.sequence(F.lit(0), F.col("T") - 1)).alias("qb"),
+    )
+    out = qside.groupBy("cell", "sb", "qb").cogroup(xside.groupBy("cell", "sb", "qb")).applyInPandas(
+        _tile_pairs(k, metric), "src long, dst long, distance double"
+    )
+    return out
 
 
 def knn_join(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: str = "embedding",

@@ -18,7 +18,7 @@ import numpy as np
 # Our own templates, topics and goals (not the reference's).
 SUMMARY_TEMPLATE = (
     "Summarise this repository in under five sentences.\n"
-    "Description: {description}\nREADME: {readme}\nSummary:"
+    "About: {description}\nREADME: {readme}\nSummary:"
 )
 SHORT_SUMMARY_TEMPLATE = "In about twenty words, what is this for?\n{description}\n{readme}\nAnswer:"
 TOPIC_TEMPLATE = "Pick one topic for the project or name a new one.\nSummary: {summary}\nTopics: {topic_list}\nTopic:"
