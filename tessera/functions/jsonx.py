@@ -37,8 +37,11 @@ def goal_score_columns(answer_map, goals: Sequence[Mapping[str, str] | str]) ->
     for g in goals:
         name = g if isinstance(g, str) else g["name"]
         prefix = name.replace(" ", "_").lower()
-        present = F.coalesce(F.map_contains_key(m, F.lit(name)), F.lit(False))
-        value = F.element_at(m, F.lit(name))
+        # Repeated keys keep the last value (as a JSON object load does):
+        # look the goal up among the map entries and take the last match.
+        matches = F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(name))
+        present = F.coalesce(F.size(matches) > 0, F.lit(False))
+        value = F.element_at(matches, -1)["value"]
         score = F.get_json_object(value, "$.score").try_cast("double")
         reason = F.get_json_object(value, "$.reason")
         cols[f"{prefix}_score"] = F.when(present, score).otherwise(F.lit(0.0))
@@ -46,19 +49,9 @@ def goal_score_columns(answer_map, goals: Sequence[Mapping[str, str] | str]) ->
     return cols
 
 
-def goal_long(answer_map, goal_name_col: Column) -> tuple[Column, Column]:
-    """F6 in long form (one row per scored row and goal)."""
-    m = _c(answer_map)
-    present = F.coalesce(F.map_contains_key(m, goal_name_col), F.lit(False))
-    value = F.element_at(m, goal_name_col)
-    score = F.when(present, F.get_json_object(value, "$.score").try_cast("double")).otherwise(F.lit(0.0))
-    reason = F.when(present, F.get_json_object(value, "$.reason")).otherwise(F.lit(GOAL_MISSING_REASON))
-    return score, reason
-
-
 def parse_vector(c) -> Column:
     """list text -> vector; malformed, scalar or ``None`` items -> null."""
     return F.from_json(_c(c), "array<double>")
 
 
-__all__ = ["extract_json", "goal_map", "goal_score_columns", "goal_long", "parse_vector", "slug"]
+__all__ = ["extract_json", "goal_map", "goal_score_columns", "parse_vector", "slug"]

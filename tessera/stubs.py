@@ -61,6 +61,19 @@ class FirstWords:
         return " ".join(tokens(prompt)[: self.n])
 
 
+class Shout:
+    """Echo stub: the prompt in upper case; fails when it contains
+    ``fail_on`` (for error-policy checks)."""
+
+    def __init__(self, fail_on: str | None = None):
+        self.fail_on = fail_on
+
+    def __call__(self, prompt: str) -> str:
+        if self.fail_on and self.fail_on in prompt:
+            raise ValueError(f"stub failure on {self.fail_on!r}")
+        return prompt.upper()
+
+
 def _between(text: str, start: str, end: str) -> str:
     i = text.find(start)
     if i < 0:
@@ -148,6 +161,10 @@ def first_words(n: int = 20, fail_mod: int | None = None):
     return functools.partial(FirstWords, n, fail_mod)
 
 
+def shout(fail_on: str | None = None):
+    return functools.partial(Shout, fail_on)
+
+
 def seed_topic(seeds=tuple(SEED_TOPICS), use_prompt_list: bool = False):
     return functools.partial(SeedTopic, tuple(seeds), use_prompt_list)
 
