@@ -232,9 +232,9 @@ def scan_registry(spark, sf_dir):
         f"""SELECT account, 'doc-' || CAST(doc_id AS VARCHAR) AS name,
   CASE WHEN lang IN ('de', 'fr') THEN 'No description'
        ELSE coalesce(nullif(split_part(text, chr(10), 1), ''), 'No description') END AS description,
-  CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL ELSE n_chars END AS stars,
-  CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL
-       ELSE CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) END AS forks,
+  CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL ELSE n_chars END AS DOUBLE) AS stars,
+  CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL
+       ELSE length(text) - length(replace(text, chr(10), '')) END AS DOUBLE) AS forks,
   CASE WHEN lang = 'de' THEN 'None specified' ELSE lang END AS language,
   CASE WHEN lang = 'es' THEN '' ELSE 'https://example.org/' || account || '/doc-' || CAST(doc_id AS VARCHAR) END AS url,
   CASE WHEN doc_id % 7 = 0 THEN 'README not available' ELSE substr(text, 1, 800) END AS readme_snippet,
@@ -259,7 +259,8 @@ def q_scan(spark, sf_dir):
     rows = scan(scan_registry(spark, sf_dir), standins.listing_responses(spark, sf_dir),
                 standins.readme_responses(spark, sf_dir), stored,
                 scan_time=F.lit(standins.SCAN_STAMP).cast("timestamp"))
-    return rows.withColumns({c: ts(c) for c in ["last_scanned_utc", "created_at", "pushed_at"]})
+    out = rows.withColumns({c: ts(c) for c in ["last_scanned_utc", "created_at", "pushed_at"]})
+    return out.withColumns({c: F.col(c).cast("double") for c in ["stars", "forks"]})
 
 
 @query(

@@ -114,9 +114,9 @@ def q_cap_per_account(spark, sf_dir):
     """SELECT source AS account, 'doc-' || CAST(doc_id AS VARCHAR) AS name,
   CASE WHEN lang IN ('de', 'fr') THEN 'No description'
        ELSE coalesce(nullif(split_part(text, chr(10), 1), ''), 'No description') END AS description,
-  CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL ELSE n_chars END AS stars,
-  CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL
-       ELSE CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) END AS forks,
+  CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL ELSE n_chars END AS DOUBLE) AS stars,
+  CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL
+       ELSE length(text) - length(replace(text, chr(10), '')) END AS DOUBLE) AS forks,
   CASE WHEN lang = 'de' THEN 'None specified' ELSE lang END AS language,
   CASE WHEN lang = 'es' THEN '' ELSE 'https://example.org/' || source || '/doc-' || CAST(doc_id AS VARCHAR) END AS url,
   'README not available' AS readme_snippet,
@@ -128,7 +128,9 @@ FROM documents WHERE n_chars >= 50""",
 def q_to_catalogue(spark, sf_dir):
     items = ingest.explode_listing(standins.listing_responses(spark, sf_dir))
     cat = ingest.project_catalogue(ingest.to_catalogue(items, F.lit(standins.SCAN_STAMP).cast("timestamp")))
-    return cat.withColumns({c: ts(c) for c in ["last_scanned_utc", "created_at", "pushed_at"]})
+    # Nullable counts leave as DOUBLE so both engines hand over the same type.
+    out = cat.withColumns({c: ts(c) for c in ["last_scanned_utc", "created_at", "pushed_at"]})
+    return out.withColumns({c: F.col(c).cast("double") for c in ["stars", "forks"]})
 
 
 @query("truncate_readme", "SELECT source AS account, 'doc-' || CAST(doc_id AS VARCHAR) AS name, substr(text, 1, 800) AS readme_snippet FROM documents")
@@ -380,7 +382,7 @@ def q_map_labels(spark, sf_dir):
     "attach_clusters",
     with_(
         SUMMARISED_SQL + ",\n" + CLUSTERS_SQL,
-        """SELECT s.account, s.name, c.cluster_id AS text_cluster
+        """SELECT s.account, s.name, CAST(c.cluster_id AS DOUBLE) AS text_cluster
 FROM summarised s LEFT JOIN clusters c ON c.vec_id = s.doc_id""",
     ),
 )
@@ -388,7 +390,8 @@ def q_attach_clusters(spark, sf_dir):
     s = summarised(spark, sf_dir, keep_doc_id=True)
     cl = clusters_standin(spark, sf_dir)
     assigned = s.join(cl, s.doc_id == cl.vec_id).select(*KEY, F.col("cluster_id").alias("text_cluster"))
-    return J.attach_clusters(s.select(*KEY), assigned).select(*KEY, "text_cluster")
+    out = J.attach_clusters(s.select(*KEY), assigned)
+    return out.select(*KEY, F.col("text_cluster").cast("double").alias("text_cluster"))
 
 
 def _prompts_values_sql() -> str:
@@ -875,7 +878,7 @@ VEC_TEXT_SQL = """vt AS (
     "parse_vector",
     with_(
         VEC_TEXT_SQL,
-        """SELECT vec_id, CASE WHEN kind = 'ok' THEN len(embedding) END AS dims,
+        """SELECT vec_id, CAST(CASE WHEN kind = 'ok' THEN len(embedding) END AS DOUBLE) AS dims,
   CASE WHEN kind = 'ok' THEN round(CAST(embedding[1] AS DOUBLE), 4) END AS first,
   CASE WHEN kind = 'ok' THEN round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 4) END AS norm2
 FROM vt""",
@@ -892,7 +895,7 @@ def q_parse_vector(spark, sf_dir):
     p = v.select("vec_id", jsonx.parse_vector(text).alias("vec"))
     return p.select(
         "vec_id",
-        F.when(F.col("vec").isNotNull(), F.size("vec")).alias("dims"),
+        F.when(F.col("vec").isNotNull(), F.size("vec")).cast("double").alias("dims"),
         F.round(F.get("vec", 0), 4).alias("first"),
         F.round(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x), 4).alias("norm2"),
     )
