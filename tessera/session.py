@@ -46,6 +46,10 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_tessera_shipped", False):
         return
+    if not sc.master.startswith("local"):
+        # On a cluster the deployment ships the package (--py-files).
+        sc._tessera_shipped = True
+        return
     try:
         out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")
         archive = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", _REPO_DIR, "tessera")
@@ -64,7 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
+        conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")  # local tests only
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 

@@ -10,7 +10,16 @@ from pyspark.sql import types as T
 from tessera.schemas import CATALOGUE
 from tessera.sources.ingest import project_catalogue
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# Cells keep their white space: Spark's CSV writer trims by default.
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_catalogue_csv(spark: SparkSession, path: str, schema: T.StructType = CATALOGUE) -> DataFrame:
