@@ -188,28 +188,35 @@ def epsilon_join(vectors: DataFrame, eps: float, id_col: str = "vec_id", vec_col
     return _pairs(vectors, id_col, vec_col, None, eps, metric)
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def connected_components(vertices: DataFrame | None, edges: DataFrame, max_rounds: int | None = None,
+                         init: DataFrame | None = None) -> DataFrame:
     """Smallest member id per component by min-label propagation with a
     pointer-jumping step each round; each round is checkpointed (reliable
-    storage) and the loop ends when no label changes."""
-    labels = cut_lineage(vertices.select(F.col("id"), F.col("id").alias("label")).distinct())
+    storage) and the loop ends when no label changes. ``init`` (id, label)
+    starts from the components of a sub-graph (labels must be member ids)."""
+    if init is not None:
+        labels = cut_lineage(init.select("id", "label"))
+    else:
+        labels = cut_lineage(vertices.select(F.col("id"), F.col("id").alias("label")).distinct())
     # Edges are read every round: materialise them once.
     e = cut_lineage(edges.select("src", "dst"))
     rounds = 0
     while True:
         rounds += 1
         prop = e.join(labels.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), "label")
-        step = cut_lineage(labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label")))
+        step = labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label")).persist(
+            StorageLevel.MEMORY_AND_DISK)
         # Pointer jumping: adopt the label of one's label.
         via = step.select(F.col("id").alias("via_id"), F.col("label").alias("via_label"))
         hop = step.join(via, step["label"] == via["via_id"], "left").select(
             "id", F.least(F.col("label"), F.coalesce(F.col("via_label"), F.col("label"))).alias("label")
         )
-        new = cut_lineage(hop)
         old = labels.select("id", F.col("label").alias("old_label"))
-        changed = new.join(old, "id").filter(F.col("label") != F.col("old_label")).limit(1).count()
-        labels = new
-        if changed == 0 or (max_rounds is not None and rounds >= max_rounds):
+        # One reliable checkpoint per round, carrying the change flag.
+        new = cut_lineage(hop.join(old, "id").select("id", "label", (F.col("label") != F.col("old_label")).alias("moved")))
+        step.unpersist()
+        labels = new.select("id", "label")
+        if new.filter(F.col("moved")).limit(1).count() == 0 or (max_rounds is not None and rounds >= max_rounds):
             return labels
 
 
@@ -244,3 +251,19 @@ def reduce_dims(df: DataFrame, k: int = 10, vec_col: str = "embedding", out_col:
     dims = len(v.select("__v").first()["__v"])
     model = PCA(k=min(k, dims), inputCol="__n", outputCol="__p").fit(v)
     return model.transform(v).withColumn(out_col, vector_to_array("__p")).drop("__v", "__n", "__p")
+
+
+def density_hierarchy(vectors: DataFrame, min_size: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
+                      metric: str = "euclidean", k: int = 15, n_levels: int = 12) -> DataFrame:
+    """C2, hierarchical: single linkage over the k-nearest-neighbour graph
+    (bounded: k edges per point, both directions), levels at quantiles of
+    its edge lengths, clusters chosen by excess of mass. Returns
+    (id_col, cluster_id)."""
+    from tessera.operators.density import hierarchy_clusters, level_ladder
+
+    nn = knn_join(vectors, k, id_col, vec_col, metric).select("src", "dst", "distance")
+    edges = cut_lineage(nn.unionByName(nn.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "distance")))
+    ids = vectors.select(F.col(id_col).cast("long").alias("id"))
+    levels = level_ladder(edges, n_levels)
+    out = hierarchy_clusters(ids, edges, levels, min_size)
+    return out.select(F.col("id").alias(id_col), "cluster_id")

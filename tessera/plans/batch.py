@@ -12,9 +12,9 @@ from tessera.operators.aggregates import final_topics
 from tessera.operators.filters import normalise_columns, pending_embeddings
 from tessera.operators.inference import embed
 from tessera.operators.joins import assign_topic, map_labels
-from tessera.operators.vectors import default_eps, density_clusters, reduce_dims
+from tessera.operators.vectors import density_clusters, density_hierarchy, reduce_dims
 from tessera.plans.classify import label_clusters
-from tessera.schemas import EMBED_BATCH, KEY, MIN_CLUSTER_SIZE, REDUCED_DIMS, UNCATEGORIZED
+from tessera.schemas import EMBED_BATCH, KEY, KNN_K, MIN_CLUSTER_SIZE, REDUCED_DIMS, UNCATEGORIZED
 from tessera.session import cut_lineage
 
 
@@ -55,8 +55,10 @@ def classify_batch(df: DataFrame, embed_factory, label_factory, label_template:
         return rows.drop("__id").withColumn("topic", F.lit(UNCATEGORIZED)), unc
     reduced = cut_lineage(reduce_dims(with_vec, dims, "embedding", "reduced"))
     if eps is None:
-        eps = default_eps(reduced, min_size, "__id", "reduced", "euclidean")
-    clusters = density_clusters(reduced, eps, min_size, "__id", "reduced", "euclidean")
+        # Hierarchical clusters over the 15-neighbour graph (bounded edges).
+        clusters = density_hierarchy(reduced, min_size, "__id", "reduced", "euclidean", k=KNN_K)
+    else:
+        clusters = density_clusters(reduced, eps, min_size, "__id", "reduced", "euclidean")
     clustered = reduced.join(clusters, "__id").select(*KEY, text_col, "cluster_id")
     labels = label_clusters(clustered, label_template, label_factory, text_col=text_col, n=min_size)
     topics = map_labels(clustered.select(*KEY, "cluster_id"), labels)

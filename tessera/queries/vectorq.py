@@ -55,6 +55,13 @@ def q_density_clusters(spark, sf_dir):
     return V.density_clusters(standins.vectors(spark, sf_dir), EPS, 5)
 
 
+@query("density_hierarchy")
+def q_density_hierarchy(spark, sf_dir):
+    """C2, hierarchical (excess of mass over nested levels of the
+    15-neighbour graph); checked against brute force in pytest."""
+    return V.density_hierarchy(standins.vectors(spark, sf_dir), 5, metric="cosine", k=15)
+
+
 @query("reduce_dims")
 def q_reduce_dims(spark, sf_dir):
     r = V.reduce_dims(standins.vectors(spark, sf_dir), 10)

@@ -83,6 +83,12 @@ def shared_path(spark: SparkSession, kind: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never localCheckpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read it
+    back: survives executor loss (never ``localCheckpoint``), and the plan
+    restarts from a file scan. (A ``checkpoint()`` keeps its origin plan
+    for statistics, and in loops the optimizer's work on those nested
+    plans grows with every round.)"""
+    spark = df.sparkSession
+    path = shared_path(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
