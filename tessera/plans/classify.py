@@ -39,7 +39,7 @@ def order_key(df: DataFrame, sort_by: str | None = "created_at") -> F.Column:
 
 def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[str],
                         waves: Sequence[int] = DEFAULT_WAVES, sort_by: str | None = "created_at",
-                        rel_err: float = 0.0) -> tuple[DataFrame, list[str]]:
+                        rel_err: float = 0.001) -> tuple[DataFrame, list[str]]:
     """M6: a topic per row, chosen from (or added to) a growing vocabulary.
 
     Rows are split into consecutive waves along the processing order by
