@@ -15,8 +15,9 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, PCA
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ MAX_FEATURES = 1000
 K_MAX = 15
 DEFAULT_K = 5
 KMEANS_SEED = 42
+MAX_DRIVER_VOCAB = 262_144
 
 
 @dataclass
@@ -78,7 +80,12 @@ def tfidf(df: DataFrame, text_col: str, keys: Sequence[str], stop_words: Iterabl
     kept = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     if max_features is not None:
         kept = kept.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
-    # Bounded by max_features: the vocabulary is driver-sized by design.
+    else:
+        size = kept.count()
+        if size > MAX_DRIVER_VOCAB:
+            raise ValueError(f"vocabulary of {size} terms exceeds {MAX_DRIVER_VOCAB}; set max_features")
+    # Bounded by max_features (or the check above): the vocabulary is
+    # driver-sized by design, as in Spark ML's own CountVectorizer.
     rows = sorted((r["term"], r["df"]) for r in kept.collect())
     vocab = [t for t, _ in rows]
     idf = [math.log((1.0 + n_docs) / (1.0 + d)) + 1.0 for _, d in rows]
@@ -137,14 +144,17 @@ def centers_long(spark, model) -> DataFrame:
 
 
 def pca_2d(vectors: DataFrame, keys: Sequence[str], col: str = "features") -> DataFrame:
-    """Centred projection to two dimensions (Spark's PCA does not
-    centre, so a mean-only StandardScaler runs first); skipped below two
-    rows or features."""
+    """Centred projection to two dimensions, skipped below two rows.
+
+    Spark's PCA fit centres the data when it forms the covariance, but its
+    transform does not; so the sparse vectors are projected as they are and
+    the projected column mean (two numbers) is subtracted. No row is ever
+    densified to the vocabulary width."""
     n = vectors.count()
     if n < 2:
         return vectors.select(*keys, F.lit(None).cast("double").alias("pc1"), F.lit(None).cast("double").alias("pc2"))
-    dense = vectors.withColumn("__d", array_to_vector(vector_to_array(col)))
-    centred = StandardScaler(withMean=True, withStd=False, inputCol="__d", outputCol="__c").fit(dense).transform(dense)
-    pca = PCA(k=2, inputCol="__c", outputCol="__p").fit(centred)
-    out = pca.transform(centred).withColumn("__a", vector_to_array("__p"))
-    return out.select(*keys, F.col("__a")[0].alias("pc1"), F.col("__a")[1].alias("pc2"))
+    model = PCA(k=2, inputCol=col, outputCol="__p").fit(vectors)
+    mean = vectors.select(Summarizer.mean(F.col(col)).alias("m")).first()["m"].toArray()
+    shift = mean @ model.pc.toArray()  # (vocabulary,) x (vocabulary, 2)
+    out = model.transform(vectors).withColumn("__a", vector_to_array("__p"))
+    return out.select(*keys, (F.col("__a")[0] - float(shift[0])).alias("pc1"), (F.col("__a")[1] - float(shift[1])).alias("pc2"))
