@@ -69,9 +69,9 @@ def tfidf(df: DataFrame, text_col: str, keys: Sequence[str], stop_words: Iterabl
     (P15)."""
     keys = list(keys)
     toks = df.select(*keys, clean_tokens(text_col, stop_words).alias("tokens")).filter(F.size("tokens") > 0)
-    # Documents are hash-partitioned once; the per-document counts and the
-    # per-document norm reuse that partitioning.
-    toks = toks.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    # No repartition by key: copies of a hot key would land in one task.
+    # The (doc, term) and term aggregations combine map-side instead.
+    toks = toks.persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = toks.count()
     tf = toks.select(*keys, F.explode("tokens").alias("term")).groupBy(*keys, "term").agg(
         F.count(F.lit(1)).alias("tf")

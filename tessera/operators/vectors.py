@@ -95,10 +95,29 @@ def _candidates(points: DataFrame, piv_ids: np.ndarray, piv: np.ndarray, radii:
 TILE = 2048  # max queries and members per tile
 
 
-def _tile_pairs(k: int | None, metric: str):
+def _star_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest id of its component) of the graph given by the
+    pairs: the same connectivity with at most one edge per node."""
+    nodes, inv = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    a, b = inv[: len(src)], inv[len(src):]
+    label = np.arange(len(nodes))
+    while True:
+        before = label.copy()
+        m = np.minimum(label[a], label[b])
+        np.minimum.at(label, a, m)
+        np.minimum.at(label, b, m)
+        label = label[label]  # pointer jumping
+        if np.array_equal(label, before):
+            break
+    keep = label != np.arange(len(nodes))
+    return nodes[keep], nodes[label[keep]]
+
+
+def _tile_pairs(k: int | None, metric: str, forest: bool = False):
     """Distances of one tile (<= TILE queries x <= TILE members of a cell)
     in numpy; emits only what can survive: per query its k best, or every
-    pair within the bound."""
+    pair within the bound, or (``forest``) a star forest of the pairs within
+    the bound, which keeps the tile's connectivity with one edge per node."""
 
     def run(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         if len(qs) == 0 or len(xs) == 0:
@@ -122,13 +141,16 @@ def _tile_pairs(k: int | None, metric: str):
             np.put_along_axis(keep, idx, True, axis=1)
             ok &= keep
         qi, xi = np.nonzero(ok)
+        if forest:
+            a, b = _star_forest(qid[qi], xid[xi])
+            return pd.DataFrame({"src": a, "dst": b, "distance": np.zeros(len(a))})
         return pd.DataFrame({"src": qid[qi], "dst": xid[xi], "distance": dist[qi, xi]})
 
     return run
 
 
 def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: float | None,
-           metric: str) -> DataFrame:
+           metric: str, forest: bool = False) -> DataFrame:
     base = vectors.select(F.col(id_col).cast("long").alias("id"),
                           (unit(vec_col) if metric == "cosine" else as_double_array(vec_col)).alias("v"))
     base = base.filter(F.col("v").isNotNull())
@@ -168,7 +190,7 @@ def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: fl
         F.explode(F.sequence(F.lit(0), F.col("T") - 1)).alias("qb"),
     )
     out = qside.groupBy("cell", "sb", "qb").cogroup(xside.groupBy("cell", "sb", "qb")).applyInPandas(
-        _tile_pairs(k, metric), "src long, dst long, distance double"
+        _tile_pairs(k, metric, forest), "src long, dst long, distance double"
     )
     return out
 
@@ -220,13 +242,21 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
             return labels
 
 
+def epsilon_forest(vectors: DataFrame, eps: float, id_col: str = "vec_id", vec_col: str = "embedding",
+                   metric: str = "cosine") -> DataFrame:
+    """Edges with the connectivity of the eps-graph but at most one per
+    node and tile (a dense group of m points gives m - 1 edges, not m^2)."""
+    e = _pairs(vectors, id_col, vec_col, None, eps, metric, forest=True).select("src", "dst")
+    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
 def density_clusters(vectors: DataFrame, eps: float, min_size: int = 5, id_col: str = "vec_id",
                      vec_col: str = "embedding", metric: str = "cosine") -> DataFrame:
     """C2 at a fixed level: components of the eps-graph (single linkage cut
     at eps, which is what density clustering with one minimum sample gives
     at that level); components smaller than ``min_size`` are outliers (-1).
     Cluster id = smallest member id. Returns (id_col, cluster_id)."""
-    edges = epsilon_join(vectors, eps, id_col, vec_col, metric)
+    edges = epsilon_forest(vectors, eps, id_col, vec_col, metric)
     verts = vectors.select(F.col(id_col).cast("long").alias("id"))
     comp = connected_components(verts, edges)
     sizes = comp.groupBy("label").agg(F.count(F.lit(1)).alias("size"))

@@ -73,3 +73,27 @@ def test_reduce_dims(spark):
     pts, _ = planted()
     out = V.reduce_dims(frame(spark, pts), 10).collect()
     assert len(out) == len(pts) and all(len(r["reduced"]) == 10 for r in out)
+
+
+def test_star_forest_keeps_connectivity():
+    rng = np.random.default_rng(4)
+    src = rng.integers(0, 40, 120)
+    dst = rng.integers(0, 40, 120)
+    a, b = V._star_forest(src, dst)
+
+    def comps(s, d):
+        parent = {}
+
+        def find(x):
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for u, v in zip(s, d):
+            parent[find(u)] = find(v)
+        nodes = set(s) | set(d)
+        return {frozenset(n for n in nodes if find(n) == find(m)) for m in nodes}
+
+    assert comps(list(src), list(dst)) == comps(list(a), list(b)) | {frozenset([n]) for n in set(src) | set(dst) if n not in set(a) | set(b)}
+    assert len(a) < len(set(src) | set(dst))
