@@ -24,11 +24,12 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, null_count)")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 10000) -> DataFrame:
     """A3: count, mean, sample std, min, quartiles, max per column, one row
-    per column. ``exact`` uses interpolated percentiles, whose buffer is one
-    counter per distinct value (fine for counts such as stars); otherwise
-    ``percentile_approx`` with fixed memory."""
+    per column. Default quartiles come from ``percentile_approx`` (fixed
+    memory at any scale). ``exact=True`` gives the reference's interpolated
+    quartiles; its buffer holds one counter per distinct value, so use it
+    for columns with a bounded set of values (counts such as stars)."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

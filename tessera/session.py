@@ -14,6 +14,15 @@ _PKG_DIR = os.path.dirname(os.path.abspath(__file__))
 _REPO_DIR = os.path.dirname(_PKG_DIR)
 
 
+def _driver_memory() -> str:
+    """Local mode: three quarters of the machine's memory, at most 16g."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, int(total * 0.75 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """Session for tests and benches. On a cluster the caller builds the
     session; everything else in the package only reads its settings."""
@@ -31,7 +40,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", _driver_memory())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
