@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from tessera.operators.joins import attach_readme, new_items
 from tessera.schemas import LISTING_PAGE
 from tessera.sources.catalogue import append_catalogue
-from tessera.sources.ingest import account_names, cap_per_account, explode_listing, project_catalogue, to_catalogue
+from tessera.sources.ingest import (
+    account_names,
+    cap_per_account,
+    explode_listing,
+    only_objects,
+    project_catalogue,
+    to_catalogue,
+)
 
 
 def scan(registry: DataFrame, responses: DataFrame, readmes: DataFrame, catalogue: DataFrame | None,
@@ -21,7 +28,7 @@ def scan(registry: DataFrame, responses: DataFrame, readmes: DataFrame, catalogu
     """E1 = S1 P1 J2 S2 S3 P2 (P4) J1 J3 (P3); returns the rows to append."""
     accounts = account_names(registry, allow)
     listed = responses.join(accounts, "account", "left_semi")
-    items = cap_per_account(explode_listing(listed), page)
+    items = only_objects(cap_per_account(explode_listing(listed, objects_only=False), page))
     rows = to_catalogue(items, scan_time)
     if catalogue is not None:
         rows = new_items(rows, catalogue, order=("page", "pos"))

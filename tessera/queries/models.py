@@ -215,7 +215,12 @@ SCAN_SQL = """listing AS (
   SELECT source AS account, doc_id // 100 AS page, doc_id, n_chars, lang, text,
          row_number() OVER (PARTITION BY source, doc_id // 100 ORDER BY doc_id) - 1 AS pos
   FROM documents),
-capped AS (SELECT * FROM listing QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100)"""
+all_items AS (
+  SELECT account, page, pos, doc_id, n_chars, lang, text FROM listing
+  UNION ALL
+  SELECT account, page, count(*) AS pos, NULL, NULL, NULL, NULL FROM listing GROUP BY account, page),
+capped AS (SELECT * FROM all_items
+           QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100 AND doc_id IS NOT NULL)"""
 
 
 def scan_registry(spark, sf_dir):

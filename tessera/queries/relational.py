@@ -95,17 +95,27 @@ def q_read_listing(spark, sf_dir):
     return items.select("account", "page", "pos", F.get_json_object("item", "$.name").alias("item_name"))
 
 
+# Every page also holds one non-object item after its documents; the page
+# cap counts it.
+ALL_ITEMS_SQL = LISTING_SQL + """,
+all_items AS (
+  SELECT account, page, pos, item_name, true AS is_object FROM listing
+  UNION ALL
+  SELECT account, page, CAST(count(*) AS INTEGER) AS pos, NULL AS item_name, false AS is_object
+  FROM listing GROUP BY account, page)"""
+
+
 @query(
     "cap_per_account",
     with_(
-        LISTING_SQL,
-        """SELECT account, page, pos, item_name FROM listing
-QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100""",
+        ALL_ITEMS_SQL,
+        """SELECT account, page, pos, item_name FROM all_items
+QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100 AND is_object""",
     ),
 )
 def q_cap_per_account(spark, sf_dir):
-    items = ingest.explode_listing(standins.listing_responses(spark, sf_dir))
-    capped = ingest.cap_per_account(items, 100)
+    items = ingest.explode_listing(standins.listing_responses(spark, sf_dir), objects_only=False)
+    capped = ingest.only_objects(ingest.cap_per_account(items, 100))
     return capped.select("account", "page", "pos", F.get_json_object("item", "$.name").alias("item_name"))
 
 

@@ -42,12 +42,17 @@ def account_names(registry: DataFrame, allow: DataFrame | Sequence[str] | None =
     return flatten_registry(registry, allow).select("account").distinct()
 
 
-def explode_listing(responses: DataFrame) -> DataFrame:
+def explode_listing(responses: DataFrame, objects_only: bool = True) -> DataFrame:
     """Landed listing responses ``(account, page, body)`` -> one row per
-    item with its position. Non-object items are skipped."""
+    item with its position. Non-object items are skipped (keep them with
+    ``objects_only=False`` when a page cap must count them, as S3 does)."""
     items = responses.select(
         "account", "page", F.posexplode(F.from_json("body", "array<string>")).alias("pos", "item")
     )
+    return only_objects(items) if objects_only else items
+
+
+def only_objects(items: DataFrame) -> DataFrame:
     return items.filter(F.from_json("item", "map<string,string>").isNotNull())
 
 
@@ -58,8 +63,9 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def cap_per_account(items: DataFrame, n: int | None = LISTING_PAGE) -> DataFrame:
-    """S3: keep only the first n items per account (one page). ``None``
-    keeps all. The top-n window runs a partial limit before the shuffle."""
+    """S3: keep only the first n items per account (one page), counting
+    every item of the page, objects or not. ``None`` keeps all. The top-n
+    window runs a partial limit before the shuffle."""
     if n is None:
         return items
     w = Window.partitionBy("account").orderBy("page", "pos")
