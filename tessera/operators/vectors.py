@@ -81,6 +81,8 @@ def _candidates(points: DataFrame, piv_ids: np.ndarray, piv: np.ndarray, radii:
             d = _pivot_dists(b["v"], piv)
             if eps is not None:
                 bound = np.full(len(b), eps)
+            elif len(piv_ids) - 1 < k:
+                bound = np.full(len(b), np.inf)  # fewer points than k + 1: search everything
             else:
                 dd = np.where(piv_ids[None, :] == b["id"].to_numpy()[:, None], np.inf, d)
                 bound = np.partition(dd, k - 1, axis=1)[:, k - 1]

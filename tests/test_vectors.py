@@ -97,3 +97,9 @@ def test_star_forest_keeps_connectivity():
 
     assert comps(list(src), list(dst)) == comps(list(a), list(b)) | {frozenset([n]) for n in set(src) | set(dst) if n not in set(a) | set(b)}
     assert len(a) < len(set(src) | set(dst))
+
+
+def test_knn_with_fewer_points_than_k(spark):
+    pts = np.random.default_rng(9).standard_normal((6, 4))
+    got = V.knn_join(frame(spark, pts), 15, metric="euclidean").collect()
+    assert len(got) == 6 * 5 and {r["rank"] for r in got} == set(range(1, 6))
