@@ -35,12 +35,37 @@ from tessera.session import cut_lineage
 
 
 def nested_components(ids: DataFrame, edges: DataFrame, levels: Sequence[float]) -> DataFrame:
-    """(id, level, label) for levels 1..L (ascending distances)."""
-    labels = ids.select(F.col("id"), F.col("id").alias("label"))
-    e = cut_lineage(edges.select("src", "dst", "distance"))
-    out = None
+    """(id, level, label) for levels 1..L (ascending distances).
+
+    Each edge is bucketed once by the first level that admits it. Level i
+    contracts only its new edges onto the components of level i - 1 (edges
+    inside one component disappear), merges components on that contracted
+    graph and relabels: the edge work over all levels is one pass."""
+    levels = sorted(levels)
+    bucket = None
     for i, eps in enumerate(levels, start=1):
-        labels = connected_components(None, e.filter(F.col("distance") <= eps), init=labels)
+        cond = F.col("distance") <= eps
+        bucket = F.when(cond, F.lit(i)) if bucket is None else bucket.when(cond, F.lit(i))
+    e = cut_lineage(edges.select("src", "dst", bucket.alias("bucket")).filter(F.col("bucket").isNotNull()))
+    labels = cut_lineage(ids.select(F.col("id"), F.col("id").alias("label")).distinct())
+    out = None
+    for i in range(1, len(levels) + 1):
+        new = e.filter(F.col("bucket") == i)
+        ls = labels.select(F.col("id").alias("src"), F.col("label").alias("ls"))
+        ld = labels.select(F.col("id").alias("dst"), F.col("label").alias("ld"))
+        ce = (
+            new.join(ls, "src").join(ld, "dst")
+            .filter(F.col("ls") != F.col("ld"))
+            .select(F.col("ls").alias("src"), F.col("ld").alias("dst"))
+            .distinct()
+        )
+        if not ce.isEmpty():
+            both = ce.unionByName(ce.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+            verts = both.select(F.col("src").alias("id")).distinct()
+            merged = connected_components(verts, both).select(F.col("id").alias("label"), F.col("label").alias("merged"))
+            labels = cut_lineage(
+                labels.join(merged, "label", "left").select("id", F.coalesce("merged", "label").alias("label"))
+            )
         lvl = labels.select("id", F.lit(i).alias("level"), "label")
         out = lvl if out is None else out.unionByName(lvl)
     return cut_lineage(out)
