@@ -219,11 +219,15 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
     storage) and the loop ends when no label changes. ``init`` (id, label)
     starts from the components of a sub-graph (labels must be member ids)."""
     if init is not None:
-        labels = cut_lineage(init.select("id", "label"))
+        labels = init.select("id", "label")
     else:
-        labels = cut_lineage(vertices.select(F.col("id"), F.col("id").alias("label")).distinct())
-    # Edges are read every round: materialise them once.
-    e = cut_lineage(edges.select("src", "dst"))
+        labels = vertices.select(F.col("id"), F.col("id").alias("label")).distinct()
+    # Starting labels and edges are read in every round: keep them (their
+    # lineage is short, so a lost executor just recomputes them); each
+    # round's labels are written as a table below.
+    labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
+    e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
+    first = labels
     rounds = 0
     while True:
         rounds += 1
@@ -241,6 +245,8 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
         step.unpersist()
         labels = new.select("id", "label")
         if new.filter(F.col("moved")).limit(1).count() == 0 or (max_rounds is not None and rounds >= max_rounds):
+            first.unpersist()
+            e.unpersist()
             return labels
 
 
