@@ -1,7 +1,5 @@
 """Scalar functions on hand-made edge rows (FIXTURES part 1)."""
 
-from pyspark.sql import functions as F
-
 from tessera.functions import jsonx, prompts
 from tessera.functions import text as tx
 from tessera.schemas import GOAL_MISSING_REASON

@@ -1,8 +1,6 @@
 """Sources, catalogue projection and joins on hand-made rows."""
 
 import json
-import os
-import tempfile
 
 from pyspark.sql import functions as F
 
@@ -47,6 +45,13 @@ def test_cap_per_account(spark):
     assert ingest.cap_per_account(ex, None).count() == 9
 
 
+def test_page_cap_counts_non_objects(spark):
+    items = [{"name": "a"}, "junk", {"name": "b"}, 5, {"name": "c"}]
+    ex = ingest.explode_listing(responses(spark, [("acc", items)]), objects_only=False)
+    kept = ingest.only_objects(ingest.cap_per_account(ex, 3))
+    assert sorted(r["pos"] for r in kept.collect()) == [0, 2]
+
+
 def test_registry_flatten_and_allow(spark, tmp_path):
     path = str(tmp_path / "reg.json")
     with open(path, "w") as f:
