@@ -14,7 +14,8 @@ def seed_topics(spark, topics: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(t, i) for i, t in enumerate(topics)], "topic string, rank int")
 
 
-def extend_vocabulary(seeds: DataFrame, found: DataFrame, order_col: str = "seen_at") -> DataFrame:
+def extend_vocabulary(seeds: DataFrame, found: DataFrame, order_col: str = "seen_at",
+                      offset: int | None = None) -> DataFrame:
     """Seed topics in their order, then new topics by first appearance.
 
     ``seeds``: (topic, rank) with ranks 0..s-1; ``found``: (topic,
@@ -23,7 +24,8 @@ def extend_vocabulary(seeds: DataFrame, found: DataFrame, order_col: str = "seen
     one row per task. The vocabulary is small by nature (it is handed to
     every model call), so ranking the new topics in one ordered window is
     bounded by the vocabulary, not by the rows."""
-    offset = seeds.count()
+    if offset is None:  # number of seed topics, when the caller does not know it
+        offset = seeds.count()
     new = (
         found.filter(F.col("topic").isNotNull())
         .join(seeds.select("topic"), "topic", "left_anti")

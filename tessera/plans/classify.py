@@ -80,7 +80,8 @@ def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[
         prompt = render_topic_prompt(template, "summary", vocab_list)
         answered = cut_lineage(predict_text(wave, prompt, factory, out_col="topic", on_error="raise"))
         parts.append(answered)
-        vocab = extend_vocabulary(vocab, answered.select("topic", F.col("__ord").alias("seen_at")))
+        vocab = extend_vocabulary(vocab, answered.select("topic", F.col("__ord").alias("seen_at")),
+                                  offset=len(vocab_list))
         vocab_list = [r["topic"] for r in vocab.orderBy("rank").collect()]
     out = parts[0]
     for p in parts[1:]:
