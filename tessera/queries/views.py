@@ -105,7 +105,7 @@ def _docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.join(lab, "doc_id", "left")
 
 
-def summarised(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> DataFrame:
+def summarised(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False, keep_labels: bool = False) -> DataFrame:
     """Catalogue after a summary run: short texts were never summarised
     (null), toxic-labelled rows failed (error sentinel), the rest hold the
     first-words stub summary of their README."""
@@ -115,7 +115,9 @@ def summarised(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> D
         .when(F.col("toxic") == 1, F.lit(SUMMARY_ERROR))
         .otherwise(first_words(F.col("readme")))
     )
-    out = j.withColumn("summary", summary).drop("quality", "toxic")
+    out = j.withColumn("summary", summary)
+    if not keep_labels:
+        out = out.drop("quality", "toxic")
     return out if keep_doc_id else out.drop("doc_id")
 
 
@@ -140,13 +142,10 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 def goal_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summarised rows with goal columns parsed from the stand-in answers;
     rows that are not scorable keep null scores (P9)."""
-    s = summarised(spark, sf_dir)
-    ans = standins.goal_answers(spark, sf_dir, GOAL_NAMES)
-    j = s.join(ans, ["account", "name"], "left")
-    m = goal_map(extract_json(F.col("answer")))
+    s = summarised(spark, sf_dir, keep_labels=True)
+    base = [c for c in s.columns if c not in ("quality", "toxic")]
+    # The answer comes from the same row (one scan, no join back by key).
+    m = goal_map(extract_json(standins.goal_answer_text(GOAL_NAMES, "language")))
     cols = goal_score_columns(m, GOAL_NAMES)
     ok = scorable("summary")
-    return j.select(
-        *[c for c in s.columns],
-        *[F.when(ok, c).alias(name) for name, c in cols.items()],
-    )
+    return s.select(*base, *[F.when(ok, c).alias(name) for name, c in cols.items()])

@@ -123,13 +123,11 @@ def readme_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def goal_answers(spark: SparkSession, sf_dir: str, goal_names: list[str]) -> DataFrame:
-    """Free-text model answers: noise + JSON + noise. Labelled rows answer
-    the first two goals from (quality, toxic); the third goal value is not
-    an object for toxic rows; unlabelled rows answer nothing parseable."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    lab = table(spark, sf_dir, "labels")
-    j = d.join(lab, "doc_id", "left")
+def goal_answer_text(goal_names: list[str], lang_col: str = "lang") -> F.Column:
+    """Free-text model answer built from the row's ``quality``, ``toxic``
+    and ``lang``: noise + JSON + noise. Labelled rows answer the first two
+    goals; the third goal value is not an object for toxic rows; unlabelled
+    rows answer nothing parseable."""
     g0, g1, g2 = goal_names[0], goal_names[1], goal_names[2]
     obj = F.concat(
         F.lit('{"' + g0 + '": {"score": '), (F.col("quality") * 5).cast("string"),
@@ -139,14 +137,21 @@ def goal_answers(spark: SparkSession, sf_dir: str, goal_names: list[str]) -> Dat
         F.when(F.col("toxic") == 1, F.lit('"n/a"')).otherwise(F.lit('{"score": 2.5, "reason": "half"}')),
         F.lit("}"),
     )
-    text = F.when(
+    return F.when(
         F.col("quality").isNull(),
-        F.concat(F.lit("I could not evaluate "), F.col("lang"), F.lit(".")),
+        F.concat(F.lit("I could not evaluate "), F.col(lang_col), F.lit(".")),
     ).otherwise(F.concat(F.lit("Here is the evaluation: "), obj, F.lit(" Hope this helps.")))
+
+
+def goal_answers(spark: SparkSession, sf_dir: str, goal_names: list[str]) -> DataFrame:
+    """Answers per document (see :func:`goal_answer_text`)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    lab = table(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id", "left")
     return j.select(
         F.col("source").alias("account"),
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
-        text.alias("answer"),
+        goal_answer_text(goal_names).alias("answer"),
     )
 
 
