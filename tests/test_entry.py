@@ -28,3 +28,11 @@ def test_sample_queries_match_oracle(spark, sf_dir):
         o = con.execute(entry.oracle_sql()[name]).df()
         assert sorted(s.columns) == sorted(o.columns), name
         assert len(s) == len(o), name
+
+
+def test_every_oracle_runs_in_duckdb(sf_dir):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for name, sql in entry.oracle_sql().items():
+        con.execute(sql).fetchall()
