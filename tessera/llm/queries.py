@@ -7,9 +7,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.bpe import bpe_digests
 from tessera.llm.common import documents
+from tessera.llm.exact_dedup import copy_groups
+from tessera.llm.fingerprints import fingerprint_documents
+from tessera.llm.mixing import plan_mix
+from tessera.llm.sharding import shard_documents
+from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,11 +27,44 @@ def register(fn):
     return fn
 
 
+@register
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plan_mix(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, most=2)
+
+
 @register
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@register
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir), weights=[1.0] * 8)
+
+
+@register
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir), size=3, most=3, seed=42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+@register
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copy_groups(documents(spark, sf_dir), keep="max")
+
+
+ORACLES["op8_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 @register
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
