@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import bpe_digests
-from tessera.llm.common import documents
+from tessera.llm.common import cut_lineage, documents
 from tessera.llm.exact_dedup import copy_groups
 from tessera.llm.fingerprints import fingerprint_documents
 from tessera.llm.mixing import plan_mix
+from tessera.llm.quality import fit, score, with_statistics
 from tessera.llm.sharding import shard_documents
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
@@ -65,6 +66,12 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@register
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = cut_lineage(with_statistics(documents(spark, sf_dir)))
+    return score(stats, fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality"), threshold=0.3)
+
+
 @register
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
