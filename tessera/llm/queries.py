@@ -18,6 +18,7 @@ from tessera.llm.quality import fit, score, with_statistics
 from tessera.llm.sharding import shard_documents
 from tessera.llm.simhash import near_duplicates
 from tessera.llm.token_counts import token_counts
+from tessera.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +44,11 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), weights=[1.0] * 8)
 
 
+@register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic", threshold=0.5)
+
+
 @register
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), size=3, most=3, seed=42)
