@@ -17,6 +17,7 @@ from tessera.llm.mixing import plan_mix
 from tessera.llm.quality import fit, score, with_statistics
 from tessera.llm.sharding import shard_documents
 from tessera.llm.simhash import near_duplicates
+from tessera.llm.suffix_dedup import remove_repeats
 from tessera.llm.token_counts import token_counts
 from tessera.llm.toxicity import score_toxicity
 
@@ -49,6 +50,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic", threshold=0.5)
 
 
+@register
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 @register
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), size=3, most=3, seed=42)
