@@ -1,15 +1,52 @@
 """The corpus pipeline: ``STAGES`` are applied to the table ``documents`` in
-order; each stage is written as Parquet and read again as the next one's input."""
+order; each stage is written as Parquet and read again as the next one's input.
+
+Every stage but the last returns the columns of ``documents``; the last returns
+doc_id, lang, source, the token ids of the text, their number and digests."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm.bpe import encoded_documents
 from tessera.llm.common import cut_lineage, documents
+from tessera.llm.exact_dedup import drop_copies
+from tessera.llm.mixing import mix
+from tessera.llm.quality import drop_poor, fit, with_statistics
+from tessera.llm.simhash import drop_near_duplicates
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that score 0.3 or more."""
+    model = fit(cut_lineage(with_statistics(docs)), spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
+    return drop_poor(docs, model, threshold=0.3)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, keep the row with the largest doc_id."""
+    return drop_copies(docs, keep="max")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies, keep the smallest doc_id."""
+    return drop_near_duplicates(docs, size=3, most=3, seed=42)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mix the sources: a document comes as often as the mix takes it."""
+    return mix(docs, weights=(3, 1, 2), share=1.5, most=2)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, checked by decoding them."""
+    return encoded_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("encoding", encoding)]
 
-#: The stages train a model and encode tokens, which SQL can't express.
+#: Training a model and encoding tokens are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -177,14 +177,16 @@ def _codec_factory(df: DataFrame, path: str, pattern: str):
     return lambda: _codec(*shared.value)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of the whole text, as ``array<int>`` in
-    column ``ids`` (which replaces one of that name).
+def encoded_documents(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with columns ``ids`` (array<int>), ``n_tokens``, ``ids_sha256``
+    (of the ids as little-endian unsigned 32-bit integers) and
+    ``decoded_sha256`` (of the bytes that the ids decode to). They replace
+    columns of those names.
 
     A null or empty text has no ids. Rows are neither merged nor moved, so
     repeated rows and ids, ties and other columns need no rule; an empty table
     gives an empty one."""
-    docs = docs.drop(ids)
+    docs = docs.drop("ids", "n_tokens", "ids_sha256", "decoded_sha256")
     codec_of, place = _codec_factory(docs, path, pattern), docs.columns.index(text)
 
     def make():
@@ -193,14 +195,16 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         def work(batch):
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                rows = [np.frombuffer(b"".join(codec.encode(t.as_py() or "")), dtype="<i4") for t in part.column(place)]
+                raw = [b"".join(codec.encode(t.as_py() or "")) for t in part.column(place)]
+                rows = [np.frombuffer(r, dtype="<i4") for r in raw]
                 ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+                more = [ids, pa.array([len(r) for r in rows], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()), pa.array([hashlib.sha256(codec.decode(r)).hexdigest() for r in raw], pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
         return work
 
-    return per_batch(docs, make, sql_schema(docs, (ids, "array<int>")))
+    return per_batch(docs, make, sql_schema(docs, ("ids", "array<int>"), ("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")))
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
