@@ -213,9 +213,10 @@ def _compare(rows: DataFrame, most: int, limit: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long, over boolean")
 
 
-def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
+def fingerprint_links(fps: DataFrame, most: int = 3, group: int = GROUP, tile: int = TILE) -> DataFrame:
     """Links (u, v) that connect what fingerprints within ``most`` bits
-    connect. ``fps``: distinct fingerprints (fp)."""
+    connect. ``fps``: distinct fingerprints (fp). Anchors of more than
+    ``group`` members are compared in tiles of about ``tile``."""
     spare = most - most // 2
 
     def make():
@@ -227,13 +228,13 @@ def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
 
         return work
 
-    found = cut_lineage(_compare(per_batch(fps.select("fp"), make, "key long, fp long"), most, GROUP))
+    found = cut_lineage(_compare(per_batch(fps.select("fp"), make, "key long, fp long"), most, group))
     near, over = found.filter("not over").select("u", "v"), found.filter("over")
     if not over.head(1):
         return near
     # Anchors with too many members: every pair of blocks of them is a tile.
     over = over.select(F.col("u").alias("fp"), F.col("v").alias("key"))
-    n = over.groupBy("key").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("blocks"))
+    n = over.groupBy("key").agg(F.ceil(F.count("*") / F.lit(tile)).alias("blocks"))
     tiles = over.join(n, "key").withColumn("mine", F.pmod(F.xxhash64("fp"), "blocks"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     tiles = tiles.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "fp")

@@ -235,6 +235,9 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
     windows that count for it: the one that scores highest and, for a negative,
     a random one too."""
     net, words, rng = Network(seed), Words(), np.random.default_rng(seed)
+    # Texts without words are negatives, so that padding alone never counts.
+    blank = max(8, len(texts) // 50) if len(y) and y.min() < y.max() else 0
+    texts, y = [*texts, *[""] * blank], np.append(y, np.zeros(blank, np.float32))
     if not len(y) or y.min() == y.max():
         net.scale, net.shift = 0.0, (0.0 if not len(y) else 4.0 * (2 * y[0] - 1))
         return net
