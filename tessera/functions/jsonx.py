@@ -20,6 +20,11 @@ def extract_json(c) -> Column:
     return F.nullif(F.regexp_extract(_c(c), r"(?s)\{.*\}", 0), F.lit(""))
 
 
+def number(text: Column) -> Column:
+    """A plain or scientific decimal number; anything else (NaN, 4d, 0x1) is null."""
+    return F.when(F.trim(text).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), F.trim(text).try_cast("double"))
+
+
 def goal_map(json_text) -> Column:
     """Parse once to ``map<string,string>``: one goal value that is not an
     object must not null the other goals (it would with a struct map)."""
@@ -42,7 +47,7 @@ def goal_score_columns(answer_map, goals: Sequence[Mapping[str, str] | str]) ->
         matches = F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(name))
         present = F.coalesce(F.size(matches) > 0, F.lit(False))
         value = F.element_at(matches, -1)["value"]
-        score = F.get_json_object(value, "$.score").try_cast("double")
+        score = number(F.get_json_object(value, "$.score"))
         reason = F.get_json_object(value, "$.reason")
         cols[f"{prefix}_score"] = F.when(present, score).otherwise(F.lit(0.0))
         cols[f"{prefix}_reason"] = F.when(present, reason).otherwise(F.lit(GOAL_MISSING_REASON))

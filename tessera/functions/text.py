@@ -54,10 +54,7 @@ def clean_tokens(c, stop_words: Iterable[str] | None = None) -> Column:
     stops = list(ENGLISH_STOP_WORDS if stop_words is None else stop_words)
     spaced = F.regexp_replace(F.lower(F.coalesce(_c(c), F.lit(""))), NON_WORD, " ")
     words = F.split(F.trim(spaced), " +")
-    stop_arr = F.array(*[F.lit(w) for w in stops]) if stops else F.array().cast("array<string>")
-    return F.filter(
-        words, lambda w: (F.length(w) >= MIN_WORD_CHARS) & ~F.array_contains(stop_arr, w)
-    )
+    return F.filter(words, lambda w: (F.length(w) >= MIN_WORD_CHARS) & ~w.isin(stops) if stops else F.length(w) >= MIN_WORD_CHARS)
 
 
 def clean_text(c, stop_words: Iterable[str] | None = None) -> Column:

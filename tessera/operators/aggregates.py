@@ -3,11 +3,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.sets import in_order, place_of
 from tessera.schemas import README_MISSING, UNCATEGORIZED
 
 
@@ -24,34 +26,30 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, null_count)")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], exact: bool = False, accuracy: int = 10000) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A3: count, mean, sample std, min, quartiles, max per column, one row
-    per column. Default quartiles come from ``percentile_approx`` (fixed
-    memory at any scale). ``exact=True`` gives the reference's interpolated
-    quartiles; its buffer holds one counter per distinct value, so use it
-    for columns with a bounded set of values (counts such as stars)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        if exact:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        aggs.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(x).alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                q.getItem(0).alias("p25"),
-                q.getItem(1).alias("p50"),
-                q.getItem(2).alias("p75"),
-                F.max(x).alias("max"),
-            ).alias(f"s{i}")
-        )
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    per column. Quartiles interpolate between the exact order statistics: the
+    column is sorted into a written table, and the rows at the six ranks around
+    the quartiles are read from it."""
+    x = {c: F.col(c).cast("double") for c in cols}
+    one = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                            F.min(v).alias("min"), F.max(v).alias("max")).alias(f"s{i}") for i, (c, v) in enumerate(x.items())])
+    rows = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    quartiles = [(c, *_quartiles(df.select(v.alias("x")).filter("x IS NOT NULL"))) for c, v in x.items()]
+    q = df.sparkSession.createDataFrame(quartiles, "column_name string, p25 double, p50 double, p75 double")
+    return rows.join(F.broadcast(q), "column_name").select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _quartiles(values: DataFrame) -> list[float | None]:
+    placed, counts = in_order(values, "x")
+    n = sum(counts.values())
+    if not n:
+        return [None] * 3
+    at = [(n - 1) * q / 4 for q in (1, 2, 3)]
+    ranks = sorted({r for h in at for r in (math.floor(h), math.ceil(h))})
+    places = {place_of(r, counts): r for r in ranks}
+    found = {places[r["__place"]]: r["x"] for r in placed.filter(F.col("__place").isin(list(places))).collect()}
+    return [found[math.floor(h)] + (found[math.ceil(h)] - found[math.floor(h)]) * (h - math.floor(h)) for h in at]
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.jsonx import number
 from tessera.schemas import README_MISSING, SUMMARY_ERROR, UNCATEGORIZED
 
 
@@ -51,12 +52,16 @@ def pending_embeddings(df: DataFrame, text_col: str = "summary", vec_col: str =
                        embed_errors: bool = True) -> DataFrame:
     """Summary present and embedding missing; error sentinels are
     embedded unless ``embed_errors=False``."""
+    return df.filter(embedding_due(text_col, vec_col if vec_col in df.columns else None, embed_errors))
+
+
+def embedding_due(text_col: str, vec_col: str | None, embed_errors: bool = True) -> F.Column:
     cond = F.col(text_col).isNotNull()
-    if vec_col in df.columns:
+    if vec_col is not None:
         cond = cond & F.col(vec_col).isNull()
     if not embed_errors:
         cond = cond & (F.col(text_col) != F.lit(SUMMARY_ERROR))
-    return df.filter(cond)
+    return cond
 
 
 def scorable(col: str = "summary") -> F.Column:
@@ -98,9 +103,10 @@ def fill_text(df: DataFrame, extra: Mapping[str, str] | None = None) -> DataFram
 
 
 def to_score(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Coerce to number, failures to null."""
+    """Coerce to number, failures (and NaN, which would rank first) to
+    null."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast("string").try_cast("double") for c in present})
+    return df.withColumns({c: number(F.col(c).try_cast("string")) for c in present})
 
 
 def nonempty_text(df: DataFrame, col: str) -> DataFrame:

@@ -49,6 +49,10 @@ def text_model_udf(factory: Callable[[], Callable[[str], str]], on_error: str =
         for s in batches:
             values, errors = [], []
             for prompt in s:
+                if prompt is None:  # a row that is not due
+                    values.append(None)
+                    errors.append(None)
+                    continue
                 try:
                     values.append(model(prompt))
                     errors.append(None)
@@ -66,8 +70,13 @@ def text_model_udf(factory: Callable[[], Callable[[str], str]], on_error: str =
 
 
 def predict_text(df: DataFrame, prompt: Column, factory, out_col: str = "summary", error_col: str | None = None,
-                 **kw) -> DataFrame:
-    """M1: one model call per row of ``df`` (filter pending rows first)."""
+                 tasks: int | None = None, **kw) -> DataFrame:
+    """M1: one model call per row of ``df`` whose prompt is not null.
+
+    ``tasks``: run the calls in so many tasks, which with ``pause_s`` fixes the
+    overall rate at tasks / pause."""
+    if tasks:
+        df = df.repartition(tasks)
     r = text_model_udf(factory, **kw)(prompt)
     out = df.withColumn("__r", r).withColumn(out_col, F.col("__r.value"))
     if error_col:
@@ -76,18 +85,22 @@ def predict_text(df: DataFrame, prompt: Column, factory, out_col: str = "summary
 
 
 def embedding_udf(factory: Callable[[], Callable[[list[str]], list[list[float]]]],
-                  batch_size: int = EMBED_BATCH, deterministic: bool = False):
+                  batch_size: int = EMBED_BATCH, deterministic: bool = False, pause_s: float = 0.0):
     """M5: model called on batches of ``batch_size`` texts, vectors out as
-    ``ARRAY<FLOAT>``."""
+    ``ARRAY<FLOAT>``. Null texts are not sent and stay null."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = _build(factory)
         for s in batches:
-            texts = s.tolist()
-            out: list = []
-            for i in range(0, len(texts), batch_size):
-                out.extend(model(texts[i : i + batch_size]))
-            yield pd.Series(out)
+            due = [i for i, t in enumerate(s) if t is not None]
+            out: list = [None] * len(s)
+            for k in range(0, len(due), batch_size):
+                part = due[k : k + batch_size]
+                for i, vector in zip(part, model([s.iloc[i] for i in part]), strict=True):
+                    out[i] = vector
+                if pause_s > 0:
+                    time.sleep(pause_s)
+            yield pd.Series(out, dtype=object)
 
     udf = F.pandas_udf(run, T.ArrayType(T.FloatType()))
     return udf if deterministic else udf.asNondeterministic()

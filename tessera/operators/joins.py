@@ -58,7 +58,9 @@ def attach_readme(catalogue: DataFrame, readmes: DataFrame, n: int = README_CHAR
                   out_col: str = "readme_snippet") -> DataFrame:
     """README text where the fetch succeeded (status 200 and a body);
     every failure path keeps the default. An empty README stays empty."""
+    # One response for each key: a success before a failure.
     r = readmes.select(*KEY, F.col("status").alias("__status"), F.col("body").alias("__body"))
+    r = first_per_key(r.withColumn("__bad", ~((F.col("__status") == 200) & F.col("__body").isNotNull())), KEY, ["__bad", "__body", "__status"]).drop("__bad")
     j = catalogue.drop(out_col).join(r, KEY, "left") if out_col in catalogue.columns else catalogue.join(r, KEY, "left")
     ok = (F.col("__status") == 200) & F.col("__body").isNotNull()
     return j.withColumn(out_col, F.when(ok, truncate_readme(F.col("__body"), n)).otherwise(F.lit(README_MISSING))).drop(
@@ -70,7 +72,7 @@ def assign_topic(df: DataFrame, clustered: DataFrame, keys: Sequence[str] = tupl
     """Left join of topic onto all rows; no topic -> Uncategorized.
     A ``topic`` column already on ``df`` is replaced."""
     base = df.drop("topic") if "topic" in df.columns else df
-    t = clustered.select(*keys, "topic")
+    t = clustered.groupBy(*keys).agg(F.min("topic").alias("topic"))  # one row a key: rows in = rows out
     return base.join(t, list(keys), "left").withColumn(
         "topic", F.coalesce(F.col("topic"), F.lit(UNCATEGORIZED))
     )
@@ -80,7 +82,9 @@ def map_labels(clusters: DataFrame, topic_map: DataFrame, id_col: str = "cluster
     """Cluster id -> label; -1 (outliers) -> Uncategorized. The map has
     one row per cluster; AQE broadcasts it when small."""
     m = topic_map.select(F.col(id_col).alias("__cid"), F.col("label").alias("__label"))
-    j = clusters.join(m, clusters[id_col] == m["__cid"], "left")
+    # Most rows may be outliers: a null key keeps them out of the join's shuffle group.
+    own = F.when(F.col(id_col) != -1, F.col(id_col))
+    j = clusters.withColumn("__own", own).join(m, F.col("__own") == F.col("__cid"), "left").drop("__own")
     return j.withColumn(
         "topic",
         F.when(F.col(id_col) == -1, F.lit(UNCATEGORIZED)).otherwise(F.coalesce(F.col("__label"), F.lit(UNCATEGORIZED))),
@@ -91,7 +95,7 @@ def attach_clusters(df: DataFrame, assigned: DataFrame, keys: Sequence[str] = tu
                     col: str = "text_cluster") -> DataFrame:
     """Cluster label joined back; rows not clustered stay null."""
     base = df.drop(col) if col in df.columns else df
-    return base.join(assigned.select(*keys, col), list(keys), "left")
+    return base.join(assigned.groupBy(*keys).agg(F.min(col).alias(col)), list(keys), "left")
 
 
 def _literal_rows(rows: Sequence[Mapping[str, str]], fields: Sequence[str]):

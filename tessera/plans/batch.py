@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from tessera.functions.jsonx import parse_vector
 from tessera.operators.aggregates import final_topics
-from tessera.operators.filters import normalise_columns, pending_embeddings
-from tessera.operators.inference import embed
+from tessera.operators.filters import embedding_due, normalise_columns
+from tessera.operators.inference import embedding_udf
 from tessera.operators.joins import assign_topic, map_labels
 from tessera.operators.vectors import density_clusters, density_hierarchy, reduce_dims
 from tessera.plans.classify import label_clusters
@@ -20,8 +20,8 @@ from tessera.session import cut_lineage
 
 def embed_pending(df: DataFrame, factory, text_col: str = "summary", batch_size: int = EMBED_BATCH,
                   embed_errors: bool = True) -> DataFrame:
-    """M5 over P8 rows; done rows pass through; the result is checkpointed
-    so the model runs once per row even though it is read twice."""
+    """M5 over P8 rows, in one pass; done rows pass through, whatever their
+    key. The result is written, so the model runs once for each row."""
     df = normalise_columns(df)
     if "embedding" not in df.columns:
         df = df.withColumn("embedding", F.lit(None).cast("array<double>"))
@@ -29,12 +29,11 @@ def embed_pending(df: DataFrame, factory, text_col: str = "summary", batch_size:
         df = df.withColumn("embedding", parse_vector("embedding"))  # list text from CSV
     else:
         df = df.withColumn("embedding", F.transform("embedding", lambda x: x.cast("double")))
-    todo = pending_embeddings(df, text_col, "embedding", embed_errors)
-    rest = df.join(todo.select(*KEY), KEY, "left_anti")
-    new = embed(todo, factory, text_col, "__e", batch_size).withColumn(
-        "embedding", F.transform("__e", lambda x: x.cast("double"))
-    ).drop("__e")
-    return cut_lineage(rest.unionByName(new))
+    due = F.coalesce(embedding_due(text_col, "embedding", embed_errors), F.lit(False))
+    text = F.when(due, F.col(text_col))  # the model skips null texts
+    new = F.transform(embedding_udf(factory, batch_size)(text), lambda x: x.cast("double"))
+    return cut_lineage(df.withColumn("__due", due).withColumn("__e", new).withColumn(
+        "embedding", F.when(F.col("__due"), F.col("__e")).otherwise(F.col("embedding"))).drop("__due", "__e"))
 
 
 def classify_batch(df: DataFrame, embed_factory, label_factory, label_template: str,
@@ -59,8 +58,9 @@ def classify_batch(df: DataFrame, embed_factory, label_factory, label_template:
         clusters = density_hierarchy(reduced, min_size, "__id", "reduced", "euclidean", k=KNN_K)
     else:
         clusters = density_clusters(reduced, eps, min_size, "__id", "reduced", "euclidean")
-    clustered = reduced.join(clusters, "__id").select(*KEY, text_col, "cluster_id")
-    labels = label_clusters(clustered, label_template, label_factory, text_col=text_col, n=min_size)
-    topics = map_labels(clustered.select(*KEY, "cluster_id"), labels)
-    out = assign_topic(rows.drop("__id"), topics.select(*KEY, "topic"))
+    clustered = reduced.join(clusters, "__id").select("__id", text_col, "cluster_id", *KEY)
+    # Written: rows and topic table must see the same answers.
+    labels = cut_lineage(label_clusters(clustered, label_template, label_factory, text_col=text_col))
+    topics = map_labels(clustered.select("__id", "cluster_id"), labels)
+    out = assign_topic(rows, topics.select("__id", "topic"), keys=["__id"]).drop("__id")
     return out, final_topics(out)

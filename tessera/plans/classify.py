@@ -15,11 +15,13 @@ from tessera.operators.aggregates import cluster_prompt_text
 from tessera.operators.filters import normalise_columns, scorable
 from tessera.operators.inference import predict_text
 from tessera.operators.joins import cross_prompts
-from tessera.operators.sets import extend_vocabulary, seed_topics
+from tessera.operators.sets import extend_vocabulary, in_order, place_of, seed_topics
 from tessera.operators.topk import sample_rows
 from tessera.operators.windows import sample_per_group
-from tessera.schemas import KEY, MIN_CLUSTER_SIZE
+from tessera.plans.summarise import prepare
+from tessera.schemas import KEY, LABEL_SAMPLE
 from tessera.session import cut_lineage
+from tessera.sources.catalogue import write_stage
 
 # Wave sizes for the open-vocabulary classifier: new topics become rare as
 # the vocabulary grows, so waves grow geometrically; the last wave takes
@@ -39,90 +41,80 @@ def order_key(df: DataFrame, sort_by: str | None = "created_at") -> F.Column:
 
 def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[str],
                         waves: Sequence[int] = DEFAULT_WAVES, sort_by: str | None = "created_at",
-                        rel_err: float = 0.001) -> tuple[DataFrame, list[str]]:
-    """M6: a topic per row, chosen from (or added to) a growing vocabulary.
-
-    Rows are split into consecutive waves along the processing order by
-    quantile boundaries of the order (a distributed aggregate; no global
-    row numbering). All rows of a wave see the vocabulary known before the
-    wave; new topics are added in order of first appearance (U1). Each
-    wave's answers are checkpointed once, then reused for both the output
-    and the vocabulary. Only distinct new topics reach the driver."""
+                        pause_s: float = 0.0, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """M6: a topic per row, chosen from (or added to) a growing vocabulary;
+    returns the rows and the vocabulary (topic, rank).
+
+    The input is sorted once into a written table whose row numbers give every
+    row its exact place, ties included, so wave sizes are exact. All rows of a
+    wave see the vocabulary known before it; new topics are added in order of
+    first appearance (U1). Each wave's answers are written once, then used for
+    output and vocabulary. The driver holds the topics that the next prompts
+    list, and none after the last wave."""
     df = normalise_columns(df)
     spark = df.sparkSession
-    ordered = df.withColumn("__ord", order_key(df, sort_by))
-    ordered = ordered.withColumn("__t", F.col("__ord.t").cast("double"))
-    n = ordered.count()
     vocab = seed_topics(spark, list(topics))
-    vocab_list = list(topics)
+    if "topic" in df.columns:
+        df = df.drop("topic")
+    placed, counts = in_order(df.withColumn("__ord", order_key(df, sort_by)), "__ord")
+    n = sum(counts.values())
     if n == 0:
-        return df.withColumn("topic", F.lit(None).cast("string")), vocab_list
-
-    # Cumulative wave fractions -> order-value boundaries.
-    cum, fracs = 0, []
+        return df.withColumn("topic", F.lit(None).cast("string")), vocab
+    bounds, cum = [0], 0
     for w in waves:
         cum += w
         if cum >= n:
             break
-        fracs.append(cum / n)
-    bounds = ordered.approxQuantile("__t", fracs, rel_err) if fracs else []
-    edges = [None, *bounds, None]
-
+        bounds.append(place_of(cum, counts))
     parts: list[DataFrame] = []
-    for i in range(len(edges) - 1):
-        lo, hi = edges[i], edges[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("__t") > F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("__t") <= F.lit(hi))
-        wave = ordered.filter(cond)
-        prompt = render_topic_prompt(template, "summary", vocab_list)
-        answered = cut_lineage(predict_text(wave, prompt, factory, out_col="topic", on_error="raise"))
+    known = list(topics)
+    for i, lo in enumerate(bounds):
+        last = i + 1 == len(bounds)
+        wave = placed.filter(F.col("__place") >= lo)
+        if not last:
+            wave = wave.filter(F.col("__place") < bounds[i + 1])
+        prompt = render_topic_prompt(template, "summary", known)
+        answered = cut_lineage(predict_text(wave, prompt, factory, out_col="topic", on_error="raise", pause_s=pause_s, tasks=tasks))
         parts.append(answered)
-        vocab = extend_vocabulary(vocab, answered.select("topic", F.col("__ord").alias("seen_at")),
-                                  offset=len(vocab_list))
-        vocab_list = [r["topic"] for r in vocab.orderBy("rank").collect()]
+        vocab = cut_lineage(extend_vocabulary(vocab, answered.select("topic", F.col("__place").alias("seen_at")), offset=len(known)))
+        if not last:
+            known = [r["topic"] for r in vocab.orderBy("rank").collect()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.drop("__ord", "__t"), vocab_list
+    return out.drop("__ord", "__place"), vocab
 
 
 def label_clusters(clustered: DataFrame, template: str, factory, cluster_col: str = "cluster_id",
-                   text_col: str = "summary", n: int = MIN_CLUSTER_SIZE, seed: int = 42) -> DataFrame:
+                   text_col: str = "summary", n: int = LABEL_SAMPLE, seed: int = 42, pause_s: float = 0.0,
+                   tasks: int | None = None) -> DataFrame:
     """M7: one short label per cluster from up to n sampled texts (W3 + A11);
     outliers (-1) are never sent. A failing call fails the job."""
     members = clustered.filter(F.col(cluster_col) != -1)
     sample = sample_per_group(members, cluster_col, n, seed)
     groups = cluster_prompt_text(sample, cluster_col, text_col)
     prompt = render(template, {"summaries": "summaries"})
-    labelled = predict_text(groups, prompt, factory, out_col="label", on_error="raise")
+    labelled = predict_text(groups, prompt, factory, out_col="label", on_error="raise", pause_s=pause_s, tasks=tasks)
     return labelled.select(cluster_col, strip_label("label").alias("label"))
 
 
-def classify_goals(df: DataFrame, template: str, goals: Sequence[Mapping[str, str]], factory) -> DataFrame:
-    """M8 = P9 -> F3 -> M1 -> F5 -> F6. A failed call gives an empty answer
-    (every goal 0 with the fixed reason); rows that are not scorable keep
-    null scores. Goal columns are read from one parsed map per row: no
-    pivot, no shuffle."""
+def classify_goals(df: DataFrame, template: str, goals: Sequence[Mapping[str, str]], factory, pause_s: float = 0.0,
+                   tasks: int | None = None) -> DataFrame:
+    """M8 = P9 -> F3 -> M1 -> F5 -> F6, in one pass over the input. A failed
+    call gives an empty answer (every goal 0 with the fixed reason); rows that
+    are not scorable have no prompt, are not sent and keep null scores. Goal
+    columns are read from one parsed map per row: no pivot, no shuffle."""
     df = normalise_columns(df)
-    ok = scorable("summary")
-    todo = df.filter(ok)
-    rest = df.filter(~ok | F.col("summary").isNull())
-    answered = predict_text(todo, render_goal_prompt(template, goals), factory, out_col="__answer",
-                            on_error="sentinel", error_value="")
+    ok = F.coalesce(scorable("summary"), F.lit(False))
+    prompt = F.when(ok, render_goal_prompt(template, goals))
+    answered = predict_text(df.withColumn("__ok", ok), prompt, factory, out_col="__answer", on_error="sentinel",
+                            error_value="", pause_s=pause_s, tasks=tasks)
     cols = jsonx.goal_score_columns(jsonx.goal_map(jsonx.extract_json("__answer")), goals)
-    scored = answered.select(*df.columns, *[c.alias(k) for k, c in cols.items()])
-    nulls = rest.select(
-        *df.columns,
-        *[F.lit(None).cast("double" if k.endswith("_score") else "string").alias(k) for k in cols],
-    )
-    return scored.unionByName(nulls)
+    return answered.select(*df.columns, *[F.when(F.col("__ok"), c).alias(k) for k, c in cols.items()])
 
 
 def compare_prompts(df: DataFrame, prompts: Sequence[Mapping[str, str]], factory, n: int = 10,
-                    seed: int = 62) -> DataFrame:
+                    seed: int = 62, pause_s: float = 0.0, tasks: int | None = None) -> DataFrame:
     """M10 = T5 -> J7 -> M1 -> one column per prompt beside the old summary."""
     df = normalise_columns(df)
     sample = sample_rows(df, n, seed).select(*KEY, "description", "readme",
@@ -135,7 +127,7 @@ def compare_prompts(df: DataFrame, prompts: Sequence[Mapping[str, str]], factory
         r = render(p["template"], {"description": "description", "readme": "readme"})
         is_p = F.col("prompt_name") == F.lit(p["prompt_name"])
         prompt = F.when(is_p, r) if prompt is None else prompt.when(is_p, r)
-    answered = predict_text(crossed, prompt, factory, out_col="answer")
+    answered = predict_text(crossed, prompt, factory, out_col="answer", pause_s=pause_s, tasks=tasks)
     names = [p["prompt_name"] for p in prompts]
     return (
         answered.groupBy(*KEY, "description", "original_summary")
@@ -145,15 +137,26 @@ def compare_prompts(df: DataFrame, prompts: Sequence[Mapping[str, str]], factory
 
 
 def classify(df: DataFrame, strategy: str, **kw):
-    """Refuse input without ``summary``, then one strategy."""
+    """Refuse input without ``summary``, then one strategy over the
+    prepared rows; returns what the strategy returns (see ``classify_job``)."""
     if "summary" not in df.columns:
         raise ValueError("input has no 'summary' column: summarise first")
     if strategy == "open_vocab":
         return classify_open_vocab(df, **kw)
     if strategy == "goals":
-        return classify_goals(df, **kw), []
+        return classify_goals(df, **kw), None
     if strategy == "batch":
         from tessera.plans.batch import classify_batch
 
         return classify_batch(df, **kw)
     raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def classify_job(df: DataFrame, strategy: str, out_path: str, run_id: str, sort_by: str = "created_at",
+                 limit: int | None = None, **kw) -> None:
+    """E4 with its input step and sink: E2 -> refusal -> strategy -> S7. The
+    topics (where the strategy has any) go to the stage beside the rows."""
+    rows, topics = classify(prepare(df, sort_by, limit), strategy, **kw)
+    write_stage(rows, out_path, run_id, "classified")
+    if topics is not None:
+        write_stage(topics, f"{out_path.rstrip('/')}-topics", run_id, "topics")

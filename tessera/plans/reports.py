@@ -14,13 +14,15 @@ from tessera.operators.filters import to_score
 from tessera.operators.topk import high_impact
 from tessera.operators.windows import duplicate_rows, top_per_goal
 from tessera.schemas import KEY, README_MISSING
+from tessera.session import cut_lineage
 from tessera.sources.catalogue import overwrite_and_verify
 
 
 def goal_report(df: DataFrame, slugs: Sequence[str], k: int = 5, n: int = 10) -> dict[str, DataFrame]:
     """E6 = P13 -> A7, W1, A8 + T4."""
     score_cols = [f"{s}_score" for s in slugs]
-    scored = to_score(df, score_cols)
+    # Written once: three frames are read from it, and ``df`` may hold model calls.
+    scored = cut_lineage(to_score(df, score_cols))
     return {
         "histogram": score_histogram(scored, slugs),
         "top_per_goal": top_per_goal(scored, slugs, k),

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import attach_readme, new_items
-from tessera.schemas import LISTING_PAGE
-from tessera.sources.catalogue import append_catalogue
+from tessera.session import cut_lineage
+from tessera.sources.catalogue import append_catalogue, table_exists
 from tessera.sources.ingest import (
     account_names,
     cap_per_account,
@@ -23,7 +23,7 @@ from tessera.sources.ingest import (
 
 
 def scan(registry: DataFrame, responses: DataFrame, readmes: DataFrame, catalogue: DataFrame | None,
-         allow: Sequence[str] | DataFrame | None = None, page: int | None = LISTING_PAGE,
+         allow: Sequence[str] | DataFrame | None = None, page: int | None = None,
          scan_time: Column | None = None) -> DataFrame:
     """E1 = S1 P1 J2 S2 S3 P2 (P4) J1 J3 (P3); returns the rows to append."""
     accounts = account_names(registry, allow)
@@ -41,17 +41,12 @@ def scan(registry: DataFrame, responses: DataFrame, readmes: DataFrame, catalogu
 
 
 def scan_job(registry: DataFrame, responses: DataFrame, readmes: DataFrame, catalogue_path: str,
-             allow=None) -> int:
-    """E1 with its sink (S5): read the stored catalogue if any, append the
-    new rows, return how many were appended."""
+             allow=None, page: int | None = None) -> int:
+    """E1 with its sink (S5): read the stored catalogue if its path holds
+    anything (a table that can't be read fails the job), append the new rows,
+    return how many were appended."""
     spark = registry.sparkSession
-    try:
-        stored = spark.read.parquet(catalogue_path)
-    except Exception:  # noqa: BLE001 - no catalogue yet
-        stored = None
-    rows = scan(registry, responses, readmes, stored, allow, scan_time=F.current_timestamp())
-    rows = rows.persist()
-    n = rows.count()
+    stored = spark.read.parquet(catalogue_path) if table_exists(spark, catalogue_path) else None
+    rows = cut_lineage(scan(registry, responses, readmes, stored, allow, page, scan_time=F.current_timestamp()))
     append_catalogue(rows, catalogue_path)
-    rows.unpersist()
-    return n
+    return rows.count()

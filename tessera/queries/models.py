@@ -27,7 +27,7 @@ from tessera.queries.views import (
     GOAL_SLUGS,
     SUMMARISED_SQL,
     TOKEN_RE,
-    first_words_sql,
+    all_words_sql,
     summarised,
     topic_case_sql,
     with_,
@@ -43,10 +43,10 @@ normalised AS (SELECT account, name, description, stars, forks, language, url, r
                       last_scanned_utc, created_at, pushed_at, doc_id FROM catalogue)"""
 
 
-@query("predict_text", with_(NORMALISED_SQL, f"SELECT account, name, {first_words_sql(PROMPT_SQL)} AS summary FROM normalised"))
+@query("predict_text", with_(NORMALISED_SQL, f"SELECT account, name, {all_words_sql(PROMPT_SQL)} AS summary FROM normalised"))
 def q_predict_text(spark, sf_dir):
     cat = prepare(standins.catalogue(spark, sf_dir))
-    out = predict_text(cat, render_prompt(stubs.SUMMARY_TEMPLATE), stubs.first_words(20))
+    out = predict_text(cat, render_prompt(stubs.SUMMARY_TEMPLATE), stubs.first_words(None))
     return out.select(*KEY, "summary")
 
 
@@ -55,58 +55,68 @@ def q_predict_text(spark, sf_dir):
     with_(
         NORMALISED_SQL,
         f"""SELECT account, name,
-  CASE WHEN length({PROMPT_SQL}) % 11 = 0 THEN '{SUMMARY_ERROR}' ELSE {first_words_sql(PROMPT_SQL)} END AS summary,
+  CASE WHEN length({PROMPT_SQL}) % 11 = 0 THEN '{SUMMARY_ERROR}' ELSE {all_words_sql(PROMPT_SQL)} END AS summary,
   length({PROMPT_SQL}) % 11 = 0 AS failed FROM normalised""",
     ),
 )
 def q_on_error(spark, sf_dir):
     cat = prepare(standins.catalogue(spark, sf_dir))
-    out = predict_text(cat, render_prompt(stubs.SUMMARY_TEMPLATE), stubs.first_words(20, fail_mod=11),
+    out = predict_text(cat, render_prompt(stubs.SUMMARY_TEMPLATE), stubs.first_words(None, fail_mod=11),
                        error_col="error")
     return out.select(*KEY, "summary", F.col("error").isNotNull().alias("failed"))
 
 
 @query(
     "summarise",
-    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {first_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
+    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {all_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
 )
 def q_summarise(spark, sf_dir):
-    out = summarise(summarised(spark, sf_dir), stubs.SUMMARY_TEMPLATE, stubs.first_words(20))
+    out = summarise(summarised(spark, sf_dir), stubs.SUMMARY_TEMPLATE, stubs.first_words(None))
     return out.select(*KEY, "summary")
 
 
-def _open_vocab(spark, sf_dir):
-    return C.classify_open_vocab(summarised(spark, sf_dir), stubs.TOPIC_TEMPLATE, stubs.seed_topic(),
-                                 stubs.SEED_TOPICS)
-
+WAVES = (64, 512)
 
-OPEN_VOCAB_SQL = SUMMARISED_SQL + f""",
-ov AS (SELECT account, name, created_at, {topic_case_sql("coalesce(summary, '')")} AS topic FROM summarised)"""
 
-
-@query("classify_open_vocab", with_(OPEN_VOCAB_SQL, "SELECT account, name, topic FROM ov"))
+def _open_vocab(spark, sf_dir):
+    """Answers depend on the topics that the prompt lists."""
+    return C.classify_open_vocab(summarised(spark, sf_dir), stubs.TOPIC_TEMPLATE, stubs.seed_topic(use_prompt_list=True),
+                                 stubs.SEED_TOPICS, waves=WAVES)
+
+
+def _wave_sql(k: int, lo: int, hi: int | None) -> str:
+    """Wave k: answers from vocabulary k, then vocabulary k + 1."""
+    until = f" AND ord <= {hi}" if hi is not None else ""
+    return f"""
+a{k} AS MATERIALIZED (
+  SELECT o.account, o.name, o.ord, coalesce(arg_min(v.topic, v.rank), any_value(o.word)) AS topic
+  FROM (SELECT * FROM ordered WHERE ord > {lo}{until}) o LEFT JOIN v{k} v ON contains(o.low, v.topic)
+  GROUP BY o.account, o.name, o.ord),
+v{k + 1} AS MATERIALIZED (
+  SELECT topic, rank FROM v{k} UNION ALL
+  SELECT topic, CAST((SELECT count(*) FROM v{k}) + row_number() OVER (ORDER BY first_seen, topic) - 1 AS INTEGER) AS rank
+  FROM (SELECT topic, min(ord) AS first_seen FROM a{k} WHERE topic NOT IN (SELECT topic FROM v{k}) GROUP BY topic))"""
+
+
+OPEN_VOCAB_SQL = SUMMARISED_SQL + ",\n" + _seeds_sql() + f""",
+ordered AS MATERIALIZED (
+  SELECT account, name, lower(coalesce(summary, '')) AS low,
+         coalesce(lower(regexp_extract_all(coalesce(summary, ''), '{TOKEN_RE}')[1]), 'misc') AS word,
+         row_number() OVER (ORDER BY created_at DESC NULLS LAST, account, name) AS ord FROM summarised),
+v0 AS MATERIALIZED (SELECT topic, CAST(rank AS INTEGER) AS rank FROM seeds),""" + ",".join(
+    _wave_sql(k, lo, hi) for k, (lo, hi) in enumerate([(0, 64), (64, 576), (576, None)]))
+
+
+@query("classify_open_vocab", with_(OPEN_VOCAB_SQL, " UNION ALL ".join(f"SELECT account, name, topic FROM a{k}" for k in range(3))))
 def q_classify_open_vocab(spark, sf_dir):
     out, _ = _open_vocab(spark, sf_dir)
     return out.select(*KEY, "topic")
 
 
-@query(
-    "open_vocab_topics",
-    with_(
-        OPEN_VOCAB_SQL + ",\n" + _seeds_sql() + """,
-firsts AS (
-  SELECT topic, min(ord) AS first_seen FROM (
-    SELECT topic, row_number() OVER (ORDER BY created_at DESC NULLS LAST, account, name) AS ord FROM ov)
-  WHERE topic NOT IN (SELECT topic FROM seeds) GROUP BY topic)""",
-        f"""SELECT topic, CAST(rank AS INTEGER) AS rank FROM seeds
-UNION ALL
-SELECT topic, CAST(row_number() OVER (ORDER BY first_seen, topic) - 1 + {len(stubs.SEED_TOPICS)} AS INTEGER) AS rank FROM firsts""",
-    ),
-)
+@query("open_vocab_topics", with_(OPEN_VOCAB_SQL, "SELECT topic, rank FROM v3"))
 def q_open_vocab_topics(spark, sf_dir):
     _, vocab = _open_vocab(spark, sf_dir)
-    # The vocabulary is already on the driver (it is handed to every call).
-    return spark.createDataFrame([(t, i) for i, t in enumerate(vocab)], "topic string, rank int")
+    return vocab
 
 
 LABEL_SQL = SUMMARISED_SQL + ",\n" + CLUSTERS_SQL + f""",
@@ -200,56 +210,41 @@ def q_goal_report(spark, sf_dir):
 smp AS (SELECT * FROM summarised ORDER BY {_md5_key_sql(62)}, account, name LIMIT 10)""",
         "SELECT account, name, description, summary AS original_summary, "
         + ", ".join(
-            f"{first_words_sql(_render_sql(p['template'], {'description': 'description', 'readme': 'readme'}))} AS {p['prompt_name']}"
+            f"{all_words_sql(_render_sql(p['template'], {'description': 'description', 'readme': 'readme'}))} AS {p['prompt_name']}"
             for p in stubs.PROMPTS
         )
         + " FROM smp",
     ),
 )
 def q_compare_prompts(spark, sf_dir):
-    return C.compare_prompts(summarised(spark, sf_dir), stubs.PROMPTS, stubs.first_words(20))
+    return C.compare_prompts(summarised(spark, sf_dir), stubs.PROMPTS, stubs.first_words(None))
 
 
 # ------------------------------------------------------------------ jobs
-SCAN_SQL = """listing AS (
-  SELECT source AS account, doc_id // 100 AS page, doc_id, n_chars, lang, text,
-         row_number() OVER (PARTITION BY source, doc_id // 100 ORDER BY doc_id) - 1 AS pos
-  FROM documents),
-all_items AS (
-  SELECT account, page, pos, doc_id, n_chars, lang, text FROM listing
-  UNION ALL
-  SELECT account, page, count(*) AS pos, NULL, NULL, NULL, NULL FROM listing GROUP BY account, page),
-capped AS (SELECT * FROM all_items
-           QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100 AND doc_id IS NOT NULL)"""
-
-
-def scan_registry(spark, sf_dir):
-    """Registry of listing accounts: languages as groups, sources as
-    accounts (bounded by the number of accounts)."""
-    d = standins.table(spark, sf_dir, "documents")
-    return d.groupBy(F.col("lang").alias("group")).agg(F.array_sort(F.collect_set("source")).alias("accounts"))
-
-
-@query(
-    "scan",
-    with_(
-        SCAN_SQL,
-        f"""SELECT account, 'doc-' || CAST(doc_id AS VARCHAR) AS name,
+SCANNED_SQL = """SELECT source AS account, 'doc-' || CAST(doc_id AS VARCHAR) AS name,
   CASE WHEN lang IN ('de', 'fr') THEN 'No description'
        ELSE coalesce(nullif(split_part(text, chr(10), 1), ''), 'No description') END AS description,
   CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL ELSE n_chars END AS DOUBLE) AS stars,
   CAST(CASE WHEN lang = 'es' THEN 0 WHEN lang = 'fr' THEN NULL
        ELSE length(text) - length(replace(text, chr(10), '')) END AS DOUBLE) AS forks,
   CASE WHEN lang = 'de' THEN 'None specified' ELSE lang END AS language,
-  CASE WHEN lang = 'es' THEN '' ELSE 'https://example.org/' || account || '/doc-' || CAST(doc_id AS VARCHAR) END AS url,
+  CASE WHEN lang = 'es' THEN '' ELSE 'https://example.org/' || source || '/doc-' || CAST(doc_id AS VARCHAR) END AS url,
   CASE WHEN doc_id % 7 = 0 THEN 'README not available' ELSE substr(text, 1, 800) END AS readme_snippet,
   '2024-06-01 00:00:00' AS last_scanned_utc,
   strftime(CAST(DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS created_at,
   CAST(NULL AS VARCHAR) AS pushed_at
-FROM capped c WHERE n_chars >= 50
-  AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id AND l.quality <> 0)""",
-    ),
-)
+FROM documents c WHERE n_chars >= 50
+  AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.doc_id AND l.quality <> 0)"""
+
+
+def scan_registry(spark, sf_dir):
+    """Registry of listing accounts: languages as groups, sources as
+    accounts (bounded by the number of accounts)."""
+    d = standins.table(spark, sf_dir, "documents")
+    return d.groupBy(F.col("lang").alias("group")).agg(F.array_sort(F.collect_set("source")).alias("accounts"))
+
+
+@query("scan", SCANNED_SQL)
 def q_scan(spark, sf_dir):
     """E1 end to end over landed responses; stored catalogue = labelled rows
     (quality-0 rows stored with an empty name, so they are scanned again)."""

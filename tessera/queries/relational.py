@@ -23,8 +23,8 @@ from tessera.queries.views import (
     SUMMARISED_SQL,
     TOKEN_RE,
     classified,
-    first_words,
-    first_words_sql,
+    all_words,
+    all_words_sql,
     goal_scored,
     summarised,
     with_,
@@ -110,12 +110,12 @@ all_items AS (
     with_(
         ALL_ITEMS_SQL,
         """SELECT account, page, pos, item_name FROM all_items
-QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 100 AND is_object""",
+QUALIFY row_number() OVER (PARTITION BY account ORDER BY page, pos) <= 30 AND is_object""",
     ),
 )
 def q_cap_per_account(spark, sf_dir):
     items = ingest.explode_listing(standins.listing_responses(spark, sf_dir), objects_only=False)
-    capped = ingest.only_objects(ingest.cap_per_account(items, 100))
+    capped = ingest.only_objects(ingest.cap_per_account(items, 30))
     return capped.select("account", "page", "pos", F.get_json_object("item", "$.name").alias("item_name"))
 
 
@@ -476,7 +476,7 @@ def _describe_sql(c: str) -> str:
 
 @query("describe_numeric", with_(CATALOGUE_SQL, "\nUNION ALL\n".join(_describe_sql(c) for c in ["stars", "forks"])))
 def q_describe_numeric(spark, sf_dir):
-    d = A.describe_numeric(standins.catalogue(spark, sf_dir), ["stars", "forks"], exact=True)
+    d = A.describe_numeric(standins.catalogue(spark, sf_dir), ["stars", "forks"])
     return d.select("column_name", "count", *[r6(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
@@ -759,12 +759,12 @@ def q_extend_vocabulary(spark, sf_dir):
     "merge_results",
     with_(
         SUMMARISED_SQL,
-        f"SELECT account, name, coalesce(summary, {first_words_sql('description')}) AS summary FROM summarised",
+        f"SELECT account, name, coalesce(summary, {all_words_sql('description')}) AS summary FROM summarised",
     ),
 )
 def q_merge_results(spark, sf_dir):
     s = summarised(spark, sf_dir)
-    new = P.pending(s).select(*KEY, first_words(F.col("description")).alias("summary"))
+    new = P.pending(s).select(*KEY, all_words(F.col("description")).alias("summary"))
     return U.merge_results(s, new).select(*KEY, "summary")
 
 

@@ -10,7 +10,7 @@ from tessera.operators.topk import sort_desc
 from tessera.plans.summarise import summarise_job
 from tessera.queries.models import PROMPT_SQL
 from tessera.queries.registry import query, ts, ts_sql
-from tessera.queries.views import CATALOGUE_SQL, SUMMARISED_SQL, first_words_sql, summarised, with_
+from tessera.queries.views import CATALOGUE_SQL, SUMMARISED_SQL, all_words_sql, summarised, with_
 from tessera.schemas import CATALOGUE
 from tessera.session import shared_path
 from tessera.sources import standins
@@ -74,10 +74,10 @@ def q_sort_desc(spark, sf_dir):
 
 @query(
     "summarise_job",
-    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {first_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
+    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {all_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
 )
 def q_summarise_job(spark, sf_dir):
     """E3 = E2 -> M4 -> S7, read back from the run's partition."""
     path = shared_path(spark, "summarised")
-    summarise_job(summarised(spark, sf_dir), path, "run-1", stubs.SUMMARY_TEMPLATE, stubs.first_words(20))
+    summarise_job(summarised(spark, sf_dir), path, "run-1", stubs.SUMMARY_TEMPLATE, stubs.first_words(None))
     return spark.read.parquet(path).filter(F.col("run_id") == "run-1").select(*KEY, "summary")

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tessera import stubs
 from tessera.plans.summarise import summarise
-from tessera.queries.models import PROMPT_SQL
-from tessera.queries.registry import query
-from tessera.queries.relational import LISTING_SQL, with_embeddings
-from tessera.queries.views import SUMMARISED_SQL, first_words_sql, summarised, with_
+from tessera.queries.models import PROMPT_SQL, SCANNED_SQL
+from tessera.queries.registry import query, ts
+from tessera.queries.relational import with_embeddings
+from tessera.queries.views import SUMMARISED_SQL, all_words_sql, summarised, with_
 from tessera.session import shared_path
 from tessera.sources import standins
 from tessera.streaming.jobs import checkpoint_embeddings, land_in_small_files, stream_catalogue, stream_enrich
@@ -22,14 +22,7 @@ KEY = ["account", "name"]
 BATCHES = 5
 
 
-@query(
-    "stream_catalogue",
-    with_(
-        LISTING_SQL,
-        """SELECT account, item_name AS name FROM listing
-WHERE item_name <> '' AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = listing.doc_id AND l.quality <> 0)""",
-    ),
-)
+@query("stream_catalogue", SCANNED_SQL.replace("'2024-06-01 00:00:00' AS last_scanned_utc,\n", ""))
 def q_stream_catalogue(spark, sf_dir):
     """Two runs over one landing folder: the second lands the same listing
     again (a later scan) and must add no row; known catalogue keys are
@@ -43,11 +36,13 @@ def q_stream_catalogue(spark, sf_dir):
         .withColumn("name", F.when(F.col("quality") == 0, F.lit("")).otherwise(F.col("name")))
         .select(*KEY)
     )
-    responses = standins.listing_responses(spark, sf_dir)
+    responses, readmes = standins.listing_responses(spark, sf_dir), standins.readme_responses(spark, sf_dir)
     for _run in range(2):
         responses.write.mode("append").json(landing)
-        stream_catalogue(spark, landing, out, ckpt, stored)
-    return spark.read.parquet(out).select(*KEY)
+        stream_catalogue(spark, landing, out, ckpt, stored, readmes=readmes)
+    rows = spark.read.parquet(out).drop("batch_id", "last_scanned_utc")
+    rows = rows.withColumns({c: ts(c) for c in ["created_at", "pushed_at"]})
+    return rows.withColumns({c: F.col(c).cast("double") for c in ["stars", "forks"]})
 
 
 def _land(spark, df, kind):
@@ -59,13 +54,13 @@ def _land(spark, df, kind):
 
 @query(
     "stream_enrich",
-    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {first_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
+    with_(SUMMARISED_SQL, f"SELECT account, name, coalesce(summary, {all_words_sql(PROMPT_SQL)}) AS summary FROM summarised"),
 )
 def q_stream_enrich(spark, sf_dir):
     src = summarised(spark, sf_dir)
     landing, per_batch = _land(spark, src, "enrich-landing")
     out, ckpt = shared_path(spark, "enrich-out"), shared_path(spark, "enrich-ckpt")
-    stream_enrich(spark, landing, src.schema, lambda b: summarise(b, stubs.SUMMARY_TEMPLATE, stubs.first_words(20)),
+    stream_enrich(spark, landing, src.schema, lambda b: summarise(b, stubs.SUMMARY_TEMPLATE, stubs.first_words(None)),
                   out, ckpt, per_batch)
     return spark.read.parquet(out).select(*KEY, "summary")
 

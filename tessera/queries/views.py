@@ -25,7 +25,7 @@ CATALOGUE_SQL = """catalogue AS (
          CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS forks,
          lang AS language,
          'https://example.org/' || source || '/doc-' || CAST(doc_id AS VARCHAR) AS url,
-         substr(text, 1, 800) AS readme_snippet,
+         text AS readme_snippet,
          TIMESTAMP '2024-06-01 00:00:00' AS last_scanned_utc,
          CAST(DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS TIMESTAMP) AS created_at,
          CAST(DATE '2020-01-01' + CAST(doc_id % 1000 AS INTEGER) AS TIMESTAMP)
@@ -34,8 +34,8 @@ CATALOGUE_SQL = """catalogue AS (
   FROM documents)"""
 
 
-def first_words_sql(expr: str, n: int = 20) -> str:
-    return f"array_to_string(list_slice(regexp_extract_all({expr}, '{TOKEN_RE}'), 1, {n}), ' ')"
+def all_words_sql(expr: str) -> str:
+    return f"array_to_string(regexp_extract_all({expr}, '{TOKEN_RE}'), ' ')"
 
 
 SUMMARISED_SQL = CATALOGUE_SQL + f""",
@@ -44,7 +44,7 @@ summarised AS (
          c.readme_snippet AS readme, c.last_scanned_utc, c.created_at, c.pushed_at,
          CASE WHEN c.stars < 30 THEN NULL
               WHEN l.toxic = 1 THEN '{SUMMARY_ERROR}'
-              ELSE {first_words_sql('c.readme_snippet')} END AS summary,
+              ELSE {all_words_sql('c.readme_snippet')} END AS summary,
          c.doc_id
   FROM catalogue c LEFT JOIN labels l ON l.doc_id = c.doc_id)"""
 
@@ -93,8 +93,8 @@ def with_(cte: str, body: str) -> str:
 
 
 # ----------------------------------------------------------------- Spark
-def first_words(col, n: int = 20):
-    return F.array_join(F.slice(F.regexp_extract_all(col, F.lit(TOKEN_RE), 0), 1, n), " ")
+def all_words(col):
+    return F.array_join(F.regexp_extract_all(col, F.lit(TOKEN_RE), 0), " ")
 
 
 def _docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +107,13 @@ def _docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summarised(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False, keep_labels: bool = False) -> DataFrame:
     """Catalogue after a summary run: short texts were never summarised
-    (null), toxic-labelled rows failed (error sentinel), the rest hold the
-    first-words stub summary of their README."""
+    (null), toxic-labelled rows failed (error sentinel), the rest hold all words
+    of their README, so that what follows works on whole texts."""
     j = normalise_columns(_docs_labels(spark, sf_dir))
     summary = (
         F.when(F.col("stars") < 30, F.lit(None).cast("string"))
         .when(F.col("toxic") == 1, F.lit(SUMMARY_ERROR))
-        .otherwise(first_words(F.col("readme")))
+        .otherwise(all_words(F.col("readme")))
     )
     out = j.withColumn("summary", summary)
     if not keep_labels:

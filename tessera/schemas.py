@@ -21,6 +21,7 @@ EMBED_BATCH = 10
 KNN_K = 15
 REDUCED_DIMS = 10
 MIN_CLUSTER_SIZE = 5
+LABEL_SAMPLE = 5
 # ---------------------------------------------------------------------------
 
 KEY = ["account", "name"]

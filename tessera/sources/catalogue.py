@@ -54,18 +54,30 @@ def write_stage(df: DataFrame, path: str, run_id: str, stage: str | None = None)
     )
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds any file, on whatever store Spark reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hadoop) and len(fs.listStatus(hadoop)) > 0
+
+
 def overwrite_and_verify(spark: SparkSession, path: str, keep: F.Column, reject: F.Column,
                          staging_path: str) -> dict:
-    """Rewrite the table without rejected rows. Spark cannot overwrite
-    what it is reading, so write the kept rows to a staging path, check the
-    counts, then overwrite the target from staging and reload to confirm no
-    rejected row remains."""
+    """Rewrite the table without rejected rows. The kept rows are written
+    to a staging path and checked there (kept = before - rejected, none left to
+    reject); only then is the target overwritten from staging, and checked
+    again. A failed check raises; before the swap the target is untouched."""
     src = spark.read.parquet(path)
-    before = src.count()
+    rejected_if = F.coalesce(reject, F.lit(False)).cast("int")
+    before, rejected = src.agg(F.count("*"), F.coalesce(F.sum(rejected_if), F.lit(0))).first()
     src.filter(keep).write.mode("overwrite").parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
-    kept = staged.count()
-    staged.write.mode("overwrite").parquet(path)
-    after = spark.read.parquet(path)
-    remaining = after.filter(reject).count()
-    return {"before": before, "kept": kept, "after": after.count(), "remaining_rejected": remaining}
+
+    def checked(at: str) -> int:
+        n, left = spark.read.parquet(at).agg(F.count("*"), F.coalesce(F.sum(rejected_if), F.lit(0))).first()
+        if n != before - rejected or left:
+            raise RuntimeError(f"rewrite of {path}: {at} holds {n} rows, {left} of them rejected; {before} - {rejected} were to stay")
+        return n
+
+    kept = checked(staging_path)
+    spark.read.parquet(staging_path).write.mode("overwrite").parquet(path)
+    return {"before": before, "kept": kept, "after": checked(path), "remaining_rejected": 0}

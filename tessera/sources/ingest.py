@@ -12,7 +12,6 @@ from tessera.operators.joins import allow_list
 from tessera.schemas import (
     CATALOGUE_COLUMNS,
     LISTING_ITEM,
-    LISTING_PAGE,
     NO_DESCRIPTION,
     NO_LANGUAGE,
     README_MISSING,
@@ -21,10 +20,12 @@ from tessera.schemas import (
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """A landed registry document (one JSON mapping of group -> list of
-    accounts per file). Anything but a mapping yields no rows; a group
+    accounts per file). Anything but a mapping fails the job; a group
     whose value is not a list gets a null ``accounts``."""
     raw = spark.read.option("wholetext", "true").text(path)
-    groups = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("group", "raw"))
+    mapping = F.from_json("value", "map<string,string>")
+    refused = F.raise_error(F.concat(F.lit("the registry is not a mapping: "), F.substring("value", 1, 80)))
+    groups = raw.select(F.explode(F.when(mapping.isNull(), refused.cast("map<string,string>")).otherwise(mapping)).alias("group", "raw"))
     return groups.select("group", F.from_json("raw", "array<string>").alias("accounts"))
 
 
@@ -57,14 +58,26 @@ def only_objects(items: DataFrame) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
-    """S2 from files: JSON lines ``{"account": .., "page": .., "body": ..}``."""
-    raw = spark.read.schema("account string, page bigint, body string").json(path)
-    return explode_listing(raw)
+    """S2 from files: JSON lines ``{"account": .., "page": .., "body": ..}``.
+    What can't be read is in ``corrupt_listing``."""
+    return explode_listing(_landed(spark, path))
 
 
-def cap_per_account(items: DataFrame, n: int | None = LISTING_PAGE) -> DataFrame:
-    """S3: keep only the first n items per account (one page), counting
-    every item of the page, objects or not. ``None`` keeps all. The top-n
+def corrupt_listing(spark: SparkSession, path: str) -> DataFrame:
+    """The landed lines that ``read_listing`` can't use, as (account, page,
+    record): lines that are not JSON, and bodies that are not an array."""
+    raw = _landed(spark, path)
+    bad = F.col("_corrupt_record").isNotNull() | F.from_json("body", "array<string>").isNull()
+    return raw.filter(bad).select("account", "page", F.coalesce("_corrupt_record", "body").alias("record"))
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("account string, page bigint, body string, _corrupt_record string").json(path)
+
+
+def cap_per_account(items: DataFrame, n: int | None = None) -> DataFrame:
+    """S3: keep all items, or only the first n of each account, counting
+    every item, objects or not. The top-n
     window runs a partial limit before the shuffle."""
     if n is None:
         return items

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import first_line, truncate_readme
+from tessera.functions.text import first_line
 
 # Fixed values for the stand-ins (not reference values): scan stamp, epoch
 # for created_at, URL prefix, README 404 rule, listing page size.
@@ -32,7 +32,7 @@ def _newlines(c):
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue rows: account = source, name = 'doc-'||doc_id, description =
     first line, stars = n_chars, forks = line breaks, language = lang,
-    readme_snippet = first 800 characters."""
+    readme_snippet = the whole text (the scan cuts it, P3)."""
     d = table(spark, sf_dir, "documents")
     created = F.date_add(F.lit(CREATED_EPOCH).cast("date"), (F.col("doc_id") % 1000).cast("int"))
     created_ts = created.cast("timestamp")
@@ -44,7 +44,7 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         _newlines(F.col("text")).cast("bigint").alias("forks"),
         F.col("lang").alias("language"),
         F.concat(F.lit(URL_PREFIX), F.col("source"), F.lit("/doc-"), F.col("doc_id").cast("string")).alias("url"),
-        truncate_readme(F.col("text")).alias("readme_snippet"),
+        F.col("text").alias("readme_snippet"),
         F.lit(SCAN_STAMP).cast("timestamp").alias("last_scanned_utc"),
         created_ts.alias("created_at"),
         F.timestamp_add("DAY", (F.col("n_chars") % 365).cast("int"), created_ts).alias("pushed_at"),

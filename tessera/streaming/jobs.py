@@ -1,12 +1,10 @@
 """Incremental jobs as Structured Streaming.
 
-I1: landed listing responses -> catalogue rows, skipping keys already in
-the stored catalogue (stream-static anti-join) and keys seen earlier in
-the stream (``dropDuplicates`` state kept in the checkpoint), so a run can
-be interrupted and resumed. Key state grows with the number of catalogue
-keys; on a cluster use the RocksDB state store provider.
+I1: landed listing responses -> catalogue rows with READMEs, skipping keys
+already in the stored catalogue or in earlier batches' output (anti-joins), so
+a run can be interrupted and resumed; the state is the output itself.
 
-I2/I3: enrichment in micro-batches with ``foreachBatch``. Each batch's
+Micro-batches run in ``foreachBatch``. Each batch's
 output goes to its own ``batch_id`` partition with dynamic overwrite, so a
 replayed batch rewrites its own rows instead of duplicating them. Batches
 are sized in files (``maxFilesPerTrigger``): land small files to get
@@ -20,31 +18,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.schemas import KEY, SAVE_EVERY
-from tessera.sources.ingest import explode_listing, to_catalogue
+from tessera.operators.joins import attach_readme, first_per_key, new_items
+from tessera.schemas import CATALOGUE, KEY, SAVE_EVERY
+from tessera.session import cut_lineage
+from tessera.sources.catalogue import table_exists
+from tessera.sources.ingest import explode_listing, project_catalogue, to_catalogue
 
 RESPONSE = T.StructType(
     [T.StructField("account", T.StringType()), T.StructField("page", T.LongType()), T.StructField("body", T.StringType())]
 )
 
+WRITTEN = T.StructType([*CATALOGUE.fields, T.StructField("batch_id", T.LongType())])
+
 
 def stream_catalogue(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
-                     stored: DataFrame | None = None, max_files: int | None = None):
+                     stored: DataFrame | None = None, max_files: int | None = None,
+                     readmes: DataFrame | None = None):
     """Run once over everything landed so far (``availableNow``) and
-    return the finished query."""
+    return the finished query. Each batch is scanned as a whole scan is (J1:
+    keys in ``stored`` or in earlier batches' output are known, the first of
+    repeats stays; J3: READMEs) and written to its own ``batch_id`` partition."""
     reader = spark.readStream.schema(RESPONSE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    items = explode_listing(reader.json(landing))
-    rows = to_catalogue(items)
-    if stored is not None:
-        rows = rows.join(stored.select(*KEY).filter(F.length("name") > 0), KEY, "left_anti")
-    rows = rows.dropDuplicates(KEY).drop("page", "pos")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        rows = to_catalogue(explode_listing(batch))
+        if stored is not None:
+            rows = new_items(rows, stored)
+        if table_exists(spark, out_path):
+            rows = new_items(rows, spark.read.schema(WRITTEN).parquet(out_path).filter(F.col("batch_id") != batch_id))
+        rows = first_per_key(rows, KEY, ["page", "pos"])
+        if readmes is not None:
+            rows = attach_readme(rows, readmes)
+        # Written before the output that it was compared with changes.
+        rows = cut_lineage(project_catalogue(rows)).withColumn("batch_id", F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
+
     q = (
-        rows.writeStream.format("parquet")
-        .option("path", out_path)
+        reader.json(landing)
+        .writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -49,9 +49,10 @@ def tokens(text: str | None) -> list[str]:
 
 
 class FirstWords:
-    """Summary stub: the first ``n`` blank-separated words of the prompt."""
+    """Summary stub: the first ``n`` blank-separated words of the prompt, or
+    all of them (``None``)."""
 
-    def __init__(self, n: int = 20, fail_mod: int | None = None):
+    def __init__(self, n: int | None = 20, fail_mod: int | None = None):
         self.n = n
         self.fail_mod = fail_mod
 
@@ -157,7 +158,7 @@ class HashEmbedding:
         return out
 
 
-def first_words(n: int = 20, fail_mod: int | None = None):
+def first_words(n: int | None = 20, fail_mod: int | None = None):
     return functools.partial(FirstWords, n, fail_mod)
 
 
