@@ -86,15 +86,17 @@ def _candidates(points: DataFrame, piv_ids: np.ndarray, piv: np.ndarray, radii:
             else:
                 dd = np.where(piv_ids[None, :] == b["id"].to_numpy()[:, None], np.inf, d)
                 bound = np.partition(dd, k - 1, axis=1)[:, k - 1]
-            ok = (d - radii[None, :]) <= bound[:, None] + 1e-12
+            # A distance of nearly equal vectors is the root of a rounding error.
+            ok = (d - radii[None, :]) <= bound[:, None] + 1e-6 * (1 + np.sqrt((piv * piv).sum(1)).max())
             qi, ci = np.nonzero(ok)
-            yield pd.DataFrame({"q": b["id"].to_numpy()[qi], "qv": b["v"].to_numpy()[qi],
+            yield pd.DataFrame({"q": b["id"].to_numpy()[qi],
                                 "cell": ci.astype("int32"), "bound": bound[qi]})
 
-    return points.mapInPandas(run, "q long, qv array<double>, cell int, bound double")
+    return points.mapInPandas(run, "q long, cell int, bound double")
 
 
 TILE = 2048  # max queries and members per tile
+DIGITS = 12  # of a distance
 
 
 def _star_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,24 +126,26 @@ def _tile_pairs(k: int | None, metric: str, forest: bool = False):
     def run(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         if len(qs) == 0 or len(xs) == 0:
             return pd.DataFrame({"src": [], "dst": [], "distance": []})
+        xs = xs.sort_values("x")
         q = np.stack(qs["qv"].to_numpy())
         x = np.stack(xs["xv"].to_numpy())
         qid = qs["q"].to_numpy()
         xid = xs["x"].to_numpy()
         dot = q @ x.T
-        if metric == "cosine":
-            dist = 1.0 - dot
-            chord = np.sqrt(np.maximum(2.0 * dist, 0.0))
-        else:
-            chord = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2.0 * dot, 0.0))
-            dist = chord
-        ok = (chord <= qs["bound"].to_numpy()[:, None] + 1e-12) & (qid[:, None] != xid[None, :])
+        norms = (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :]
+        # Squares are compared, to within the rounding of a dot product: copies
+        # are at distance 0. Distances have DIGITS digits, so copies tie.
+        square = 2.0 * (1.0 - dot) if metric == "cosine" else norms - 2.0 * dot
+        square[np.abs(square) <= 1e-13 * norms] = 0.0
+        dist = np.round(square / 2 if metric == "cosine" else np.sqrt(np.maximum(square, 0.0)), DIGITS)
+        ok = (square <= (qs["bound"].to_numpy() ** 2)[:, None] + 1e-12 * norms) & (qid[:, None] != xid[None, :])
         if k is not None and ok.shape[1] > k:
+            # The k nearest by (distance, id): columns are in the order of ids.
             masked = np.where(ok, dist, np.inf)
-            idx = np.argpartition(masked, k - 1, axis=1)[:, :k]
-            keep = np.zeros_like(ok)
-            np.put_along_axis(keep, idx, True, axis=1)
-            ok &= keep
+            last = np.partition(masked, k - 1, axis=1)[:, k - 1 : k]
+            tie = masked == last
+            room = k - (masked < last).sum(axis=1, keepdims=True)
+            ok &= (masked < last) | (tie & (np.cumsum(tie, axis=1) <= room))
         qi, xi = np.nonzero(ok)
         if forest:
             a, b = _star_forest(qid[qi], xid[xi])
@@ -181,7 +185,8 @@ def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: fl
         "cell int, S int, T int",
     )
     plan = F.broadcast(plan)
-    qside = cand.join(plan, "cell").select(
+    # Candidates carry no vector until they are dealt to their tiles.
+    qside = cand.join(plan, "cell").join(points.select(F.col("id").alias("q"), F.col("v").alias("qv")), "q").select(
         "q", "qv", "bound", "cell",
         (F.abs(F.xxhash64("q")) % F.col("T")).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.col("S") - 1)).alias("sb"),
@@ -191,9 +196,11 @@ def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: fl
         (F.abs(F.xxhash64("id")) % F.col("S")).cast("int").alias("sb"),
         F.explode(F.sequence(F.lit(0), F.col("T") - 1)).alias("qb"),
     )
-    out = qside.groupBy("cell", "sb", "qb").cogroup(xside.groupBy("cell", "sb", "qb")).applyInPandas(
+    out = cut_lineage(qside.groupBy("cell", "sb", "qb").cogroup(xside.groupBy("cell", "sb", "qb")).applyInPandas(
         _tile_pairs(k, metric, forest), "src long, dst long, distance double"
-    )
+    ))
+    for kept in (cand, cells, points):
+        kept.unpersist()
     return out
 
 

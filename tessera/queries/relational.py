@@ -36,10 +36,10 @@ from tessera.stubs import GOAL_TEMPLATE, GOALS, SEED_TOPICS, SUMMARY_TEMPLATE, T
 
 KEY = ["account", "name"]
 # Fixed values (our own): the allow list used by the registry queries.
-ALLOWED = ["NATION_1", "NATION_3", "NATION_7", "NATION_12", "NATION_24", "NATION_99"]
+ALLOWED = [f"Customer#{k:09d}" for k in (1, 3, 7, 12, 24, 99, 10**9)]
 ALLOWED_SQL = ", ".join(f"'{a}'" for a in ALLOWED)
 
-REGION_NATION_SQL = "nation JOIN region ON n_regionkey = r_regionkey"
+REGISTRY_SQL = """registry AS (SELECT c_mktsegment || ' ' || CAST(c_custkey // 100 AS VARCHAR) AS "group", c_name AS account FROM customer)"""
 
 
 def _sql_str(s: str) -> str:
@@ -48,29 +48,28 @@ def _sql_str(s: str) -> str:
 
 # ------------------------------------------------------------ 2.1 sources
 def landed_registry(spark, sf_dir):
-    """Land the registry stand-in as one JSON mapping document, then read it
-    back through S1 (the registry is one small document by definition)."""
+    """Land the registry stand-in as JSON mappings, one for each group, then
+    read them back through S1."""
     reg = standins.registry(spark, sf_dir)
     path = shared_path(spark, "registry")
-    reg.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("group", "accounts")))).alias("value")).write.text(path)
-    return ingest.read_registry(spark, path)
+    reg.select(F.to_json(F.create_map("group", "accounts")).alias("value")).write.text(path)
+    return ingest.read_registry(spark, path, lines=True)
 
 
 @query(
     "read_registry",
-    f"""SELECT r_name AS "group", string_agg(n_name, ',' ORDER BY n_name) AS accounts
-FROM {REGION_NATION_SQL} GROUP BY r_name""",
+    with_(REGISTRY_SQL, """SELECT "group", string_agg(account, ',' ORDER BY account) AS accounts FROM registry GROUP BY "group\""""),
 )
 def q_read_registry(spark, sf_dir):
     return landed_registry(spark, sf_dir).select("group", F.array_join("accounts", ",").alias("accounts"))
 
 
-@query("flatten_registry", f'SELECT DISTINCT r_name AS "group", n_name AS account FROM {REGION_NATION_SQL}')
+@query("flatten_registry", with_(REGISTRY_SQL, 'SELECT DISTINCT "group", account FROM registry'))
 def q_flatten_registry(spark, sf_dir):
     return ingest.flatten_registry(landed_registry(spark, sf_dir)).distinct()
 
 
-@query("allow_list", f"SELECT DISTINCT n_name AS account FROM nation WHERE n_name IN ({ALLOWED_SQL})")
+@query("allow_list", f"SELECT DISTINCT c_name AS account FROM customer WHERE c_name IN ({ALLOWED_SQL})")
 def q_allow_list(spark, sf_dir):
     return ingest.account_names(standins.registry(spark, sf_dir), ALLOWED)
 
@@ -641,8 +640,9 @@ def q_sample_per_cluster(spark, sf_dir):
     return sampled_clusters(spark, sf_dir).select("cluster_id", "sample_rank", *KEY)
 
 
-PICKS_SQL = f"""picks AS (
-  SELECT "group", account FROM (SELECT DISTINCT r_name AS "group", n_name AS account FROM {REGION_NATION_SQL})
+PICKS_SQL = REGISTRY_SQL + f""",
+picks AS (
+  SELECT "group", account FROM (SELECT DISTINCT "group", account FROM registry)
   QUALIFY row_number() OVER (PARTITION BY "group" ORDER BY {_md5_key_sql(42, '"group"', 'account')}, "group", account) = 1)"""
 
 
@@ -654,7 +654,7 @@ def q_random_per_group(spark, sf_dir):
 
 @query(
     "target_accounts",
-    with_(PICKS_SQL, f"SELECT DISTINCT account FROM (SELECT account FROM picks UNION ALL SELECT n_name FROM nation WHERE n_name IN ({ALLOWED_SQL}))"),
+    with_(PICKS_SQL, f"SELECT DISTINCT account FROM (SELECT account FROM picks UNION ALL SELECT c_name FROM customer WHERE c_name IN ({ALLOWED_SQL}))"),
 )
 def q_target_accounts(spark, sf_dir):
     reg = standins.registry(spark, sf_dir)
@@ -811,22 +811,20 @@ def q_render_goal_prompt(spark, sf_dir):
     return summarised(spark, sf_dir).select(*KEY, prompts.render_goal_prompt(GOAL_TEMPLATE, GOALS).alias("prompt"))
 
 
-@query("slug", f"SELECT n_name, r_name, lower(replace(r_name, ' ', '_')) AS slug FROM {REGION_NATION_SQL}")
+@query("slug", "SELECT c_custkey, lower(replace(c_mktsegment || ' ' || c_name, ' ', '_')) AS slug FROM customer")
 def q_slug(spark, sf_dir):
-    n = standins.table(spark, sf_dir, "nation")
-    r = standins.table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_name", "r_name", tx.slug("r_name").alias("slug"))
+    c = standins.table(spark, sf_dir, "customer")
+    return c.select("c_custkey", tx.slug(F.concat_ws(" ", "c_mktsegment", "c_name")).alias("slug"))
 
 
 @query(
     "title_from_slug",
-    f"""SELECT n_name, array_to_string(list_transform(string_split(lower(replace(lower(replace(r_name, ' ', '_')), '_', ' ')), ' '),
-  lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM {REGION_NATION_SQL}""",
+    """SELECT c_custkey, array_to_string(list_transform(string_split(lower(c_mktsegment || ' ' || c_name), ' '),
+  lambda w: upper(w[1]) || w[2:]), ' ') AS title FROM customer""",
 )
 def q_title_from_slug(spark, sf_dir):
-    n = standins.table(spark, sf_dir, "nation")
-    r = standins.table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_name", tx.title_from_slug(tx.slug("r_name")).alias("title"))
+    c = standins.table(spark, sf_dir, "customer")
+    return c.select("c_custkey", tx.title_from_slug(tx.slug(F.concat_ws(" ", "c_mktsegment", "c_name"))).alias("title"))
 
 
 @query("repo_key", with_(CATALOGUE_SQL, "SELECT account, name, account || '/' || name AS repo_key FROM catalogue"))
@@ -934,6 +932,14 @@ def q_strip_label(spark, sf_dir):
     return s.select(*KEY, tx.strip_label(raw).alias("label"))
 
 
-@query("vector_to_text")
+@query(
+    "vector_to_text",
+    """SELECT vec_id, CAST(len(embedding) AS DOUBLE) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first,
+  round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x)), 5) AS norm2 FROM embeddings""",
+)
 def q_vector_to_text(spark, sf_dir):
-    return standins.vectors(spark, sf_dir).select("vec_id", tx.vector_to_text("embedding").alias("embedding_text"))
+    """F12, read back by F7."""
+    text = standins.vectors(spark, sf_dir).select("vec_id", tx.vector_to_text("embedding").alias("t"))
+    back = text.select("vec_id", jsonx.parse_vector("t").alias("v"))
+    return back.select("vec_id", F.size("v").cast("double").alias("dims"), F.round(F.get("v", 0), 5).alias("first"),
+                       F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 5).alias("norm2"))

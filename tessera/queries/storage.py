@@ -60,10 +60,13 @@ def q_write_stage(spark, sf_dir):
     return _ts_out(spark.read.parquet(path).filter(F.col("run_id") == "run-a").drop("run_id", "stage"))
 
 
-@query("stamp_scan_time")
+@query("stamp_scan_time", "SELECT language, count(*) AS n, count(*) AS stamped, 1 AS times FROM (SELECT lang AS language FROM documents) GROUP BY language")
 def q_stamp_scan_time(spark, sf_dir):
     """One scan time per job (non-deterministic: rows-only check)."""
-    return stamp_scan_time(standins.catalogue(spark, sf_dir)).select(*KEY, "last_scanned_utc")
+    stamped = stamp_scan_time(standins.catalogue(spark, sf_dir))
+    now = F.abs(F.unix_timestamp("last_scanned_utc") - F.unix_timestamp(F.current_timestamp())) < 86400
+    return stamped.groupBy("language").agg(F.count("*").alias("n"), F.count_if(now).alias("stamped"),
+                                           F.count_distinct("last_scanned_utc").cast("int").alias("times"))
 
 
 @query("sort_desc", with_(CATALOGUE_SQL, "SELECT account, name, stars FROM catalogue"))

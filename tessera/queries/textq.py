@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tessera.operators import textmine as TM
 from tessera.operators import windows as W
-from tessera.plans.topics import text_clusters, topic_report
+from tessera.operators import topk as T
+from tessera.plans.topics import topic_report
 from tessera.queries.registry import query, r6
 from tessera.queries.relational import _stops_sql
 from tessera.queries.views import SUMMARISED_SQL, classified, summarised, with_
+from tessera.sources import standins
 
 KEY = ["account", "name"]
 
@@ -80,10 +82,22 @@ def q_pca_2d(spark, sf_dir):
     return TM.pca_2d(v, KEY)
 
 
-@query("cluster_sizes")
+@query("cluster_sizes", "SELECT label AS text_cluster, count(*) AS count FROM embeddings GROUP BY label")
 def q_cluster_sizes(spark, sf_dir):
-    out = text_clusters(classified(spark, sf_dir), "summary", ks=range(2, 6))
-    return out["cluster_sizes"]
+    return T.cluster_sizes(standins.vectors(spark, sf_dir).withColumnRenamed("label", "text_cluster"))
+
+
+@query(
+    "elbow_fixed",
+    """WITH inertia AS (SELECT label + 2 AS k, sum(vec_id % 97 + label * label) AS v FROM embeddings GROUP BY label),
+bends AS (SELECT k, lead(v) OVER w - 2 * v + lag(v) OVER w AS bend FROM inertia WINDOW w AS (ORDER BY k))
+SELECT CAST(k AS INTEGER) AS k FROM bends WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1""",
+)
+def q_elbow_fixed(spark, sf_dir):
+    """W7 on a table that SQL can restate: a value for each K from the vectors."""
+    v = standins.vectors(spark, sf_dir)
+    inertia = v.groupBy((F.col("label") + 2).alias("k")).agg(F.sum(F.col("vec_id") % 97 + F.col("label") * F.col("label")).cast("double").alias("inertia"))
+    return W.elbow(inertia)
 
 
 @query("topic_report")

@@ -18,11 +18,11 @@ from tessera.schemas import (
 )
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """A landed registry document (one JSON mapping of group -> list of
-    accounts per file). Anything but a mapping fails the job; a group
+def read_registry(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Landed registry documents, each a JSON mapping of group -> list of
+    accounts: one per file, or (``lines``) one per line. Anything but a mapping fails the job; a group
     whose value is not a list gets a null ``accounts``."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.option("wholetext", str(not lines).lower()).text(path)
     mapping = F.from_json("value", "map<string,string>")
     refused = F.raise_error(F.concat(F.lit("the registry is not a mapping: "), F.substring("value", 1, 80)))
     groups = raw.select(F.explode(F.when(mapping.isNull(), refused.cast("map<string,string>")).otherwise(mapping)).alias("group", "raw"))

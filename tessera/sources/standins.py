@@ -19,6 +19,7 @@ CREATED_EPOCH = "2020-01-01"
 URL_PREFIX = "https://example.org/"
 README_404_EVERY = 7
 PAGE_ITEMS = 100
+REGISTRY_GROUP = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,15 +53,11 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry (group, accounts): nations grouped by region. The group size
-    is bounded by the nation table."""
-    r = table(spark, sf_dir, "region")
-    n = table(spark, sf_dir, "nation")
-    return (
-        n.join(r, n.n_regionkey == r.r_regionkey)
-        .groupBy(F.col("r_name").alias("group"))
-        .agg(F.array_sort(F.collect_list("n_name")).alias("accounts"))
-    )
+    """Registry (group, accounts): customers in groups of at most 100, by
+    market segment and hundreds of the key; groups grow with the table."""
+    c = table(spark, sf_dir, "customer")
+    group = F.concat_ws(" ", "c_mktsegment", F.floor(F.col("c_custkey") / REGISTRY_GROUP).cast("string"))
+    return c.groupBy(group.alias("group")).agg(F.array_sort(F.collect_list("c_name")).alias("accounts"))
 
 
 def listing_item_json() -> F.Column:
