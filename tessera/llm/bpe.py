@@ -229,7 +229,11 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "id
 
 def bpe_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """For each document the count and SHA-256 of its ids, and the SHA-256 of
-    the bytes they decode to. Ids and bytes stay in the task, in chunks."""
+    the bytes they decode to. Ids and bytes stay in the task, in chunks.
+
+    A null or empty text has no ids. Each row is taken by itself: repeated rows
+    and null ids stay, other columns are ignored, an empty table gives an empty
+    one."""
     docs = docs.select("doc_id", "text")
     codec_of = _codec_factory(docs, path, pattern)
 

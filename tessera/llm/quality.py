@@ -72,7 +72,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and statistics of every row (null text: as empty)."""
+    """doc_id and statistics of every row, one row each: a null text counts as
+    empty, repeated rows and null ids stay, other columns are ignored."""
 
     def make():
         def work(batch):
@@ -194,7 +195,9 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 
 
 def score(stats: DataFrame, model: KernelModel, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``stats``."""
+    """doc_id, held_out, score and predicted of every row of ``stats``; equal
+    texts score alike, a null doc_id is not held out, an empty table gives an
+    empty one."""
     shared = stats.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -208,7 +211,8 @@ def score(stats: DataFrame, model: KernelModel, threshold: float = 0.3) -> DataF
 
 
 def drop_poor(docs: DataFrame, model: KernelModel, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that score below ``threshold``, in one pass."""
+    """``docs`` without the rows that score below ``threshold``, in one pass.
+    A null text is scored as an empty one; all columns stay as they are."""
     shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def make():
