@@ -127,12 +127,14 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     are told apart by doc_id, source and size; rows that repeat all three get
     the same draws."""
     draws, size = temporary(docs, "draws"), temporary(docs, "size")
-    planned = plan_mix(docs, **how).select(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), F.col("draws").alias(draws)).dropDuplicates(["p_id", "p_source", "p_size"])
+    key = {c: temporary(docs, f"planned_{c}") for c in ("doc_id", "source", "size")}
+    planned = plan_mix(docs, **how).select(*(F.col(c).alias(k) for c, k in key.items()), F.col("draws").alias(draws)).dropDuplicates([*key.values()])
     sized = docs.withColumn(size, word_count(F.col("text")))
-    same = sized["doc_id"].eqNullSafe(planned["p_id"]) & sized["source"].eqNullSafe(planned["p_source"]) & (sized[size] == planned["p_size"])
+    same = sized["doc_id"].eqNullSafe(planned[key["doc_id"]]) & sized["source"].eqNullSafe(planned[key["source"]]) & (sized[size] == planned[key["size"]])
     taken = sized.join(planned, same).withColumn(draws, F.explode(draws))
     part = F.col(draws)["words"] < F.col(size)
     text = F.when(part, F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(draws)["words"].cast("int")))).otherwise(F.col("text"))
     changed = {"text": text} | ({"n_chars": F.when(part, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     shard, place = F.col(draws)["shard"], F.col(draws)["place"]
-    return taken.repartition(shard).sortWithinPartitions(shard, place).withColumns(changed).select(*docs.columns)
+    # A shard is dealt in 16 stretches of its shuffled order, so no task holds it whole.
+    return taken.repartition(shard, F.shiftrightunsigned(place, 60)).sortWithinPartitions(shard, place).withColumns(changed).select(*docs.columns)

@@ -3,7 +3,7 @@ import random
 import pytest
 
 #: Columns that operators use inside, as further columns of the input.
-CLASH = "size slot shard fp sha row n best range digests next sketch ids n_tokens score x taken draws target component_id kept_id key core".split()
+CLASH = "size slot shard fp sha row n best range digests next sketch ids n_tokens score x taken draws target component_id kept_id key core planned_source c_id l_id quality y doc".split()
 
 
 def words(seed: int, n: int) -> str:
