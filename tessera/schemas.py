@@ -22,38 +22,17 @@ KNN_K = 15
 REDUCED_DIMS = 10
 MIN_CLUSTER_SIZE = 5
 LABEL_SAMPLE = 5
+CATALOGUE_COLUMNS = [
+    "account", "name", "description", "stars", "forks", "language", "url", "readme_snippet",
+    "last_scanned_utc", "created_at", "pushed_at",
+]
 # ---------------------------------------------------------------------------
 
 KEY = ["account", "name"]
 
-CATALOGUE_COLUMNS = [
-    "account",
-    "name",
-    "description",
-    "stars",
-    "forks",
-    "language",
-    "url",
-    "readme_snippet",
-    "last_scanned_utc",
-    "created_at",
-    "pushed_at",
-]
-
+LONGS, TIMES = ("stars", "forks"), ("last_scanned_utc", "created_at", "pushed_at")
 CATALOGUE = T.StructType(
-    [
-        T.StructField("account", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("stars", T.LongType()),
-        T.StructField("forks", T.LongType()),
-        T.StructField("language", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("readme_snippet", T.StringType()),
-        T.StructField("last_scanned_utc", T.TimestampType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("pushed_at", T.TimestampType()),
-    ]
+    [T.StructField(c, T.LongType() if c in LONGS else T.TimestampType() if c in TIMES else T.StringType()) for c in CATALOGUE_COLUMNS]
 )
 
 REGISTRY = T.StructType(

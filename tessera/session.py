@@ -59,12 +59,8 @@ def ship_package(spark: SparkSession) -> None:
         # On a cluster the deployment ships the package (--py-files).
         sc._tessera_shipped = True
         return
-    try:
-        out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")
-        archive = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", _REPO_DIR, "tessera")
-        sc.addPyFile(archive)
-    except Exception:  # read-only driver disk: fall back to PYTHONPATH
-        pass
+    out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")  # Spark copies it to the executors
+    sc.addPyFile(shutil.make_archive(os.path.join(out_dir, "tessera"), "zip", _REPO_DIR, "tessera"))
     sc._tessera_shipped = True
 
 
