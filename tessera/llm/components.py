@@ -11,11 +11,11 @@ from tessera.llm.common import cut_lineage
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Each node hands its smallest neighbour to its other neighbours: a large
     star to the larger ones, a small star to the smaller ones and itself. The
-    smallest is found by a partial aggregation and joined back, so a hub's
-    edges are not one group."""
+    smallest is found by a partial aggregation, written, and joined back: both
+    sides of the join are then plain shuffles, which Spark splits at a hub."""
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     near = edges.unionByName(back) if large else edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut_lineage(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     met = near.join(least, "u")
     out = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:

@@ -252,7 +252,9 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 3, seed: int = 4
     classes = cut_lineage(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(fingerprint_links(classes, most))
     classes = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written: both sides of the next join are plain shuffles, which Spark
+    # splits where one component holds many fingerprints.
+    least = cut_lineage(classes.groupBy("root").agg(F.min("first").alias("component_id")))
     return found.join(classes.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
