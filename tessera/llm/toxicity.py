@@ -10,6 +10,7 @@ of labelled rows of fixed size; scoring is one narrow pass over the texts."""
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,14 +25,20 @@ from tessera.llm.quality import held_out
 #: Words of a window, and from one window to the next.
 WINDOW, STEP = 48, 32
 #: Hash buckets, numbers of a word's vector and of its n-grams' mean, states of a direction, attention units.
-BUCKETS, DIM, STATES, ATTENTION = 1 << 15, 8, 8, 8
+BUCKETS, DIM, STATES, ATTENTION = 1 << 17, 8, 8, 8
 GRAMS = (3, 4)
 #: The sample: rows of each label at most, and the longest text (in code
 #: points) that is learnt from. All texts are scored whole.
 SAMPLE, SAMPLE_CHARS = 2000, 50_000
-ROUNDS, EPOCHS, BATCH, RATE = 2, 2, 128, 0.02
+#: Rounds of choosing windows; windows that a round learns from (a small sample
+#: is gone through again, at most EPOCHS times); batch and step.
+ROUNDS, LEARNT, EPOCHS, BATCH, RATE = 2, 14_000, 8, 128, 0.02
+#: Share of a batch's words whose own vector is hidden.
+HIDDEN = 0.8
 #: Words whose vectors a task remembers, and windows that it scores at once.
 WORDS, TOGETHER = 200_000, 2048
+#: Words whose vectors are made at once.
+WORDS_AT_ONCE = 1 << 14
 _STRIP = ".,;:!?\"'()[]{}<>*_-"
 
 
@@ -48,8 +55,9 @@ class Words:
     """Distinct words with their buckets; number 0 pads."""
 
     number: dict[str, int] = field(default_factory=lambda: {"": 0})
-    own: list[int] = field(default_factory=lambda: [0])
-    grams: list[list[int]] = field(default_factory=lambda: [[0]])
+    own: array = field(default_factory=lambda: array("i", [0]))
+    grams: array = field(default_factory=lambda: array("i", [0]))
+    begin: array = field(default_factory=lambda: array("i", [0, 1]))  # of each word's n-grams, and the end
 
     def numbers(self, words: list[str]) -> np.ndarray:
         for w in dict.fromkeys(words):
@@ -57,8 +65,15 @@ class Words:
                 self.number[w] = len(self.own)
                 own, grams = word_keys(w)
                 self.own.append(own)
-                self.grams.append(grams)
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+                self.grams.extend(grams)
+                self.begin.append(len(self.grams))
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int32, count=len(words))
+
+    def buckets(self, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the words from ``first`` on: buckets, n-gram buckets of all, and
+        where each word's n-grams begin."""
+        begin = np.array(self.begin[first:-1])
+        return np.array(self.own[first:]), np.array(self.grams[self.begin[first] :]), begin - self.begin[first]
 
 
 def windows(n: int) -> np.ndarray:
@@ -68,7 +83,7 @@ def windows(n: int) -> np.ndarray:
 
 def window_table(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(windows x WINDOW word numbers, 0 behind the end; text of each window)."""
-    flat = np.concatenate([np.zeros(0, dtype=np.int64), *texts, np.zeros(WINDOW, dtype=np.int64)])
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *texts, np.zeros(WINDOW, dtype=np.int32)])
     begins, ends, of, at = [], [], [], 0
     for k, t in enumerate(texts):
         w = windows(len(t))
@@ -77,10 +92,11 @@ def window_table(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         at += len(t)
         ends.append(np.full(len(w), at))
     if not begins:
-        return np.zeros((0, WINDOW), dtype=np.int64), np.zeros(0, dtype=np.int64)
-    place = np.concatenate(begins)[:, None] + np.arange(WINDOW)
-    inside = place < np.concatenate(ends)[:, None]
-    return np.where(inside, flat[np.minimum(place, len(flat) - 1)], 0), np.concatenate(of)
+        return np.zeros((0, WINDOW), dtype=np.int32), np.zeros(0, dtype=np.int64)
+    begin, end, out = np.concatenate(begins), np.concatenate(ends), np.empty((WINDOW, sum(map(len, of))), dtype=np.int32)
+    for t in range(WINDOW):
+        out[t] = np.where(begin + t < end, flat[np.minimum(begin + t, len(flat) - 1)], 0)
+    return out.T, np.concatenate(of)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -106,9 +122,13 @@ class Network:
     def inputs(self, own: np.ndarray, flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Vectors of words: ``flat`` holds all their n-grams, ``begin`` where
         each word's begin."""
-        n = np.diff(np.append(begin, len(flat)))
-        grams = np.add.reduceat(self.p["gram"][flat], begin, axis=0) / n[:, None]
-        return np.concatenate([self.p["word"][own], grams], axis=1).astype(np.float32)
+        ends, out = np.append(begin, len(flat)), np.empty((len(own), 2 * DIM), self.p["gram"].dtype)
+        out[:, :DIM] = self.p["word"][own]
+        for k in range(0, len(own), WORDS_AT_ONCE):
+            part = ends[k : k + WORDS_AT_ONCE + 1]
+            total = np.add.reduceat(self.p["gram"][flat[part[0] : part[-1]]], part[:-1] - part[0], axis=0)
+            out[k : k + WORDS_AT_ONCE, DIM:] = total / np.diff(part)[:, None]
+        return out
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         return x @ self.p["wx"] + self.p["b"]
@@ -120,13 +140,21 @@ class Network:
         own = np.ascontiguousarray(gates[:, 3 * s * way : 3 * s * (way + 1)])
         h, out = np.zeros((len(ids), s), np.float32), np.empty((WINDOW, len(ids), s), np.float32)
         for t in range(WINDOW) if way == 0 else range(WINDOW - 1, -1, -1):
-            a, r = own[ids[:, t]], h @ u
-            zr = _sigmoid(a[:, : 2 * s] + r[:, : 2 * s])
+            a, r = own.take(ids[:, t], axis=0), h @ u
+            zr = a[:, : 2 * s] + r[:, : 2 * s]  # then the logistic function, in place
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
             z, reset, q = zr[:, :s], zr[:, s:], r[:, 2 * s :]
-            n = np.tanh(a[:, 2 * s :] + reset * q)
+            n = reset * q
+            n += a[:, 2 * s :]
+            np.tanh(n, out=n)
             if keep is not None:
                 keep.append((t, h, z, reset, q, n))
-            h = n + z * (h - n)
+            h = h - n
+            h *= z
+            h += n
             out[t] = h
         return out
 
@@ -148,11 +176,13 @@ class Network:
             out.append(self._pool(states, part)[3])
         return np.concatenate(out)
 
-    def gradient(self, own, flat, begin, ids, y) -> tuple[float, dict[str, np.ndarray]]:
+    def gradient(self, own, flat, begin, ids, y, seen=1.0) -> tuple[float, dict[str, np.ndarray]]:
         """Mean logistic loss of windows and its gradient; the tables' by the
-        words of this batch alone."""
+        words of this batch alone. ``seen``: 0 for words whose own vector is
+        hidden, so that their n-grams must do."""
         s, p = STATES, self.p
         x = self.inputs(own, flat, begin)
+        x[:, :DIM] *= np.reshape(seen, (-1, 1))
         gates, keep = self.gates(x), ([], [])
         states = np.concatenate([self._run(gates, ids, w, keep[w]) for w in (0, 1)], axis=2)
         hidden, w, pooled, logit = self._pool(states, ids)
@@ -187,7 +217,7 @@ class Network:
         g["wx"], g["b"] = x.T @ d_gates, d_gates.sum(axis=0)
         d_x = d_gates @ p["wx"].T
         n = np.diff(np.append(begin, len(flat)))
-        g["word"] = (own, d_x[:, :DIM])
+        g["word"] = (own, d_x[:, :DIM] * np.reshape(seen, (-1, 1)))
         g["gram"] = (flat, np.repeat(d_x[:, DIM:] / n[:, None], n, axis=0))
         loss = float(np.mean(np.logaddexp(0, logit) - y * logit))
         return loss, g
@@ -213,11 +243,6 @@ class Adam:
             self.p[k][rows] -= self.rate * fix * m / (np.sqrt(v) + 1e-8)
 
 
-def _ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([len(x) for x in lists])
-    return np.concatenate([np.array(x) for x in lists]), np.cumsum(n) - n
-
-
 def _odds(seen: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Shrunken log odds of each bucket, by the texts that hold it."""
     counts = np.zeros((2, BUCKETS))
@@ -226,7 +251,7 @@ def _odds(seen: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     n = np.array([(y == 0).sum(), (y == 1).sum()]) + 1.0
     odds = np.log((counts[1] + 0.5) / n[1]) - np.log((counts[0] + 0.5) / n[0])
     total = counts.sum(axis=0)
-    return odds * total / (total + 5)
+    return odds * total / (total + 20)
 
 
 def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
@@ -235,23 +260,27 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
     windows that count for it: the one that scores highest and, for a negative,
     a random one too."""
     net, words, rng = Network(seed), Words(), np.random.default_rng(seed)
-    # Texts without words are negatives, so that padding alone never counts.
-    blank = max(8, len(texts) // 50) if len(y) and y.min() < y.max() else 0
-    texts, y = [*texts, *[""] * blank], np.append(y, np.zeros(blank, np.float32))
+    if len(y) and y.min() < y.max():
+        # Texts without words, and one word of a negative text over and over,
+        # are negatives: neither padding nor repetition counts by itself.
+        plain = [t.split() for t, label in zip(texts, y, strict=True) if not label]
+        plain = [t for t in plain if t]
+        again = [" ".join([plain[k][rng.integers(len(plain[k]))]] * WINDOW) for k in rng.integers(0, len(plain), max(8, len(plain) // 8))] if plain else []
+        more = [""] * max(8, len(texts) // 50) + again
+        texts, y = [*texts, *more], np.append(y, np.zeros(len(more), np.float32))
     if not len(y) or y.min() == y.max():
         net.scale, net.shift = 0.0, (0.0 if not len(y) else 4.0 * (2 * y[0] - 1))
         return net
     numbers = [words.numbers(t.split()) for t in texts]
-    own, (flat, begin) = np.array(words.own), _ragged(words.grams)
+    own, flat, begin = words.buckets()
     size = np.diff(np.append(begin, len(flat)))
     distinct = [np.unique(n) for n in numbers]
     net.p["word"][:, 0] = _odds([np.unique(own[d]) for d in distinct], y)
     net.p["gram"][:, 0] = _odds([np.unique(flat[np.repeat(begin[d], size[d]) + np.arange(size[d].sum()) - np.repeat(np.cumsum(size[d]) - size[d], size[d])]) if len(d) else d for d in distinct], y)
     ids, of = window_table(numbers)
-    x = net.inputs(own, flat, begin)
-    hint = x[:, 0] + x[:, DIM]
+    hint = net.inputs(own, flat, begin)[:, [0, DIM]].sum(axis=1)
     hint[0] = -9
-    logit = np.sort(hint[ids], axis=1)[:, -2:].sum(axis=1)
+    logit = np.concatenate([np.sort(hint[ids[k : k + TOGETHER]], axis=1)[:, -2:].sum(axis=1) for k in range(0, len(ids), TOGETHER)])
     adam = Adam(net.p, RATE)
     first = np.searchsorted(of, np.arange(len(texts) + 1))
     for _ in range(ROUNDS):
@@ -259,7 +288,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
         some = first[:-1] + rng.integers(0, np.diff(first))
         chosen = np.concatenate([best, some[y == 0]])
         label = y[of[chosen]]
-        for _ in range(EPOCHS):
+        for _ in range(min(EPOCHS, -(-LEARNT // len(chosen)))):
             order = rng.permutation(len(chosen))
             for k in range(0, len(order), BATCH):
                 part = order[k : k + BATCH]
@@ -268,7 +297,8 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
                 if used[0] != 0:  # number 0 stays the padding
                     used, place = np.append(0, used), place + 1
                 at = np.repeat(begin[used], size[used]) + np.arange(size[used].sum()) - np.repeat(np.cumsum(size[used]) - size[used], size[used])
-                _, g = net.gradient(own[used], flat[at], np.cumsum(size[used]) - size[used], place, label[part])
+                seen = (rng.random(len(used)) >= HIDDEN).astype(np.float32)
+                _, g = net.gradient(own[used], flat[at], np.cumsum(size[used]) - size[used], place, label[part], seen)
                 adam.step(g)
         logit = net.logits(net.gates(net.inputs(own, flat, begin)), ids)
     top = np.maximum.reduceat(logit, first[:-1])
@@ -300,9 +330,7 @@ class Scorer:
             self.forget()
         numbers = [self.words.numbers(t.split()) for t in texts]
         if len(self.words.own) > len(self.gates):
-            new = slice(len(self.gates), None)
-            flat, begin = _ragged(self.words.grams[new])
-            more = self.net.gates(self.net.inputs(np.array(self.words.own[new]), flat, begin))
+            more = self.net.gates(self.net.inputs(*self.words.buckets(len(self.gates))))
             self.gates = np.concatenate([self.gates, more])
         ids, of = window_table(numbers)
         logit = self.net.logits(self.gates, ids)

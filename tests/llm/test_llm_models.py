@@ -94,7 +94,7 @@ def test_gradient_against_differences():
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     words = toxicity.Words()
     ids, of = toxicity.window_table([words.numbers(t.split()) for t in ("foo bar baz " * 20, "some other words")])
-    own, (flat, begin) = np.array(words.own), toxicity._ragged(words.grams)
+    own, flat, begin = words.buckets()
     y = (of == 0).astype(float)
     _, g = net.gradient(own, flat, begin, ids, y)
     for name, d in g.items():
