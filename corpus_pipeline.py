@@ -15,7 +15,7 @@ from tessera.llm.common import cut_lineage, documents
 from tessera.llm.exact_dedup import drop_copies
 from tessera.llm.mixing import mix
 from tessera.llm.quality import drop_poor, fit, with_statistics
-from tessera.llm.simhash import drop_near_duplicates
+from tessera.llm.simhash import drop_near_copies
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +30,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, keep the smallest doc_id."""
-    return drop_near_duplicates(docs, size=3, most=3, seed=42)
+    """Of each component of near copies, keep the row with the smallest doc_id."""
+    return drop_near_copies(docs, size=3, most=3, seed=42)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,10 +19,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, per_batch, sql_schema
+from tessera.llm.common import cut_lineage, per_batch, sql_schema, temporary
 from tessera.llm.components import components
 
 #: The Golay code's generator polynomial; a fixed value.
@@ -241,6 +241,18 @@ def fingerprint_links(fps: DataFrame, most: int = 3, group: int = GROUP, tile: i
     return near.unionByName(_compare(tiles, most, None).select("u", "v"))
 
 
+def _components(found: DataFrame, first: Column, most: int) -> DataFrame:
+    """fp and ``least``, the smallest ``first`` of its component, for every
+    fingerprint of ``found``."""
+    classes = cut_lineage(found.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = components(fingerprint_links(classes, most))
+    classes = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    # Written: both sides of the next join are plain shuffles, which Spark
+    # splits where one component holds many fingerprints.
+    least = cut_lineage(classes.groupBy("root").agg(F.min("first").alias("least")))
+    return classes.join(least, "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, most: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp (signed long) and component_id of every row of ``docs``:
     the smallest doc_id that links of at most ``most`` differing bits reach.
@@ -249,18 +261,29 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 3, seed: int = 4
     doc_id is never smallest; repeated rows and equal texts share a component.
     Further columns are ignored; an empty table gives an empty one."""
     found = cut_lineage(fingerprints(docs.select("doc_id", "text"), size, seed).select("doc_id", "fp"))
-    classes = cut_lineage(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(fingerprint_links(classes, most))
-    classes = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    # Written: both sides of the next join are plain shuffles, which Spark
-    # splits where one component holds many fingerprints.
-    least = cut_lineage(classes.groupBy("root").agg(F.min("first").alias("component_id")))
-    return found.join(classes.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return found.join(_components(found, F.col("doc_id"), most).withColumnRenamed("least", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, size: int = 3, most: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest
+    doc_id, null ids being largest, and of these the smallest SHA-256 of the
+    text. Rows that repeat both doc_id and text count as one, whatever else they
+    hold; rows that share a doc_id alone, or have none, are told apart by their
+    text."""
+    text, sha = F.sha2(F.coalesce("text", F.lit("")), 256), temporary(docs, "sha")
+    found = cut_lineage(fingerprints(docs.select("doc_id", "text"), size, seed).select("doc_id", text.alias("sha"), "fp"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
+    kept = _components(found, first, most).select(F.col("least.doc_id").alias("kept_id"), F.col("least.sha").alias("kept_sha")).distinct()
+    copy = docs.withColumn(sha, text)
+    same = copy["doc_id"].eqNullSafe(kept["kept_id"]) & (copy[sha] == kept["kept_sha"])
+    return copy.join(kept, same, "left_semi").dropDuplicates(["doc_id", sha]).drop(sha)
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each component: the one that gives the
-    component its id. Rows that repeat its doc_id count as that document."""
-    found = near_duplicates(docs, **how)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """As ``drop_near_copies``, for tables where a doc_id names one document:
+    of the rows that are left with the same doc_id, one stays. Rows without a
+    doc_id all stay."""
+    none = temporary(docs, "none")
+    kept = drop_near_copies(docs, **how)
+    kept = kept.withColumn(none, F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    return kept.dropDuplicates(["doc_id", none]).drop(none)

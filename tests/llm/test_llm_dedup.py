@@ -10,6 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from tessera.llm import exact_dedup, simhash, suffix_dedup
 from tessera.llm.common import documents
 from tessera.llm.components import components
@@ -99,6 +100,23 @@ def test_near_duplicates(edge, none, rows):
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
 
 
+def test_near_copies_replace_only_each_other(spark):
+    noise = lambda k: " ".join(random.Random(k).choices([f"w{i}" for i in range(500)], k=80))
+    rows = [(k if k % 3 else None, noise(k)) for k in range(60)]  # a third without an id
+    rows += [(7, noise(100)), (7, noise(101))]  # other texts under an id that is taken
+    rows += [(None, noise(1)), (200, noise(0)), (None, noise(3)), (7, noise(101)), (None, None), (None, "")]  # copies
+    root = plain_components({k: plain_fingerprint(t) for k, (_, t) in enumerate(rows)})
+    groups = defaultdict(list)
+    for k, (doc_id, text) in enumerate(rows):
+        groups[root[k]].append((doc_id is None, doc_id or 0, hashlib.sha256((text or "").encode()).hexdigest()))
+    assert len(groups) == 63
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id is None, r.doc_id or 0, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(got) == sorted(min(g) for g in groups.values())
+    lone = [r for r in simhash.drop_near_duplicates(docs).collect() if r.doc_id is None]
+    assert len(lone) == sum(min(g)[0] for g in groups.values()) > 1
+
+
 def test_simhash_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in documents(spark, sf_dir).collect()}
     fps = {k: plain_fingerprint(t) for k, t in docs.items()}
