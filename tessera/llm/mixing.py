@@ -123,7 +123,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed rows themselves, with the columns of ``docs``: a document
     that is taken twice comes twice, the one that ends a source's quota comes
-    with its first words only, and rows lie by shard in shuffled order. Rows
+    up to the end of its last taken word, as it is written, and rows lie by shard in shuffled order. Rows
     are told apart by doc_id, source and size; rows that repeat all three get
     the same draws."""
     draws, size = temporary(docs, "draws"), temporary(docs, "size")
@@ -133,7 +133,9 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     same = sized["doc_id"].eqNullSafe(planned[key["doc_id"]]) & sized["source"].eqNullSafe(planned[key["source"]]) & (sized[size] == planned[key["size"]])
     taken = sized.join(planned, same).withColumn(draws, F.explode(draws))
     part = F.col(draws)["words"] < F.col(size)
-    text = F.when(part, F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(draws)["words"].cast("int")))).otherwise(F.col("text"))
+    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(draws)["words"].cast("int"))
+    blanks = F.slice(F.split("text", WORD, -1), F.lit(1), F.col(draws)["words"].cast("int"))  # before each word
+    text = F.when(part, F.array_join(F.zip_with(blanks, words, lambda b, w: F.concat(b, w)), "")).otherwise(F.col("text"))
     changed = {"text": text} | ({"n_chars": F.when(part, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     shard, place = F.col(draws)["shard"], F.col(draws)["place"]
     # A shard is dealt in 16 stretches of its shuffled order, so no task holds it whole.

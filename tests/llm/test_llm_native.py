@@ -111,6 +111,14 @@ def test_mixed_rows(spark, sf_dir):
     assert {k: sorted(v) for k, v in rows.items()} == {k: sorted(d["words"] for d in r.draws) for k, r in planned.items() if r.draws}
 
 
+def test_mixed_rows_keep_their_white_space(spark):
+    rows = [(k, f"\t one{k}\n\n two  three\r\nfour\t\tfive \n", f"s{k % 8}") for k in range(40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    whole = {k: t for k, t, _ in rows}
+    cut = [r for r in got if r.text != whole[r.doc_id]]
+    assert cut and all(whole[r.doc_id].startswith(r.text) and not r.text[-1].isspace() for r in cut)
+
+
 # Fingerprints -----------------------------------------------------------------------
 def paragraphs(text):
     return set(re.findall(r"[^\n]{1,256}", text))
