@@ -39,13 +39,31 @@ HIDDEN = 0.8
 WORDS, TOGETHER = 200_000, 2048
 #: Words whose vectors are made at once.
 WORDS_AT_ONCE = 1 << 14
+#: The longest word that is read as one, and the pieces of longer ones.
+LONG, PIECE = 64, 16
 _STRIP = ".,;:!?\"'()[]{}<>*_-"
 
 
+def split_words(text: str) -> list[str]:
+    """Words of a text. One of more than LONG characters (a text without white
+    space) is read in pieces, each in its own place; they overlap, so that every
+    n-gram lies whole in one."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    over, out = max(GRAMS) - 1, []
+    for w in words:
+        if len(w) <= LONG:
+            out.append(w)
+        else:
+            out += [w[k : k + PIECE] for k in range(0, len(w) - over, PIECE - over)]
+    return out
+
+
 def word_keys(word: str) -> tuple[int, list[int]]:
     """A word's bucket and those of its character n-grams."""
     word = word.lower().strip(_STRIP)
-    marked = f"^{word[:64]}$"
+    marked = f"^{word}$"
     grams = [zlib.crc32(marked[i : i + n].encode("utf-8", "replace")) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
     return zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS, grams or [0]
 
@@ -263,7 +281,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
     if len(y) and y.min() < y.max():
         # Texts without words, and one word of a negative text over and over,
         # are negatives: neither padding nor repetition counts by itself.
-        plain = [t.split() for t, label in zip(texts, y, strict=True) if not label]
+        plain = [split_words(t) for t, label in zip(texts, y, strict=True) if not label]
         plain = [t for t in plain if t]
         again = [" ".join([plain[k][rng.integers(len(plain[k]))]] * WINDOW) for k in rng.integers(0, len(plain), max(8, len(plain) // 8))] if plain else []
         more = [""] * max(8, len(texts) // 50) + again
@@ -271,7 +289,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
     if not len(y) or y.min() == y.max():
         net.scale, net.shift = 0.0, (0.0 if not len(y) else 4.0 * (2 * y[0] - 1))
         return net
-    numbers = [words.numbers(t.split()) for t in texts]
+    numbers = [words.numbers(split_words(t)) for t in texts]
     own, flat, begin = words.buckets()
     size = np.diff(np.append(begin, len(flat)))
     distinct = [np.unique(n) for n in numbers]
@@ -328,7 +346,7 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         if len(self.words.own) > WORDS:
             self.forget()
-        numbers = [self.words.numbers(t.split()) for t in texts]
+        numbers = [self.words.numbers(split_words(t)) for t in texts]
         if len(self.words.own) > len(self.gates):
             more = self.net.gates(self.net.inputs(*self.words.buckets(len(self.gates))))
             self.gates = np.concatenate([self.gates, more])

@@ -138,6 +138,20 @@ def test_network_learns_stems_and_finds_them_in_long_texts():
     assert far[0] > 0.5 > far[1]
 
 
+def test_long_words_are_read_to_their_end():
+    text = "".join(chr(0x4E00 + k) for k in range(1000))
+    for t in (text, text[:65], text[:64], "a " + text + " b", ""):
+        words = toxicity.split_words(t)
+        grams = lambda ws: {w[i : i + 4] for w in ws for i in range(len(w) - 3)}
+        assert grams(words) == grams(t.split()) and set("".join(words)) == set("".join(t.split())) and all(len(w) <= 64 for w in words)
+    rng = np.random.default_rng(2)
+    run = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    y = np.arange(240) % 2
+    net = toxicity.train([run(300) + ("zorkzorkzork" if k % 2 else "") + run(300) for k in range(240)], y.astype(np.float32))
+    score = toxicity.Scorer(net).scores([run(1500) + "zorkzorkzork" * (k % 2) + run(1500) for k in range(40)])
+    assert area(score, np.arange(40) % 2) > 0.95
+
+
 def test_toxicity_edges(spark, edge, none, rows):
     labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     got = toxicity.score_toxicity(edge, labels).collect()
