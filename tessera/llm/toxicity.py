@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import sql_schema
+from tessera.llm.common import cut_lineage, sql_schema
 from tessera.llm.quality import held_out
 
 #: Words of a window, and from one window to the next.
@@ -272,11 +272,12 @@ def _odds(seen: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return odds * total / (total + 20)
 
 
-def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
+def train(texts: list[str], y: np.ndarray, weights: tuple[float, float] = (1.0, 1.0), seed: int = 4) -> Network:
     """Fit a network. The first number of each table's vectors starts at the
     log odds of its bucket; in each round every text is represented by the
     windows that count for it: the one that scores highest and, for a negative,
-    a random one too."""
+    a random one too. ``weights``: how many labelled texts one of either label
+    stands for, so that scores follow their true ratio."""
     net, words, rng = Network(seed), Words(), np.random.default_rng(seed)
     if len(y) and y.min() < y.max():
         # Texts without words, and one word of a negative text over and over,
@@ -320,13 +321,15 @@ def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Network:
                 adam.step(g)
         logit = net.logits(net.gates(net.inputs(own, flat, begin)), ids)
     top = np.maximum.reduceat(logit, first[:-1])
-    # A logistic fit of the texts' highest logits.
+    # A logistic fit of the texts' highest logits, at the true ratio of labels.
     a, b = 1.0, 0.0
+    stands = np.where(y == 1, weights[1], weights[0])
+    stands = stands / stands.mean()
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(a * top + b, -30, 30)))
-        w = q * (1 - q) + 1e-3
+        w = stands * (q * (1 - q) + 1e-3)
         h = np.array([[(w * top * top).sum() + 1, (w * top).sum()], [(w * top).sum(), w.sum() + 1e-3]])
-        e = q - y
+        e = stands * (q - y)
         step = np.linalg.solve(h, [(e * top).sum() + (a - 1), e.sum()])
         a, b = max(0.05, a - 0.5 * step[0]), b - 0.5 * step[1]
     net.scale, net.shift = float(a), float(b)
@@ -356,12 +359,15 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.net.scale * top + self.net.shift, -30, 30)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list[str], np.ndarray]:
+def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list[str], np.ndarray, tuple[float, float]]:
     """Up to SAMPLE labelled texts of either label that are not held out and
-    have up to SAMPLE_CHARS code points, chosen by a hash of doc_id."""
+    have up to SAMPLE_CHARS code points, chosen by a hash of doc_id; and how
+    many such texts one of either label stands for."""
     marked = labels.select(F.col("doc_id").alias("l_id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).filter(~held_out(F.col("doc_id")))
     ids = rows.select("doc_id").join(marked, F.col("doc_id") == F.col("l_id")).select("doc_id", "y").distinct()
+    ids = cut_lineage(ids)  # counted and drawn from
+    count = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}
     chosen = None
     for value in (0, 1):
         part = ids.filter(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
@@ -369,7 +375,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list[str], n
     # 2 x SAMPLE ids at most, so they are broadcast and the texts don't move.
     got = rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "c_id")), F.col("doc_id") == F.col("c_id")).select("doc_id", "y", "text")
     got = got.orderBy("doc_id", "y", "text").limit(2 * SAMPLE).collect()
-    return [r.text for r in got], np.array([r.y for r in got], dtype=np.float32)
+    y = np.array([r.y for r in got], dtype=np.float32)
+    return [r.text for r in got], y, tuple(count.get(k, 0) / max(1, int((y == k).sum())) for k in (0, 1))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.5) -> DataFrame:

@@ -152,6 +152,16 @@ def test_long_words_are_read_to_their_end():
     assert area(score, np.arange(40) % 2) > 0.95
 
 
+def test_scores_follow_the_true_ratio_in_any_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "one and the same text") for k in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(3000)], "doc_id long, toxic int")
+    scores = []
+    for most in (5000, 100):
+        monkeypatch.setattr(toxicity, "SAMPLE", most)
+        scores.append(toxicity.score_toxicity(docs, labels).first().score)
+    assert all(0.07 < s < 0.13 for s in scores), scores
+
+
 def test_toxicity_edges(spark, edge, none, rows):
     labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     got = toxicity.score_toxicity(edge, labels).collect()
