@@ -406,8 +406,8 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
     numbered = docs.select(F.col(row).alias("doc_id"), "text")
     index = build_index(numbered)
-    named = index.filter("shard IS NULL").select("row", F.col("doc_id").alias(row))
-    hit = find(index, benchmark).join(named, "row").select(row, F.col("spans").alias(spans))
+    named = index.filter("shard IS NULL").select(F.col("row").alias("found"), F.col("doc_id").alias(row))
+    hit = find(index, benchmark).withColumnRenamed("row", "found").join(named, "found").select(row, F.col("spans").alias(spans))
     joined = docs.join(hit, row, "left")
     place = joined.columns.index("text")
 

@@ -3,22 +3,30 @@
 Suffixes matter only through their first ``DEPTH`` bytes (their window), and
 they are ordered by most-significant-digit passes that each drop what is alone
 in its group; the groups left at full depth are exactly the repeated windows.
+The first two passes work on a sample of the suffixes, the last ones on every
+suffix that the sample leaves.
 
-Pass 1 takes as first digit the anchor of a window: the hash of its least
-``ANCHOR``-byte substring, leftmost on ties. Neighbouring windows share an
-anchor, so one row stands for a run of them, about one for each 35 bytes. Runs
-that are alone with their anchor hold no repeat. Runs that are equal as a whole
-are repeats but for the first of them.
+Pass 1 takes the leading ``ANCHOR`` bytes of one suffix in each window: the one
+where their hash is least, leftmost on ties. Neighbouring windows share it, so
+one row stands for a run of them, about one for each 35 bytes. Runs whose
+sampled suffix is alone hold no repeat. Runs that are equal as a whole are
+repeats but for the first of them.
 
 Pass 2 takes what is left, the first of each of several unequal runs of one
-anchor, and cuts it into blocks of ``BLOCK`` windows at fixed distances from the
-anchor. The digit is the bytes that all windows of a block share; blocks that
-are alone drop out. Pass 3 unfolds the others into windows, told apart by
-their remaining bytes.
+anchor, and samples a suffix in every ``BLOCK`` windows, at fixed distances from
+the anchor: the one where the last window of the block starts, through the bytes
+that all of its windows share. Blocks whose sampled suffix is alone drop out.
+
+Passes 3 and 4 take every suffix of the other blocks and order it by its leading
+``DIGIT`` bytes and by the next ones up to ``DEPTH``. The least (document, start)
+of a group stays, by a partial aggregation; the others are repeats.
 
 Tasks merge equal runs before they send them, so a passage that many documents
 share is sent once for each task's buffer; an anchor that meets many contexts in
-one buffer is spread over tasks by context."""
+one buffer is spread over tasks by context. A sampled suffix that many blocks
+share is counted in part sums and joined, which Spark may split; an equal window
+is one row of a task's part result. The texts are sent once: the joins by
+document read the same exchange."""
 
 from __future__ import annotations
 
@@ -33,7 +41,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import cut_lineage
 
 U = np.uint64
-DEPTH, ANCHOR, BLOCK = 100, 32, 16
+DEPTH, ANCHOR, BLOCK, DIGIT = 100, 32, 16, 50
 #: Bytes hashed at once (long texts in pieces of this many window starts), and
 #: runs that a task holds to merge equal ones.
 CHUNK, HELD = 1 << 20, 1 << 19
@@ -192,45 +200,105 @@ def _pass_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of windows of each document's unequal runs: the digest of the
-    bytes that a block's windows share, where they begin, and the bytes on
-    either side."""
-    common = DEPTH - BLOCK + 1
-    for batch in batches:
+class Pieces:
+    """Starts in texts, gathered until the bytes around them make a full array;
+    a long text comes in several pieces of ``CHUNK`` starts."""
+
+    def __init__(self, reach: int):
+        self.reach = reach
+
+    def arrays(self, batch: pa.RecordBatch, wanted) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(bytes, place of each start in them, row, index of the start in
+        ``wanted(row)``) for the rows of a batch, whose texts are column 1."""
+        parts, places, rows, which, size = [], [], [], [], 0
         for row in range(batch.num_rows):
             raw = (batch.column(1)[row].as_py() or "").encode("utf-8", "surrogatepass")
-            span = batch.column(2)[row].values.to_numpy()
+            starts = wanted(row)
+            piece = starts // CHUNK
+            for c in np.unique(piece).tolist():
+                here = np.flatnonzero(piece == c)
+                part = raw[c * CHUNK : (c + 1) * CHUNK + self.reach]
+                parts.append(part)
+                places.append(starts[here] - c * CHUNK + size)
+                rows.append(np.full(len(here), row))
+                which.append(here)
+                size += len(part)
+                if size >= CHUNK:
+                    yield np.frombuffer(b"".join(parts), dtype=np.uint8), *(np.concatenate(x) for x in (places, rows, which))
+                    parts, places, rows, which, size = [], [], [], [], 0
+        if places:
+            yield np.frombuffer(b"".join(parts), dtype=np.uint8), *(np.concatenate(x) for x in (places, rows, which))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of windows of each document's unequal runs: the hash of the sampled
+    suffix through the bytes that a block's windows share, where it begins, and
+    how far before it the block's last and first window start."""
+    common, rolling, pieces = DEPTH - BLOCK + 1, Rolling(13), Pieces(DEPTH)
+    for batch in batches:
+        doc, found = batch.column(0).to_numpy(), {}
+
+        def blocks(row: int) -> np.ndarray:
+            span = batch.column(2)[row].values.to_numpy()  # noqa: B023
             s, offset, last = span >> 14, span >> 7 & 127, span & 127
-            anchor = s + offset
             out = []
             for j in range((DEPTH - ANCHOR) // BLOCK + 1):
                 low, high = np.maximum(offset - last, BLOCK * j) - BLOCK * j, np.minimum(offset, BLOCK * j + BLOCK - 1) - BLOCK * j
                 here = low <= high
-                out.append(np.stack([anchor[here] - BLOCK * j, low[here], high[here], np.full(here.sum(), j)]))
-            begin, low, high, j = np.concatenate(out, axis=1)
-            core = [hashlib.blake2b(raw[b : b + common], digest_size=8, salt=bytes([k])).digest() for b, k in zip(begin.tolist(), j.tolist(), strict=True)]
-            left = [raw[b - h : b] for b, h in zip(begin.tolist(), high.tolist(), strict=True)]
-            right = [raw[b + common : b + common + BLOCK - 1 - k] for b, k in zip(begin.tolist(), low.tolist(), strict=True)]
+                out.append(np.stack([(s + offset)[here] - BLOCK * j, low[here], high[here], np.full(here.sum(), j)]))
+            found[row] = np.concatenate(out, axis=1)  # noqa: B023
+            return found[row][0]  # noqa: B023
+
+        for data, place, row, which in pieces.arrays(batch, blocks):
+            core = rolling.load(data).of(place, place + common)
+            opens = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            begin, low, high, j = np.concatenate([found[row[o]][:, w] for o, w in zip(opens, np.split(which, opens[1:]), strict=True)], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(core), dtype=np.int64)), pa.array(np.full(len(begin), batch.column(0)[row].as_py())), pa.array(begin), pa.array(low), pa.array(high), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                names=["core", "doc", "begin", "low", "high", "left", "right"],
+                [pa.array(mixed(core ^ j.astype(U)).view(np.int64)), pa.array(doc[row]), pa.array(begin), pa.array(low.astype(np.int8)), pa.array(high.astype(np.int8))],
+                names=["core", "doc", "begin", "low", "high"],
             )
 
 
-def ordered(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, text): ``doc`` is a long that orders the rows by doc_id.
-    That is doc_id itself where it is unique and never null; else a number from
-    a sort by doc_id (null first) and text, written once."""
+def _starts(blocks: pa.StructArray) -> np.ndarray:
+    """The windows of blocks (begin, low, high), in order."""
+    begin, low, high = (blocks.field(k).to_numpy().astype(np.int64) for k in range(3))
+    n = high - low + 1
+    return np.sort(np.repeat(begin - high - np.cumsum(n) + n, n) + np.arange(n.sum()))
+
+
+def _digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The two digits of every suffix of each document's blocks."""
+    first, second, pieces = Rolling(14), Rolling(15), Pieces(DEPTH)
+    for batch in batches:
+        doc, found = batch.column(0).to_numpy(), {}
+
+        def starts(row: int) -> np.ndarray:
+            found[row] = _starts(batch.column(2)[row].values)  # noqa: B023
+            return found[row]  # noqa: B023
+
+        for data, place, row, which in pieces.arrays(batch, starts):
+            leading = first.load(data).of(place, place + DIGIT)
+            rest = second.load(data).of(place + DIGIT, place + DEPTH)
+            opens = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            begin = np.concatenate([found[row[o]][w] for o, w in zip(opens, np.split(which, opens[1:]), strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array(leading.view(np.int64)), pa.array(rest.view(np.int64)), pa.array(doc[row]), pa.array(begin)], names=["digit", "rest", "doc", "begin"])
+
+
+def ordered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, text) and (doc, doc_id): ``doc`` is a long that orders the rows by
+    doc_id. That is doc_id itself where it is unique and never null (then there
+    is no second frame); else a number from a sort by doc_id (null first) and
+    text, written once."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").head(1):
-        return docs.select(F.col("doc_id").alias("doc"), "doc_id", "text")
-    return cut_lineage(docs.orderBy(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")).select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"))
+        return docs.select(F.col("doc_id").alias("doc"), "text").filter("doc IS NOT NULL"), None
+    laid = cut_lineage(docs.orderBy(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")).select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"))
+    return laid.select("doc", "text").filter("doc IS NOT NULL"), laid.select("doc", "doc_id")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, begin, end): bytes that are covered by windows that also start
-    earlier. ``docs`` as from ``ordered``; spans may overlap."""
+def first_pass(docs: DataFrame) -> DataFrame:
+    """(mark, doc, begin, end) of pass 1, written: repeats of whole runs, and
+    the runs that are left (packed in ``begin``)."""
     rows = docs.select("doc", "text").mapInArrow(_pass_one, "key long, whole long, doc long, span long, kind byte")
     group = Window.partitionBy("key")
     in_order = group.orderBy("whole", "doc", "span")
@@ -240,32 +308,39 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "shared": (F.col("kind") == SHARED) | (F.min("whole").over(group) != F.max("whole").over(group)),
     })
     mark = (F.col("kind") == MARK) | F.coalesce("later", F.lit(False))
-    found = found.filter(mark | (run & F.col("shared"))).select(
+    return cut_lineage(found.filter(mark | (run & F.col("shared"))).select(
         mark.alias("mark"), "doc", F.when(mark & run, F.shiftright("span", 14)).otherwise(F.col("span")).alias("begin"),
         F.when(run, F.shiftright("span", 14) + F.col("span").bitwiseAND(127) + DEPTH).otherwise(F.col("whole")).alias("end"),
-    )
-    found = cut_lineage(found)
-    unequal = found.filter("not mark").groupBy("doc").agg(F.collect_list("begin").alias("spans"))
-    blocks = docs.select("doc", "text").join(unequal, "doc").select("doc", "text", "spans")
-    blocks = blocks.mapInArrow(_blocks, "core long, doc long, begin long, low long, high long, left binary, right binary")
-    alike = Window.partitionBy("core").orderBy("doc", "begin")
-    blocks = blocks.withColumns({"before": F.lag("core").over(alike), "after": F.lead("core").over(alike)}).filter("before IS NOT NULL OR after IS NOT NULL")
-    single = blocks.withColumn("r", F.explode(F.sequence("low", "high")))
-    r = F.col("r").cast("int")
-    rest = F.xxhash64("r", F.substring("left", F.col("high").cast("int") - r + 1, r), F.substring("right", F.lit(1), F.lit(BLOCK - 1) - r))
-    single = single.select("core", rest.alias("rest"), "doc", (F.col("begin") - F.col("r")).alias("begin"))
-    nth = F.row_number().over(Window.partitionBy("core", "rest").orderBy("doc", "begin"))
-    single = single.withColumn("nth", nth).filter("nth > 1").select("doc", "begin", (F.col("begin") + DEPTH).alias("end"))
-    return found.filter("mark").select("doc", "begin", "end").unionByName(single)
+    ))
+
+
+def later_passes(docs: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the runs (doc, begin) that pass 1 leaves: the blocks that pass 2
+    leaves, as (doc, blocks), and the starts that are first in their group at
+    full depth, as (doc, begin)."""
+    unequal = runs.groupBy("doc").agg(F.collect_list("begin").alias("spans"))
+    blocks = docs.join(unequal, "doc").select("doc", "text", "spans").mapInArrow(_blocks, "core long, doc long, begin long, low byte, high byte")
+    shared = blocks.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    left = blocks.join(shared, "core", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("begin", "low", "high")).alias("blocks"))
+    suffixes = docs.join(left, "doc").select("doc", "text", "blocks").mapInArrow(_digits, "digit long, rest long, doc long, begin long")
+    first = suffixes.groupBy("digit", "rest").agg(F.min(F.struct("doc", "begin")).alias("first")).select("first.*")
+    return left, first
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, removed, counts, digests = [], [], [], []
-        for t, spans in zip(batch.column(1), batch.column(2), strict=True):
+        for t, spans, blocks, first in zip(*(batch.column(k) for k in range(1, 5)), strict=True):
             raw, digest, at, gone, n = (t.as_py() or "").encode("utf-8", "surrogatepass"), hashlib.sha256(), 0, 0, 0
+            begin = end = np.zeros(0, dtype=np.int64)
             if spans.is_valid:
                 begin, end = (spans.values.field(k).to_numpy() for k in (0, 1))
+            if blocks.is_valid:
+                starts = _starts(blocks.values)
+                if first.is_valid:
+                    starts = np.setdiff1d(starts, first.values.to_numpy(), assume_unique=True)
+                begin, end = np.append(begin, starts), np.append(end, starts + DEPTH)
+            if len(begin):
                 order = np.argsort(begin, kind="stable")
                 begin, end = begin[order], end[order]
                 reach = np.maximum.accumulate(end)
@@ -279,7 +354,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(gone)
             counts.append(n)
             digests.append(digest.hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -289,8 +364,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     in a row of smaller doc_id (null is smallest; rows of equal doc_id are
     ordered by text, and of repeated rows one counts as earlier), or earlier in
     the same text. A null text counts as empty; texts shorter than a window stay
-    whole; further columns are ignored; an empty table gives an empty one."""
-    docs = ordered(docs)
-    spans = repeated_spans(docs).groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    joined = docs.join(spans, "doc", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    whole, long ones are read whole, in pieces; further columns are ignored; an
+    empty table gives an empty one. Digits are compared by 64-bit hashes each: a
+    window by two independent ones."""
+    docs, ids = ordered(docs)
+    found = first_pass(docs)
+    blocks, first = later_passes(docs, found.filter("not mark"))
+    marks = found.filter("mark").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    first = first.groupBy("doc").agg(F.collect_list("begin").alias("first"))
+    joined = docs.join(marks, "doc", "left").join(blocks, "doc", "left").join(first, "doc", "left").select("doc", "text", "spans", "blocks", "first")
+    kept = joined.mapInArrow(_kept, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    named = kept.withColumnRenamed("doc", "doc_id") if ids is None else kept.join(ids, "doc").drop("doc")
+    return named.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
