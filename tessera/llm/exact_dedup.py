@@ -31,7 +31,8 @@ def copy_groups(docs: DataFrame, keep: str = "max", rounds: int = 2, bits: int =
     Equal texts (byte for byte; null counts as empty) form a group; the row
     with the largest ("max") or smallest ("min") doc_id stays, null ids being
     smallest. Of repeated rows, which tie, exactly one is kept. Further columns
-    are ignored; an empty table gives an empty one."""
+    are ignored; texts of any length are hashed whole; an empty table gives an
+    empty one."""
     best = {"max": F.max, "min": F.min}[keep]
     hashed = docs.select(F.col("doc_id"), F.monotonically_increasing_id().alias("row"), *(c.alias(n) for n, c in _digests(F.col("text")).items()))
     # Written once: the row numbers must be the same wherever they are read.
@@ -60,11 +61,23 @@ def copy_groups(docs: DataFrame, keep: str = "max", rounds: int = 2, bits: int =
     )
 
 
+def same_row(docs: DataFrame, doc_id: str = "doc_id", sha: Column | None = None) -> Column:
+    """One string for rows of equal doc_id and text (null text: empty)."""
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256) if sha is None else sha
+    return F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("none")), F.lit(":"), sha)
+
+
+def one_row_each(docs: DataFrame, kept: Column, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (as from ``same_row``) of ``rows``,
+    each once. Rows that repeat are merged inside tasks first, then texts are
+    sent once: the join finds them where the merge has put them."""
+    name = temporary(docs, "same")
+    return docs.withColumn(name, same_row(docs)).dropDuplicates([name]).join(rows.select(kept.alias(name)).distinct(), name, "left_semi").drop(name)
+
+
 def drop_copies(docs: DataFrame, keep: str = "max", **how) -> DataFrame:
-    """``docs`` without all but one row of each group of equal texts. Rows that
-    repeat both doc_id and text count as one, whatever else they hold."""
-    sha, copy = temporary(docs, "sha"), docs.alias("copy")
-    kept = copy_groups(docs.select("doc_id", "text"), keep, **how).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).alias("kept")
-    copy = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = copy["doc_id"].eqNullSafe(kept["kept_id"]) & (copy[sha] == kept["kept_sha"])
-    return copy.join(kept, same, "left_semi").dropDuplicates(["doc_id", sha]).drop(sha)
+    """``docs`` without all but one row of each group of equal texts (null
+    counts as empty; texts of any length are compared whole). Rows that repeat
+    both doc_id and text count as one, whatever else they hold; all columns stay."""
+    groups = copy_groups(docs.select("doc_id", "text"), keep, **how).filter("kept")
+    return one_row_each(docs, same_row(groups, sha=F.col("text_sha256")), groups)

@@ -64,19 +64,23 @@ def _between(taken_before: Column, size: Column) -> Column:
     return F.greatest(F.lit(0), F.least(size, taken_before)).cast("long")
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, shards: int = 64, block: int = 500, seed: int = 7) -> DataFrame:
+def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, shards: int = 64, block: int = 500, seed: int = 7, row: str | None = None) -> DataFrame:
     """What the mix takes of each row of ``docs``: doc_id, source, size (words),
     source_size, target, taken, and ``draws``, an array of the passes that take
-    it with (pass, shard, place, words).
+    it with (pass, shard, place, words); and ``row``, a column of ``docs`` that
+    names its rows, if one is given.
 
     Sources are in code point order, null last, with ``weights`` repeating; the
     mix has ``share`` times all words. A source's words are taken to within
     half a word of its target: all of its documents are whole except the last
     one of its last pass, of which the first words are taken. Documents without
     words are never taken. Repeated rows count each; reruns agree (a tie of
-    hash and doc_id is one of equal rows). An empty table gives an empty one."""
+    hash, doc_id and size is one of equal rows). Rows lie on the tape by a hash of
+    doc_id and text, so rows without a doc_id, or of one doc_id, fall into
+    different blocks. More than ``MAX_SOURCES`` sources are refused; texts of any
+    length are read whole. An empty table gives an empty one."""
     spark = docs.sparkSession
-    rows = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", F.lit(seed)).alias("h")))
+    rows = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("h"), *([F.col(row).alias("row")] if row else [])))
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"a mix has at most {MAX_SOURCES} sources")
@@ -89,7 +93,8 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
     share_of = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
     by = rows["source"].eqNullSafe(sources["source"])
     # One row for each source: bounded by MAX_SOURCES.
-    laid = rows.join(F.broadcast(sources), by).select(rows["doc_id"], rows["source"], rows["size"], "h", "s", "source_size", "target", "quota", F.floor(share_of * F.col("blocks")).cast("long").alias("b"))
+    named = ["row"] if row else []
+    laid = rows.join(F.broadcast(sources), by).select(*named, rows["doc_id"], rows["source"], rows["size"], "h", "s", "source_size", "target", "quota", F.floor(share_of * F.col("blocks")).cast("long").alias("b"))
 
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     tape = laid.groupBy("s", "b", "source_size", "quota").agg(F.sum("size").alias("words"))
@@ -115,7 +120,7 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
 
     draws = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), draw), lambda d: d["words"] > 0)
     return laid.withColumn("draws", draws).select(
-        "doc_id", "source", "size", "source_size", "target",
+        *named, "doc_id", "source", "size", "source_size", "target",
         F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"), "draws",
     )
 
@@ -123,15 +128,13 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed rows themselves, with the columns of ``docs``: a document
     that is taken twice comes twice, the one that ends a source's quota comes
-    up to the end of its last taken word, as it is written, and rows lie by shard in shuffled order. Rows
-    are told apart by doc_id, source and size; rows that repeat all three get
-    the same draws."""
-    draws, size = temporary(docs, "draws"), temporary(docs, "size")
-    key = {c: temporary(docs, f"planned_{c}") for c in ("doc_id", "source", "size")}
-    planned = plan_mix(docs, **how).select(*(F.col(c).alias(k) for c, k in key.items()), F.col("draws").alias(draws)).dropDuplicates([*key.values()])
-    sized = docs.withColumn(size, word_count(F.col("text")))
-    same = sized["doc_id"].eqNullSafe(planned[key["doc_id"]]) & sized["source"].eqNullSafe(planned[key["source"]]) & (sized[size] == planned[key["size"]])
-    taken = sized.join(planned, same).withColumn(draws, F.explode(draws))
+    up to the end of its last taken word, as it is written, and rows lie by
+    shard in shuffled order. ``docs`` is numbered and written first, so every row
+    gets its own draws, whatever it shares with others; cases as in ``plan_mix``."""
+    draws, size, row = temporary(docs, "draws"), temporary(docs, "size"), temporary(docs, "row")
+    numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
+    planned = plan_mix(numbered, row=row, **how).filter("taken > 0").select(F.col("row").alias(row), F.col("size").alias(size), F.col("draws").alias(draws))
+    taken = numbered.join(planned, row).withColumn(draws, F.explode(draws))
     part = F.col(draws)["words"] < F.col(size)
     words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(draws)["words"].cast("int"))
     blanks = F.slice(F.split("text", WORD, -1), F.lit(1), F.col(draws)["words"].cast("int"))  # before each word

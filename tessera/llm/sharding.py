@@ -29,9 +29,9 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], added: float = 1.
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row.
 
     ``grown_shard`` is the shard with one more of weight ``added``. Slots count
-    a shard's rows from 0 without gaps: rows are numbered in ``buckets`` hash
-    buckets of a shard, and each bucket begins where the ones before it end, so
-    no task orders a whole shard. A null text has size 1 and CRC 0; a null
+    a shard's rows from 0 without gaps: rows are numbered in ``buckets`` buckets
+    of a shard, by a hash of doc_id and text, and each bucket begins where the
+    ones before it end, so no task orders a whole shard, or all rows of one id. A null text has size 1 and CRC 0; a null
     doc_id is a key like any other; rows of equal doc_id share a shard and get
     their own slots. Further columns are ignored; an empty table gives an empty
     one."""
@@ -43,7 +43,7 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], added: float = 1.
         F.lit("key").alias("law"),
         rendezvous(F.col("doc_id"), weights).alias("shard"),
         rendezvous(F.col("doc_id"), [*weights, added]).alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(buckets)).alias("bucket"),
+        F.pmod(F.xxhash64("doc_id", text, F.lit("slot")), F.lit(buckets)).alias("bucket"),
     )
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = placed.groupBy("shard", "bucket").count().select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin"))

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.exact_dedup import one_row_each, same_row
 from tessera.llm.common import cut_lineage, per_batch, sql_schema, temporary
 from tessera.llm.components import components
 
@@ -258,8 +259,9 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 3, seed: int = 4
     the smallest doc_id that links of at most ``most`` differing bits reach.
 
     A null or empty text has fingerprint 0, linked like any other; a null
-    doc_id is never smallest; repeated rows and equal texts share a component.
-    Further columns are ignored; an empty table gives an empty one."""
+    doc_id is never smallest; repeated rows and equal texts share a component;
+    texts of any length are read whole. Further columns are ignored; an empty
+    table gives an empty one."""
     found = cut_lineage(fingerprints(docs.select("doc_id", "text"), size, seed).select("doc_id", "fp"))
     return found.join(_components(found, F.col("doc_id"), most).withColumnRenamed("least", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
@@ -270,20 +272,7 @@ def drop_near_copies(docs: DataFrame, size: int = 3, most: int = 3, seed: int =
     text. Rows that repeat both doc_id and text count as one, whatever else they
     hold; rows that share a doc_id alone, or have none, are told apart by their
     text."""
-    text, sha = F.sha2(F.coalesce("text", F.lit("")), 256), temporary(docs, "sha")
-    found = cut_lineage(fingerprints(docs.select("doc_id", "text"), size, seed).select("doc_id", text.alias("sha"), "fp"))
+    found = cut_lineage(fingerprints(docs.select("doc_id", "text"), size, seed).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), "fp"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
-    kept = _components(found, first, most).select(F.col("least.doc_id").alias("kept_id"), F.col("least.sha").alias("kept_sha")).distinct()
-    copy = docs.withColumn(sha, text)
-    same = copy["doc_id"].eqNullSafe(kept["kept_id"]) & (copy[sha] == kept["kept_sha"])
-    return copy.join(kept, same, "left_semi").dropDuplicates(["doc_id", sha]).drop(sha)
-
-
-def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """As ``drop_near_copies``, for tables where a doc_id names one document:
-    of the rows that are left with the same doc_id, one stays. Rows without a
-    doc_id all stay."""
-    none = temporary(docs, "none")
-    kept = drop_near_copies(docs, **how)
-    kept = kept.withColumn(none, F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)))
-    return kept.dropDuplicates(["doc_id", none]).drop(none)
+    kept = _components(found, first, most).select(F.col("least.doc_id").alias("kept_id"), F.col("least.sha").alias("kept_sha"))
+    return one_row_each(docs, same_row(kept, "kept_id", F.col("kept_sha")), kept)

@@ -1,10 +1,14 @@
 import hashlib
+import math
+import random
 import re
+import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import fingerprints, mixing, sharding
@@ -111,6 +115,25 @@ def test_mixed_rows(spark, sf_dir):
     assert {k: sorted(v) for k, v in rows.items()} == {k: sorted(d["words"] for d in r.draws) for k, r in planned.items() if r.draws}
 
 
+def test_mixed_words_meet_the_plan_whatever_the_ids(spark):
+    """Null ids, an id on a third of the rows, and repeated rows get draws of
+    their own: every source has as many words as the plan takes."""
+    rng = random.Random(2)
+    text = lambda: " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 4)))
+    for ids in (lambda k: None, lambda k: k if k % 2 else None, lambda k: 7 if k % 3 == 0 else k):
+        rows = [(ids(k), text(), "abc"[k % 3] if k % 3 < 2 or k % 5 else "b") for k in range(900)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        planned = defaultdict(int)
+        for r in mixing.plan_mix(docs, block=20).collect():
+            planned[r.source] += r.taken
+        mixed = defaultdict(int)
+        for r in mixing.mix(docs, block=20).collect():
+            mixed[r.source] += len(WORDS.findall(r.text))
+        assert mixed == planned
+        # No block is made of one id alone.
+        check_mix(mixing.plan_mix(docs, block=20), [(i, t, None, s) for i, t, s in rows], None)
+
+
 def test_mixed_rows_keep_their_white_space(spark):
     rows = [(k, f"\t one{k}\n\n two  three\r\nfour\t\tfive \n", f"s{k % 8}") for k in range(40)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
@@ -119,6 +142,23 @@ def test_mixed_rows_keep_their_white_space(spark):
     assert cut and all(whole[r.doc_id].startswith(r.text) and not r.text[-1].isspace() for r in cut)
 
 
+def plain_shard(key, n):
+    """Least -ln(u) over the shards, by the same hashes of key and shard."""
+    first = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+
+    def score(shard):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), first)
+        return (-math.log(((h >> 11) + 1) / 2**53), shard)
+
+    return min(map(score, range(n)))[1]
+
+
+def test_every_row_goes_to_the_best_shard(spark, sf_dir, edge, rows):
+    for docs in (edge, documents(spark, sf_dir)):
+        for r in sharding.shard_documents(docs, [1.0] * 8).collect():
+            assert (r.shard, r.grown_shard) == (plain_shard(r.doc_id, 8), plain_shard(r.doc_id, 9))
+
+
 # Fingerprints -----------------------------------------------------------------------
 def paragraphs(text):
     return set(re.findall(r"[^\n]{1,256}", text))
