@@ -9,8 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.sets import in_order, place_of
 from tessera.schemas import README_MISSING, UNCATEGORIZED
+from tessera.session import cut_lineage
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -28,28 +28,90 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A3: count, mean, sample std, min, quartiles, max per column, one row
-    per column. Quartiles interpolate between the exact order statistics: the
-    column is sorted into a written table, and the rows at the six ranks around
-    the quartiles are read from it."""
-    x = {c: F.col(c).cast("double") for c in cols}
-    one = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                            F.min(v).alias("min"), F.max(v).alias("max")).alias(f"s{i}") for i, (c, v) in enumerate(x.items())])
-    rows = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
-    quartiles = [(c, *_quartiles(df.select(v.alias("x")).filter("x IS NOT NULL"))) for c, v in x.items()]
-    q = df.sparkSession.createDataFrame(quartiles, "column_name string, p25 double, p50 double, p75 double")
-    return rows.join(F.broadcast(q), "column_name").select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
-
-
-def _quartiles(values: DataFrame) -> list[float | None]:
-    placed, counts = in_order(values, "x")
-    n = sum(counts.values())
-    if not n:
-        return [None] * 3
-    at = [(n - 1) * q / 4 for q in (1, 2, 3)]
-    ranks = sorted({r for h in at for r in (math.floor(h), math.ceil(h))})
-    places = {place_of(r, counts): r for r in ranks}
-    found = {places[r["__place"]]: r["x"] for r in placed.filter(F.col("__place").isin(list(places))).collect()}
-    return [found[math.floor(h)] + (found[math.ceil(h)] - found[math.floor(h)]) * (h - math.floor(h)) for h in at]
+    per column. Quartiles interpolate between exact order statistics, which are
+    found without a sort (``order_statistics``)."""
+    values = cut_lineage(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
+    one = values.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                F.min(v).alias("min"), F.max(v).alias("max")).alias(f"s{i}") for i, (c, v) in enumerate((c, F.col(f"x{i}")) for i, c in enumerate(cols))])
+    rows = [r for r in one.first()]  # one row for each column
+    wanted = []
+    for r in rows:
+        at = [(r["count"] - 1) * q / 4 for q in (1, 2, 3)] if r["count"] else []
+        wanted.append(sorted({x for h in at for x in (math.floor(h), math.ceil(h))}))
+    found = order_statistics(values, wanted)
+    out = []
+    for r, at in zip(rows, found, strict=True):
+        cuts = [None] * 3
+        if r["count"]:
+            places = [(r["count"] - 1) * q / 4 for q in (1, 2, 3)]
+            cuts = [at[math.floor(h)] + (at[math.ceil(h)] - at[math.floor(h)]) * (h - math.floor(h)) if h % 1 else at[math.floor(h)] for h in places]
+        out.append((r["column_name"], r["count"], r["mean"], r["std"], r["min"], *cuts, r["max"]))
+    return df.sparkSession.createDataFrame(out, "column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
+
+
+#: Bits of a value that a pass over the columns settles.
+DIGIT_BITS = 16
+
+
+def order_statistics(values: DataFrame, ranks: Sequence[Sequence[int]]) -> list[dict[int, float]]:
+    """For each double column of ``values`` its values at some ranks (from 0;
+    nulls left out, NaN last).
+
+    A double's bits, turned so that they grow with it, are its digits. Each of
+    four passes counts the next 16 bits of all columns at once, of the values
+    that begin like one of those sought, so a rank's value is known digit by
+    digit. A task counts in arrays; only its counts travel. The number of passes
+    is the same for any number of columns and rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    passes = 64 // DIGIT_BITS
+    #: column -> {rank: (digits so far, rank among the values that begin so)}
+    sought = [{rank: (0, rank) for rank in column} for column in ranks]
+    for step in range(passes):
+        prefixes = [np.array(sorted({p for p, _ in s.values()}), dtype=np.uint64) for s in sought]
+        shift = np.uint64(64 - DIGIT_BITS * (step + 1))
+
+        def count(batches, prefixes=prefixes, shift=shift, first=step == 0):
+            size = 1 << DIGIT_BITS
+            counts = [np.zeros((len(p), size), dtype=np.int64) for p in prefixes]
+            for batch in batches:
+                for table, known, column in zip(counts, prefixes, batch.columns, strict=True):
+                    if not len(known):
+                        continue
+                    x = column.drop_null().to_numpy(zero_copy_only=False)
+                    bits = np.where(np.isnan(x), np.inf, x).view(np.uint64)
+                    digits = np.where(bits >> np.uint64(63) == 1, ~bits, bits | np.uint64(1 << 63))
+                    digits[np.isnan(x)] = np.uint64((1 << 64) - 1)
+                    begin = np.zeros(len(digits), dtype=np.uint64) if first else digits >> (shift + np.uint64(DIGIT_BITS))
+                    at = np.minimum(np.searchsorted(known, begin), len(known) - 1)
+                    same = known[at] == begin
+                    digit = (digits[same] >> shift & np.uint64(size - 1)).astype(np.int64)
+                    np.add.at(table.reshape(-1), at[same] * size + digit, 1)
+            for c, table in enumerate(counts):
+                p, digit = np.nonzero(table)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), c)), pa.array(p), pa.array(digit), pa.array(table[p, digit])], names=["c", "p", "digit", "n"])
+
+        # At most 2^16 rows for each value sought, however many rows there are.
+        counted = values.mapInArrow(count, "c long, p long, digit long, n long").groupBy("c", "p", "digit").agg(F.sum("n").alias("n"))
+        tables: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for r in counted.collect():
+            tables.setdefault((r["c"], r["p"]), []).append((r["digit"], r["n"]))
+        for c, column in enumerate(sought):
+            for rank, (prefix, left) in column.items():
+                p = int(np.searchsorted(prefixes[c], np.uint64(prefix)))
+                for digit, n in sorted(tables[c, p]):
+                    if left < n:
+                        break
+                    left -= n
+                column[rank] = (prefix << DIGIT_BITS | digit, left)
+    out = []
+    for column in sought:
+        digits = np.array([d for d, _ in column.values()], dtype=np.uint64)
+        bits = np.where(digits >> np.uint64(63) == 1, digits & np.uint64((1 << 63) - 1), ~digits)
+        x = np.where(digits == np.uint64((1 << 64) - 1), np.nan, bits.view(np.float64)) if len(digits) else np.zeros(0)
+        out.append(dict(zip(column, x.tolist(), strict=True)))
+    return out
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

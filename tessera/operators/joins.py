@@ -42,14 +42,33 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
+#: Bits of the key filter, and of one bitmap of it: 4,096 bitmaps of 4 KB at most.
+FILTER_BITS, BITMAP_BITS = 27, 15
+
+
+def maybe_among(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose key can be one of ``others``: all that are, and
+    those whose hash happens to meet one of theirs. The hashes are set in
+    bitmaps, a task's own first; at 16 MB they are sent to every task, so ``df``
+    is filtered where it is read and only what is left is shuffled."""
+    place = F.xxhash64(*keys).bitwiseAND((1 << FILTER_BITS) - 1)
+    bucket, bit = F.shiftright(place, BITMAP_BITS), place.bitwiseAND((1 << BITMAP_BITS) - 1)
+    bitmaps = others.select(bucket.alias("__bucket"), bit.alias("bit")).groupBy("__bucket").agg(F.bitmap_construct_agg("bit").alias("__bits"))
+    joined = df.withColumns({"__bucket": bucket, "__bit": bit}).join(F.broadcast(bitmaps), "__bucket")
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright("__bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mask = F.expr("shiftleft(1, cast(__bit & 7 as int))")
+    return joined.filter(byte.bitwiseAND(mask) != 0).select(*df.columns)
+
+
 def new_items(listing: DataFrame, catalogue: DataFrame, order: Sequence[str] = ("page", "pos"),
               keys: Sequence[str] = tuple(KEY)) -> DataFrame:
     """Items whose key is not yet catalogued (stored rows with an empty
-    key part are ignored); repeats inside one run keep the first."""
+    key part are ignored); repeats inside one run keep the first. Of the
+    catalogue only keys that the listing may hold are shuffled."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & (F.length(F.col(k)) > 0)  # null parts drop out too
-    known = catalogue.select(*keys).filter(cond)
+    known = maybe_among(catalogue.select(*keys).filter(cond), listing.select(*keys), list(keys))
     fresh = listing.join(known, list(keys), "left_anti")
     return first_per_key(fresh, list(keys), list(order))
 

@@ -1,34 +1,21 @@
 """Vector operators: exact kNN join (J8), epsilon join, PCA reduction
-and density clusters from epsilon-graph components (C2).
-
-Exact neighbour search without a cross join: points are assigned to cells
-around sampled pivots (Arrow-batched numpy inside tasks); the triangle
-inequality then gives, for every query, the only cells that can hold a
-neighbour: ``d(q, pivot_c) - radius_c <= bound_q``. Queries meet the
-members of those cells in tiles of bounded size (a hot cell is split into
-blocks on both sides), where numpy computes the block of distances and only
-each query's k best per tile (or the pairs within epsilon) leave the task;
-the final top-k per query plans as a ``WindowGroupLimit`` (partial top-k
-before the shuffle). No pair is ever materialised as a row unless it can
-be part of the answer of its tile."""
+and density clusters (C2), at one level or as a hierarchy. The searches run in
+blocks of near vectors (``neighbours.py``), the hierarchy is exact single linkage
+(``linkage.py``)."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.feature import Normalizer, PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.neighbours import connecting, lay_out, own_bounds, search_cost, star_forest, within
+from tessera.operators.textmine import principal_axes, project
 from tessera.session import cut_lineage
 
-MAX_PIVOTS = 4096
-
 
 def as_double_array(c) -> F.Column:
     return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: x.cast("double"))
@@ -42,181 +29,50 @@ def unit(c) -> F.Column:
     return F.when(norm > 0, F.transform(v, lambda x: x / norm))
 
 
-def _pivots(points: DataFrame, n: int, k_min: int) -> np.ndarray:
-    m = min(MAX_PIVOTS, max(k_min + 1, int(math.ceil(math.sqrt(n)))))
-    rows = points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(m).select("id", "v").collect()
-    return np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows], dtype=np.float64)
-
-
-def _pivot_dists(v: pd.Series, piv: np.ndarray) -> np.ndarray:
-    x = np.stack(v.to_numpy())
-    d2 = (x * x).sum(1)[:, None] + (piv * piv).sum(1)[None, :] - 2.0 * x @ piv.T
-    return np.sqrt(np.maximum(d2, 0.0))
-
-
-def _assign(points: DataFrame, piv: np.ndarray) -> DataFrame:
-    """Nearest pivot (cell) and distance to it, per point."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in it:
-            if len(b) == 0:
-                continue
-            d = _pivot_dists(b["v"], piv)
-            cell = d.argmin(1)
-            yield pd.DataFrame({"id": b["id"], "v": b["v"], "cell": cell.astype("int32"),
-                                "dcell": d[np.arange(len(b)), cell]})
-
-    return points.mapInPandas(run, "id long, v array<double>, cell int, dcell double")
+def _points(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> DataFrame:
+    v = unit(vec_col) if metric == "cosine" else as_double_array(vec_col)
+    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.col("v").isNotNull())
 
 
-def _candidates(points: DataFrame, piv_ids: np.ndarray, piv: np.ndarray, radii: np.ndarray,
-                k: int | None, eps: float | None) -> DataFrame:
-    """Per query: its bound (k-th nearest pivot other than itself, or eps)
-    and every cell whose lower bound is within it."""
+def knn_join(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: str = "embedding",
+             metric: str = "cosine") -> DataFrame:
+    """The k nearest other vectors of every vector, exactly:
+    (src, dst, distance, rank); cosine distance = 1 - cos."""
+    blocks = lay_out(_points(vectors, id_col, vec_col, metric), k)
+    if blocks is None:
+        return vectors.sparkSession.createDataFrame([], "src long, dst long, distance double, rank int")
+    pairs = cut_lineage(within(own_bounds(blocks, k), metric, k))
+    w = Window.partitionBy("src").orderBy("distance", "dst")
+    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in it:
-            if len(b) == 0:
-                continue
-            d = _pivot_dists(b["v"], piv)
-            if eps is not None:
-                bound = np.full(len(b), eps)
-            elif len(piv_ids) - 1 < k:
-                bound = np.full(len(b), np.inf)  # fewer points than k + 1: search everything
-            else:
-                dd = np.where(piv_ids[None, :] == b["id"].to_numpy()[:, None], np.inf, d)
-                bound = np.partition(dd, k - 1, axis=1)[:, k - 1]
-            # A distance of nearly equal vectors is the root of a rounding error.
-            ok = (d - radii[None, :]) <= bound[:, None] + 1e-6 * (1 + np.sqrt((piv * piv).sum(1)).max())
-            qi, ci = np.nonzero(ok)
-            yield pd.DataFrame({"q": b["id"].to_numpy()[qi],
-                                "cell": ci.astype("int32"), "bound": bound[qi]})
 
-    return points.mapInPandas(run, "q long, cell int, bound double")
+def knn_cost(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: str = "embedding",
+             metric: str = "cosine") -> DataFrame:
+    """What ``knn_join`` compares: (id, blocks, points) of each vector, the blocks
+    it looks into and the vectors that they hold."""
+    blocks = lay_out(_points(vectors, id_col, vec_col, metric), k)
+    if blocks is None:
+        return vectors.sparkSession.createDataFrame([], "id long, blocks long, points long")
+    return search_cost(own_bounds(blocks, k))
 
 
-TILE = 2048  # max queries and members per tile
-DIGITS = 12  # of a distance
+_star_forest = star_forest
 
 
-def _star_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, smallest id of its component) of the graph given by the
-    pairs: the same connectivity with at most one edge per node."""
-    nodes, inv = np.unique(np.concatenate([src, dst]), return_inverse=True)
-    a, b = inv[: len(src)], inv[len(src):]
-    label = np.arange(len(nodes))
-    while True:
-        before = label.copy()
-        m = np.minimum(label[a], label[b])
-        np.minimum.at(label, a, m)
-        np.minimum.at(label, b, m)
-        label = label[label]  # pointer jumping
-        if np.array_equal(label, before):
-            break
-    keep = label != np.arange(len(nodes))
-    return nodes[keep], nodes[label[keep]]
-
-
-def _tile_pairs(k: int | None, metric: str, forest: bool = False):
-    """Distances of one tile (<= TILE queries x <= TILE members of a cell)
-    in numpy; emits only what can survive: per query its k best, or every
-    pair within the bound, or (``forest``) a star forest of the pairs within
-    the bound, which keeps the tile's connectivity with one edge per node."""
-
-    def run(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
-        if len(qs) == 0 or len(xs) == 0:
-            return pd.DataFrame({"src": [], "dst": [], "distance": []})
-        xs = xs.sort_values("x")
-        q = np.stack(qs["qv"].to_numpy())
-        x = np.stack(xs["xv"].to_numpy())
-        qid = qs["q"].to_numpy()
-        xid = xs["x"].to_numpy()
-        dot = q @ x.T
-        norms = (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :]
-        # Squares are compared, to within the rounding of a dot product: copies
-        # are at distance 0. Distances have DIGITS digits, so copies tie.
-        square = 2.0 * (1.0 - dot) if metric == "cosine" else norms - 2.0 * dot
-        square[np.abs(square) <= 1e-13 * norms] = 0.0
-        dist = np.round(square / 2 if metric == "cosine" else np.sqrt(np.maximum(square, 0.0)), DIGITS)
-        ok = (square <= (qs["bound"].to_numpy() ** 2)[:, None] + 1e-12 * norms) & (qid[:, None] != xid[None, :])
-        if k is not None and ok.shape[1] > k:
-            # The k nearest by (distance, id): columns are in the order of ids.
-            masked = np.where(ok, dist, np.inf)
-            last = np.partition(masked, k - 1, axis=1)[:, k - 1 : k]
-            tie = masked == last
-            room = k - (masked < last).sum(axis=1, keepdims=True)
-            ok &= (masked < last) | (tie & (np.cumsum(tie, axis=1) <= room))
-        qi, xi = np.nonzero(ok)
-        if forest:
-            a, b = _star_forest(qid[qi], xid[xi])
-            return pd.DataFrame({"src": a, "dst": b, "distance": np.zeros(len(a))})
-        return pd.DataFrame({"src": qid[qi], "dst": xid[xi], "distance": dist[qi, xi]})
-
-    return run
-
-
-def _pairs(vectors: DataFrame, id_col: str, vec_col: str, k: int | None, eps: float | None,
-           metric: str, forest: bool = False) -> DataFrame:
-    base = vectors.select(F.col(id_col).cast("long").alias("id"),
-                          (unit(vec_col) if metric == "cosine" else as_double_array(vec_col)).alias("v"))
-    base = base.filter(F.col("v").isNotNull())
-    if eps is not None and metric == "cosine":
+def _within_eps(vectors: DataFrame, eps: float, id_col: str, vec_col: str, metric: str, forest: bool = False) -> DataFrame:
+    blocks = lay_out(_points(vectors, id_col, vec_col, metric), None)
+    if blocks is None:
+        return vectors.sparkSession.createDataFrame([], "src long, dst long, distance double")
+    if metric == "cosine":
         eps = math.sqrt(2.0 * eps)  # cosine distance -> chord length on unit vectors
-    points = base.persist(StorageLevel.MEMORY_AND_DISK)
-    n = points.count()
-    spark = vectors.sparkSession
-    if n < 2:
-        return spark.createDataFrame([], "src long, dst long, distance double")
-    piv_ids, piv = _pivots(points, n, k or 1)
-    cells = _assign(points, piv).persist(StorageLevel.MEMORY_AND_DISK)
-    per_cell = {r["cell"]: (r["r"], r["n"]) for r in
-                cells.groupBy("cell").agg(F.max("dcell").alias("r"), F.count(F.lit(1)).alias("n")).collect()}
-    radii = np.array([per_cell.get(i, (-np.inf, 0))[0] for i in range(len(piv))])
-    cand = _candidates(points, piv_ids, piv, radii, k if eps is None else None, eps).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    q_per_cell = {r["cell"]: r["n"] for r in cand.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Tiles: a cell's members split into S blocks and its queries into T
-    # blocks; queries are repeated per member block and members per query
-    # block, so no tile holds more than TILE of either side. One row per
-    # cell (bounded by the pivot count) describes the split.
-    plan = spark.createDataFrame(
-        [(c, max(1, math.ceil(nm / TILE)), max(1, math.ceil(q_per_cell.get(c, 0) / TILE)))
-         for c, (_, nm) in per_cell.items()],
-        "cell int, S int, T int",
-    )
-    plan = F.broadcast(plan)
-    # Candidates carry no vector until they are dealt to their tiles.
-    qside = cand.join(plan, "cell").join(points.select(F.col("id").alias("q"), F.col("v").alias("qv")), "q").select(
-        "q", "qv", "bound", "cell",
-        (F.abs(F.xxhash64("q")) % F.col("T")).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.col("S") - 1)).alias("sb"),
-    )
-    xside = cells.join(plan, "cell").select(
-        F.col("id").alias("x"), F.col("v").alias("xv"), "cell",
-        (F.abs(F.xxhash64("id")) % F.col("S")).cast("int").alias("sb"),
-        F.explode(F.sequence(F.lit(0), F.col("T") - 1)).alias("qb"),
-    )
-    out = cut_lineage(qside.groupBy("cell", "sb", "qb").cogroup(xside.groupBy("cell", "sb", "qb")).applyInPandas(
-        _tile_pairs(k, metric, forest), "src long, dst long, distance double"
-    ))
-    for kept in (cand, cells, points):
-        kept.unpersist()
-    return out
-
-
-def knn_join(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: str = "embedding",
-             metric: str = "cosine") -> DataFrame:
-    """The k nearest other vectors of every vector, exactly:
-    (src, dst, distance, rank); cosine distance = 1 - cos."""
-    pairs = _pairs(vectors, id_col, vec_col, k, None, metric)
-    w = Window.partitionBy("src").orderBy("distance", "dst")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    blocks.table = blocks.table.withColumn("bounds", F.transform("bounds", lambda _: F.lit(float(eps))))
+    return cut_lineage(connecting(blocks, metric) if forest else within(blocks, metric, None))
 
 
 def epsilon_join(vectors: DataFrame, eps: float, id_col: str = "vec_id", vec_col: str = "embedding",
                  metric: str = "cosine") -> DataFrame:
     """All ordered pairs within ``eps`` (both directions), exactly."""
-    return _pairs(vectors, id_col, vec_col, None, eps, metric)
+    return _within_eps(vectors, eps, id_col, vec_col, metric)
 
 
 def connected_components(vertices: DataFrame | None, edges: DataFrame, max_rounds: int | None = None,
@@ -259,9 +115,11 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
 
 def epsilon_forest(vectors: DataFrame, eps: float, id_col: str = "vec_id", vec_col: str = "embedding",
                    metric: str = "cosine") -> DataFrame:
-    """Edges with the connectivity of the eps-graph but at most one per
-    node and tile (a dense group of m points gives m - 1 edges, not m^2)."""
-    e = _pairs(vectors, id_col, vec_col, None, eps, metric, forest=True).select("src", "dst")
+    """Edges with the connectivity of the eps-graph: inside a block at most one
+    for each point, between two blocks at most one for each of their components
+    (so a dense group of m points gives about m edges and one for each pair of its
+    blocks, not m^2)."""
+    e = _within_eps(vectors, eps, id_col, vec_col, metric, forest=True).select("src", "dst")
     return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
@@ -289,26 +147,27 @@ def default_eps(vectors: DataFrame, k: int, id_col: str, vec_col: str, metric: s
 
 
 def reduce_dims(df: DataFrame, k: int = 10, vec_col: str = "embedding", out_col: str = "reduced") -> DataFrame:
-    """C1 re-aimed: cosine geometry (L2 normalisation) then PCA to k dims.
-    PCA's covariance is d x d on the driver, bounded by the embedding size."""
-    v = df.withColumn("__v", array_to_vector(as_double_array(vec_col)))
-    v = Normalizer(p=2.0, inputCol="__v", outputCol="__n").transform(v)
-    dims = len(v.select("__v").first()["__v"])
-    model = PCA(k=min(k, dims), inputCol="__n", outputCol="__p").fit(v)
-    return model.transform(v).withColumn(out_col, vector_to_array("__p")).drop("__v", "__n", "__p")
+    """C1 re-aimed: cosine geometry (unit length; a zero or null vector stays at
+    zero), then the k principal axes, by products that the partitions sum up."""
+    index, weight = "__index", "__weight"
+    v = F.coalesce(unit(vec_col), as_double_array(vec_col), F.array().cast("array<double>"))
+    places = F.when(F.size(weight) > 0, F.sequence(F.lit(0), F.size(weight) - 1)).otherwise(F.array().cast("array<int>"))
+    rows = cut_lineage(df.withColumn(weight, v).withColumn(index, places))
+    packed = rows.select(F.struct(*df.columns).alias("__row"), F.col(index).alias("term_index"), F.col(weight).alias("weight"))
+    width = rows.agg(F.max(F.size(weight))).first()[0] or 0
+    axes, _, _, _ = principal_axes(packed, width, min(k, width))
+    out = project(packed, ["__row"], axes, np.zeros(axes.shape[1]), out_col)
+    return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in df.columns if c != out_col], out_col)
 
 
 def density_hierarchy(vectors: DataFrame, min_size: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-                      metric: str = "euclidean", k: int = 15, n_levels: int = 12) -> DataFrame:
-    """C2, hierarchical: single linkage over the k-nearest-neighbour graph
-    (bounded: k edges per point, both directions), levels at quantiles of
-    its edge lengths, clusters chosen by excess of mass. Returns
-    (id_col, cluster_id)."""
-    from tessera.operators.density import hierarchy_clusters, level_ladder
-
-    nn = knn_join(vectors, k, id_col, vec_col, metric).select("src", "dst", "distance")
-    edges = cut_lineage(nn.unionByName(nn.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "distance")))
+                      metric: str = "euclidean") -> DataFrame:
+    """C2, hierarchical: exact single linkage over all pairs, condensed to
+    clusters of at least ``min_size`` points and chosen by excess of mass.
+    Returns (id_col, cluster_id); vectors that are null (or, for cosine, of
+    length 0) are outliers like any other point in no cluster."""
+    from tessera.operators import linkage
+
+    found = linkage.density_hierarchy(_points(vectors, id_col, vec_col, metric), min_size, metric)
     ids = vectors.select(F.col(id_col).cast("long").alias("id"))
-    levels = level_ladder(edges, n_levels)
-    out = hierarchy_clusters(ids, edges, levels, min_size)
-    return out.select(F.col("id").alias(id_col), "cluster_id")
+    return ids.join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("cluster_id"))

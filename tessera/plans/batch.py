@@ -14,7 +14,7 @@ from tessera.operators.inference import embedding_udf
 from tessera.operators.joins import assign_topic, map_labels
 from tessera.operators.vectors import density_clusters, density_hierarchy, reduce_dims
 from tessera.plans.classify import label_clusters
-from tessera.schemas import EMBED_BATCH, KEY, KNN_K, MIN_CLUSTER_SIZE, REDUCED_DIMS, UNCATEGORIZED
+from tessera.schemas import EMBED_BATCH, KEY, MIN_CLUSTER_SIZE, REDUCED_DIMS, UNCATEGORIZED
 from tessera.session import cut_lineage
 
 
@@ -54,8 +54,7 @@ def classify_batch(df: DataFrame, embed_factory, label_factory, label_template:
         return rows.drop("__id").withColumn("topic", F.lit(UNCATEGORIZED)), unc
     reduced = cut_lineage(reduce_dims(with_vec, dims, "embedding", "reduced"))
     if eps is None:
-        # Hierarchical clusters over the 15-neighbour graph (bounded edges).
-        clusters = density_hierarchy(reduced, min_size, "__id", "reduced", "euclidean", k=KNN_K)
+        clusters = density_hierarchy(reduced, min_size, "__id", "reduced", "euclidean")
     else:
         clusters = density_clusters(reduced, eps, min_size, "__id", "reduced", "euclidean")
     clustered = reduced.join(clusters, "__id").select("__id", text_col, "cluster_id", *KEY)

@@ -3,7 +3,7 @@ goal scores (M8), prompt comparison (M10) and the dispatcher (E4)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +23,13 @@ from tessera.schemas import KEY, LABEL_SAMPLE
 from tessera.session import cut_lineage
 from tessera.sources.catalogue import write_stage
 
-# Wave sizes for the open-vocabulary classifier: new topics become rare as
-# the vocabulary grows, so waves grow geometrically; the last wave takes
-# the rest. A wave of one row reproduces the sequential reference.
-DEFAULT_WAVES = (64, 512)
+# The open-vocabulary classifier's first wave, and how much larger each next one
+# is, to the end: at most half of the rows come after the last new vocabulary.
+# Waves of one row reproduce the sequential reference.
+FIRST_WAVE, WAVE_GROWTH = 64, 2
+#: Topics that a prompt lists: those of the least rank. The vocabulary itself, and
+#: what counts as new, has no bound.
+LISTED_TOPICS = 10_000
 
 
 def order_key(df: DataFrame, sort_by: str | None = "created_at") -> F.Column:
@@ -39,18 +42,29 @@ def order_key(df: DataFrame, sort_by: str | None = "created_at") -> F.Column:
     return F.struct(first.alias("t"), *[F.col(k) for k in KEY])
 
 
+def wave_sizes() -> Iterator[int]:
+    size = FIRST_WAVE
+    while True:
+        yield size
+        size *= WAVE_GROWTH
+
+
 def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[str],
-                        waves: Sequence[int] = DEFAULT_WAVES, sort_by: str | None = "created_at",
-                        pause_s: float = 0.0, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
+                        waves: Sequence[int] | None = None, sort_by: str | None = "created_at",
+                        pause_s: float = 0.0, tasks: int | None = None,
+                        listed: int = LISTED_TOPICS) -> tuple[DataFrame, DataFrame]:
     """M6: a topic per row, chosen from (or added to) a growing vocabulary;
     returns the rows and the vocabulary (topic, rank).
 
     The input is sorted once into a written table whose row numbers give every
     row its exact place, ties included, so wave sizes are exact. All rows of a
     wave see the vocabulary known before it; new topics are added in order of
-    first appearance (U1). Each wave's answers are written once, then used for
-    output and vocabulary. The driver holds the topics that the next prompts
-    list, and none after the last wave."""
+    first appearance (U1). Waves grow by ``WAVE_GROWTH`` until the input ends
+    (``waves`` gives other sizes; a last one takes the rest), so every row sees
+    the topics of all waves before its own, in prompts up to ``listed`` of them.
+    Each wave's answers are written once, then used for output and vocabulary.
+    The driver holds the topics that the next prompts list, and none after the
+    last wave."""
     df = normalise_columns(df)
     spark = df.sparkSession
     vocab = seed_topics(spark, list(topics))
@@ -61,13 +75,13 @@ def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[
     if n == 0:
         return df.withColumn("topic", F.lit(None).cast("string")), vocab
     bounds, cum = [0], 0
-    for w in waves:
+    for w in waves if waves is not None else wave_sizes():
         cum += w
         if cum >= n:
             break
         bounds.append(place_of(cum, counts))
     parts: list[DataFrame] = []
-    known = list(topics)
+    known, size = list(topics)[:listed], len(topics)
     for i, lo in enumerate(bounds):
         last = i + 1 == len(bounds)
         wave = placed.filter(F.col("__place") >= lo)
@@ -76,9 +90,10 @@ def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[
         prompt = render_topic_prompt(template, "summary", known)
         answered = cut_lineage(predict_text(wave, prompt, factory, out_col="topic", on_error="raise", pause_s=pause_s, tasks=tasks))
         parts.append(answered)
-        vocab = cut_lineage(extend_vocabulary(vocab, answered.select("topic", F.col("__place").alias("seen_at")), offset=len(known)))
+        vocab = cut_lineage(extend_vocabulary(vocab, answered.select("topic", F.col("__place").alias("seen_at")), offset=size))
         if not last:
-            known = [r["topic"] for r in vocab.orderBy("rank").collect()]
+            size = vocab.count()
+            known = [r["topic"] for r in vocab.orderBy("rank").limit(listed).collect()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import attach_readme, new_items
 from tessera.session import cut_lineage
-from tessera.sources.catalogue import append_catalogue, table_exists
+from tessera.sources.catalogue import append_catalogue, read_table, table_exists
 from tessera.sources.ingest import (
     account_names,
     cap_per_account,
@@ -46,7 +46,7 @@ def scan_job(registry: DataFrame, responses: DataFrame, readmes: DataFrame, cata
     anything (a table that can't be read fails the job), append the new rows,
     return how many were appended."""
     spark = registry.sparkSession
-    stored = spark.read.parquet(catalogue_path) if table_exists(spark, catalogue_path) else None
+    stored = read_table(spark, catalogue_path) if table_exists(spark, catalogue_path) else None
     rows = cut_lineage(scan(registry, responses, readmes, stored, allow, page, scan_time=F.current_timestamp()))
     append_catalogue(rows, catalogue_path)
     return rows.count()

@@ -15,6 +15,7 @@ from tessera.operators import windows as W
 from tessera.operators.filters import drop_uncategorized, fill_text
 from tessera.operators.joins import attach_clusters
 from tessera.schemas import KEY
+from tessera.session import cut_lineage
 
 
 def text_clusters(df: DataFrame, text_col: str = "summary", stop_words: Iterable[str] | None = None,
@@ -26,21 +27,23 @@ def text_clusters(df: DataFrame, text_col: str = "summary", stop_words: Iterable
     if tf.n_docs < 2 or not tf.vocab:
         out.update(k=0, clusters=None)
         return out
-    vectors = tf.vectors()
-    inertia = TM.kmeans_inertia(vectors, ks)
-    elbow_k = W.elbow(inertia).first()["k"] if inertia.take(1) else None
+    rows, width = cut_lineage(tf.rows), len(tf.vocab)
+    models = TM.kmeans(rows, KEY, width, ks)
+    inertia = models.inertia(spark)
+    elbow_k = W.elbow(inertia).first()["k"] if models.cost else None
     k = TM.choose_k(elbow_k, tf.n_docs)
-    assigned, model = TM.kmeans_assign(vectors, k, KEY)
-    out.update(inertia=inertia, k=k, assigned=assigned)
-    if model is None:
+    if k > 1 and k not in models.centres:
+        models = TM.kmeans(rows, KEY, width, [k])
+    out.update(inertia=inertia, k=k, assigned=TM.kmeans_assign(rows, k, KEY, models))
+    if k not in models.centres:
         out["clusters"] = None
         return out
-    clustered = attach_clusters(df, assigned)
+    clustered = attach_clusters(df, out["assigned"])
     out.update(
         clusters=clustered,
         cluster_sizes=T.cluster_sizes(clustered),
-        top_terms=W.top_terms(TM.centers_long(spark, model), tf.vocab_df()),
-        pca=TM.pca_2d(vectors, KEY),
+        top_terms=W.top_terms(models.long(spark, k), tf.vocab_df()),
+        pca=TM.pca_2d(rows, KEY, width),
     )
     return out
 

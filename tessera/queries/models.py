@@ -75,13 +75,14 @@ def q_summarise(spark, sf_dir):
     return out.select(*KEY, "summary")
 
 
-WAVES = (64, 512)
+# The default waves over 1,000 rows: five, each twice the one before.
+WAVES = [(0, 64), (64, 192), (192, 448), (448, 960), (960, 1984), (1984, 4032), (4032, 8128), (8128, None)]
 
 
 def _open_vocab(spark, sf_dir):
     """Answers depend on the topics that the prompt lists."""
     return C.classify_open_vocab(summarised(spark, sf_dir), stubs.TOPIC_TEMPLATE, stubs.seed_topic(use_prompt_list=True),
-                                 stubs.SEED_TOPICS, waves=WAVES)
+                                 stubs.SEED_TOPICS)
 
 
 def _wave_sql(k: int, lo: int, hi: int | None) -> str:
@@ -104,16 +105,16 @@ ordered AS MATERIALIZED (
          coalesce(lower(regexp_extract_all(coalesce(summary, ''), '{TOKEN_RE}')[1]), 'misc') AS word,
          row_number() OVER (ORDER BY created_at DESC NULLS LAST, account, name) AS ord FROM summarised),
 v0 AS MATERIALIZED (SELECT topic, CAST(rank AS INTEGER) AS rank FROM seeds),""" + ",".join(
-    _wave_sql(k, lo, hi) for k, (lo, hi) in enumerate([(0, 64), (64, 576), (576, None)]))
+    _wave_sql(k, lo, hi) for k, (lo, hi) in enumerate(WAVES))
 
 
-@query("classify_open_vocab", with_(OPEN_VOCAB_SQL, " UNION ALL ".join(f"SELECT account, name, topic FROM a{k}" for k in range(3))))
+@query("classify_open_vocab", with_(OPEN_VOCAB_SQL, " UNION ALL ".join(f"SELECT account, name, topic FROM a{k}" for k in range(len(WAVES)))))
 def q_classify_open_vocab(spark, sf_dir):
     out, _ = _open_vocab(spark, sf_dir)
     return out.select(*KEY, "topic")
 
 
-@query("open_vocab_topics", with_(OPEN_VOCAB_SQL, "SELECT topic, rank FROM v3"))
+@query("open_vocab_topics", with_(OPEN_VOCAB_SQL, f"SELECT topic, rank FROM v{len(WAVES)}"))
 def q_open_vocab_topics(spark, sf_dir):
     _, vocab = _open_vocab(spark, sf_dir)
     return vocab
@@ -291,7 +292,7 @@ def q_reprocess(spark, sf_dir):
 
     path = shared_path(spark, "catalogue")
     readme_attached(spark, sf_dir).write.parquet(path)
-    audit = reprocess(spark, path, shared_path(spark, "staging"))
+    audit = reprocess(spark, path)
     r = audit["rewrite"] or {"before": 0, "kept": 0, "after": 0, "remaining_rejected": 0}
     row = (r["before"], r["kept"], r["after"], r["remaining_rejected"], audit["missing"]["missing"])
     return spark.createDataFrame([row], "before bigint, kept bigint, after bigint, remaining_rejected bigint, missing bigint")

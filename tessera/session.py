@@ -96,4 +96,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
 """Incremental jobs as Structured Streaming.
 
-I1: landed listing responses -> catalogue rows with READMEs, skipping keys
-already in the stored catalogue or in earlier batches' output (anti-joins), so
-a run can be interrupted and resumed; the state is the output itself.
+I1: landed listing responses -> catalogue rows with READMEs. Which keys are known
+is keyed state of the stream (``transformWithState`` over the RocksDB store):
+the stored catalogue's keys are its initial state, and every key that a batch
+adds joins them, so a batch looks up its own keys and reads neither the stored
+catalogue nor earlier output. A run can be interrupted and resumed.
 
 Micro-batches run in ``foreachBatch``. Each batch's
 output goes to its own ``batch_id`` partition with dynamic overwrite, so a
@@ -12,58 +14,88 @@ about ``every`` rows per batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tessera.operators.joins import attach_readme, first_per_key, new_items
-from tessera.schemas import CATALOGUE, KEY, SAVE_EVERY
-from tessera.session import cut_lineage
-from tessera.sources.catalogue import table_exists
+from tessera.operators.joins import attach_readme
+from tessera.schemas import KEY, SAVE_EVERY
 from tessera.sources.ingest import explode_listing, project_catalogue, to_catalogue
 
 RESPONSE = T.StructType(
     [T.StructField("account", T.StringType()), T.StructField("page", T.LongType()), T.StructField("body", T.StringType())]
 )
 
-WRITTEN = T.StructType([*CATALOGUE.fields, T.StructField("batch_id", T.LongType())])
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+class FirstOfKey(StatefulProcessor):
+    """The first row of a key that was never seen, by (page, pos)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self.seen.exists():
+            first = min(rows, key=lambda r: (r["page"] is not None, r["page"] or 0, r["pos"]))
+            self.seen.update((True,))
+            yield first
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def _rocksdb(spark: SparkSession, start: Callable):
+    """Start a query with the RocksDB state store, which keyed state needs; the
+    session's own setting stands again afterwards."""
+    old = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKSDB)
+    try:
+        return start()
+    finally:
+        spark.conf.unset(STORE) if old is None else spark.conf.set(STORE, old)
 
 
 def stream_catalogue(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
                      stored: DataFrame | None = None, max_files: int | None = None,
                      readmes: DataFrame | None = None):
     """Run once over everything landed so far (``availableNow``) and
-    return the finished query. Each batch is scanned as a whole scan is (J1:
-    keys in ``stored`` or in earlier batches' output are known, the first of
-    repeats stays; J3: READMEs) and written to its own ``batch_id`` partition."""
+    return the finished query. New keys (J1: not in ``stored``, which the first
+    run over a checkpoint takes in, nor in an earlier batch; the first of a
+    batch's repeats stays) get their READMEs (J3) and are written to the batch's
+    own ``batch_id`` partition. A batch that is replayed reads the state that it
+    started from, so it writes the same rows again."""
     reader = spark.readStream.schema(RESPONSE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    items = to_catalogue(explode_listing(reader.json(landing)))
+    nameless = F.lit(True)
+    for k in KEY:
+        nameless = nameless & (F.length(F.col(k)) > 0)
+    known = None
+    if stored is not None:
+        # One row for each key: the state takes a key once.
+        known = stored.select(*KEY).filter(nameless).distinct().groupBy(*KEY)
+    new = items.groupBy(*KEY).transformWithState(FirstOfKey(), items.schema, "Append", "None", initialState=known)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        rows = to_catalogue(explode_listing(batch))
-        if stored is not None:
-            rows = new_items(rows, stored)
-        if table_exists(spark, out_path):
-            rows = new_items(rows, spark.read.schema(WRITTEN).parquet(out_path).filter(F.col("batch_id") != batch_id))
-        rows = first_per_key(rows, KEY, ["page", "pos"])
-        if readmes is not None:
-            rows = attach_readme(rows, readmes)
-        # Written before the output that it was compared with changes.
-        rows = cut_lineage(project_catalogue(rows)).withColumn("batch_id", F.lit(batch_id))
+        rows = batch if readmes is None else attach_readme(batch, readmes)
+        rows = project_catalogue(rows).withColumn("batch_id", F.lit(batch_id))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
 
-    q = (
-        reader.json(landing)
-        .writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+    def start():
+        query = new.writeStream.outputMode("append").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+
+    return _rocksdb(spark, start)
 
 
 def stream_enrich(spark: SparkSession, landing: str, schema: T.StructType, op: Callable[[DataFrame], DataFrame],

@@ -1,113 +1,137 @@
-"""Hierarchical density clusters against a brute-force restatement of the
-same quantised algorithm, and on planted clusters."""
-
-from collections import defaultdict
+"""The density hierarchy against a brute-force restatement: components at
+every distance, condensed, chosen by excess of mass."""
 
 import numpy as np
 
-from tessera.operators.density import hierarchy_clusters
-from tessera.operators.vectors import density_hierarchy
-
-
-def components(n, edges, eps):
-    parent = list(range(n))
-
-    def find(a):
-        while parent[a] != a:
-            parent[a] = parent[parent[a]]
-            a = parent[a]
-        return a
-
-    for a, b, d in edges:
-        if d <= eps:
-            ra, rb = find(a), find(b)
-            if ra != rb:
-                parent[max(ra, rb)] = min(ra, rb)
-    groups = defaultdict(list)
-    for p in range(n):
-        groups[find(p)].append(p)
-    return {p: min(g) for g in groups.values() for p in g}
-
-
-def brute(n, edges, levels, m):
-    levels = sorted(levels)
-    L = len(levels)
-    lam = {i: 1.0 / levels[i - 1] for i in range(1, L + 1)}
-    comp = {i: components(n, edges, levels[i - 1]) for i in range(1, L + 1)}
-    size = {i: defaultdict(int) for i in comp}
-    for i in comp:
-        for p, lab in comp[i].items():
-            size[i][lab] += 1
-    big = {i: {lab for lab, s in size[i].items() if s >= m} for i in comp}
-    nbig = defaultdict(int)
-    for i in range(1, L):
-        for lab in big[i]:
-            nbig[(i + 1, comp[i + 1][lab])] += 1
-    root_split = len(big[L]) >= 2
-    cid, pa = {}, {}
-    for i in range(L, 0, -1):
-        for lab in big[i]:
-            if i == L:
-                birth = root_split
-                up = (0, -1)
-            else:
-                birth = nbig[(i + 1, comp[i + 1][lab])] >= 2
-                up = cid[(i + 1, comp[i + 1][lab])]
-            cid[(i, lab)] = (i, lab) if birth else up
-            if birth:
-                pa[(i, lab)] = up
-    t = defaultdict(int)
-    for i in comp:
-        for p, lab in comp[i].items():
-            if lab in big[i] and cid[(i, lab)][0] > 0:
-                t[(cid[(i, lab)], p)] += 1
-    stab = defaultdict(float)
-    for (c, p), k in t.items():
-        stab[c] += lam[max(c[0] - k, 1)] - lam[c[0]]
+from tessera.operators import linkage
+from tessera.operators.vectors import density_hierarchy, knn_cost
+
+
+def distance_matrix(pts, metric):
+    if metric == "cosine":
+        u = pts / np.linalg.norm(pts, axis=1, keepdims=True)
+        d = np.maximum(1 - u @ u.T, 0)
+    else:
+        d = np.linalg.norm(pts[:, None] - pts[None], axis=2)
+    return np.round(d, 12)
+
+
+def brute(pts, m, metric="euclidean"):
+    """{point: least member of its cluster, or -1}."""
+    d, n = distance_matrix(pts, metric), len(pts)
+    below, parts = {frozenset([p]): 0.0 for p in range(n)}, [frozenset([p]) for p in range(n)]
+    nodes = []  # (weight, members, children at the level below)
+    for w in sorted(set(d[~np.eye(n, dtype=bool)].tolist())):
+        label = np.arange(n)
+        near = d <= w
+        while True:
+            new = np.array([label[near[p]].min() for p in range(n)])
+            new = new[new]
+            if (new == label).all():
+                break
+            label = new
+        now = [frozenset(np.flatnonzero(label == x).tolist()) for x in set(label.tolist())]
+        for part in now:
+            if part not in below:
+                nodes.append((w, part, [q for q in parts if q < part]))
+                below[part] = w
+        parts = now
+        if len(parts) == 1:
+            break
+    children = {part: [q for q in kids if len(q) >= m] for _, part, kids in nodes}
+    up = {q: (part, w) for w, part, kids in nodes for q in kids}
+    inverse = lambda w: 1 / w if w > 0 else np.inf
+    tops = [q for part in children for q in children[part] if len(children[part]) >= 2]
+    weight = {part: w for w, part, _ in nodes}
+    value, kids = {}, {}
+    for top in tops:
+        birth, total, at = inverse(up[top][1]), 0.0, top
+        while len(children.get(at, [])) == 1:
+            total += (len(at) - len(children[at][0])) * (inverse(weight[at]) - birth)
+            at = children[at][0]
+        total += len(at) * (inverse(weight.get(at, 0.0)) - birth)
+        value[top], kids[top] = total, children.get(at, [])
     best, keep = {}, {}
-    for c in sorted(pa, key=lambda c: c[0]):
-        child = sum(best[x] for x in pa if pa[x] == c)
-        keep[c] = stab[c] >= child
-        best[c] = max(stab[c], child)
-    blocked = {}
-    for c in sorted(pa, key=lambda c: -c[0]):
-        up = pa[c]
-        blocked[c] = up != (0, -1) and (blocked[up] or keep[up])
-    chosen = {c for c in pa if keep[c] and not blocked[c]}
-    out = {p: -1 for p in range(n)}
-    for c in chosen:
-        for p, lab in comp[c[0]].items():
-            if lab == c[1]:
-                out[p] = c[1]
+    for top in sorted(tops, key=len):
+        below_best = sum(best[k] for k in kids[top])
+        keep[top], best[top] = value[top] >= below_best, max(value[top], below_best)
+    out = dict.fromkeys(range(n), -1)
+    for top in sorted(tops, key=len):
+        if keep[top] and not any(top < other and keep[other] for other in tops):
+            for p in top:
+                out[p] = min(top)
     return out
 
 
-def test_hierarchy_matches_brute_force(spark):
-    rng = np.random.default_rng(11)
-    pts = np.concatenate([rng.normal(c, s, (n, 2)) for c, s, n in
-                          [((0, 0), 0.3, 25), ((5, 5), 0.6, 30), ((5.8, 5.8), 0.2, 12), ((-6, 4), 1.0, 20)]])
+def frame(spark, pts):
+    return spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "vec_id long, embedding array<double>")
+
+
+def check(spark, pts, m, metric="euclidean"):
+    got = {r["vec_id"]: r["cluster_id"] for r in density_hierarchy(frame(spark, pts), m, metric=metric).collect()}
+    assert got == brute(pts, m, metric)
+    return got
+
+
+def blobs(seed):
+    rng = np.random.default_rng(seed)
+    parts = [((0, 0), 0.3, 25), ((5, 5), 0.6, 30), ((5.8, 5.8), 0.2, 12), ((-6, 4), 1.0, 20), ((0, 0), 9, 15)]
+    return np.concatenate([rng.normal(c, s, (n, 2)) for c, s, n in parts])
+
+
+def test_hierarchy_of_blobs(spark):
+    got = check(spark, blobs(11), 5)
+    assert len(set(got.values())) > 2
+
+
+def test_hierarchy_with_copies_ties_tiny_steps_and_far_parts(spark):
+    """Twenty equal vectors near others, a grid (every step ties), merges far
+    below any quantile of the distances, and parts so far apart that all listed
+    neighbours lie inside: the least step out takes a search."""
+    rng = np.random.default_rng(3)
+    grid = np.array([(x, y) for x in range(5) for y in range(4)], dtype=float) + [30, 30]
+    tiny = np.array([[-20, -20]]) + rng.normal(0, 1e-6, (12, 2)) + np.repeat([[0, 0], [1e-4, 0]], 6, axis=0)
+    far = np.concatenate([rng.normal(0, 0.5, (30, 2)) + [400, 0], rng.normal(0, 0.5, (25, 2)) - [300, 9]])
+    check(spark, np.concatenate([np.tile([[2.0, 2.0]], (20, 1)), [[2.0, 2.1], [2.1, 2.0]], np.tile([[7.0, 7.0]], (3, 1)), grid, tiny, far]), 5)
+
+
+def test_hierarchy_of_cosines_and_small_sets(spark):
+    rng = np.random.default_rng(8)
+    pts = np.concatenate([rng.normal(c, 0.2, (12, 5)) for c in rng.normal(0, 1, (3, 5))] + [rng.normal(0, 1, (6, 5))])
+    check(spark, pts, 4, "cosine")
+    for n in (1, 9):
+        assert set(check(spark, np.ones((n, 3)), 5).values()) == {-1}  # the whole set is never a cluster
+    assert density_hierarchy(frame(spark, pts).limit(0), 5).count() == 0
+
+
+def test_fill_down_over_any_ranges(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(k), float(w), None if rng.random() < 0.8 else f"v{w:.4f}") for k in (1, 2, 2, 2, 2, 2, 2, 3) for w in rng.random(40)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = {(r["k"], r["w"]): r["v"] for r in linkage.fill_down(spark.createDataFrame(rows, "k long, w double, v string"), "k", ["w"], "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for k in (1, 2, 3):
+        last = None
+        for _, w, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+            last = v or last
+            assert got[k, w] == last
+
+
+def test_vectors_look_into_few_others(spark):
+    """On clustered vectors the bound from a vector's own block leaves at least
+    five times fewer candidates than one from the k-th nearest pivot."""
+    rng = np.random.default_rng(6)
+    pts = np.concatenate([rng.normal(c, 0.05, (100, 8)) for c in rng.normal(0, 4, (20, 8))])
+    k = 10
+    cost = knn_cost(frame(spark, pts), k, metric="euclidean").collect()
+    assert len(cost) == len(pts)
     n = len(pts)
-    d = np.linalg.norm(pts[:, None] - pts[None], axis=2)
-    edges = [(a, b, float(d[a, b])) for a in range(n) for b in range(n) if a != b and d[a, b] <= 2.5]
-    levels = [0.15, 0.25, 0.35, 0.5, 0.7, 0.9, 1.2, 1.6, 2.0, 2.5]
-    ids = spark.createDataFrame([(i,) for i in range(n)], "id long")
-    e = spark.createDataFrame(edges, "src long, dst long, distance double")
-    got = {r["id"]: r["cluster_id"] for r in hierarchy_clusters(ids, e, levels, 5).collect()}
-    ref = brute(n, edges, levels, 5)
-    assert got == ref
-    ids_used = [v for v in got.values() if v != -1]
-    assert all(ids_used.count(c) >= 5 for c in set(ids_used))
-
-
-def test_density_hierarchy_planted(spark):
-    rng = np.random.default_rng(5)
-    centres = [(0, 0, 0), (8, 0, 0), (0, 8, 0), (0, 0, 8)]
-    pts = np.concatenate([rng.normal(c, 0.3, (20, 3)) for c in centres])
-    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "vec_id long, embedding array<double>")
-    out = {r["vec_id"]: r["cluster_id"] for r in density_hierarchy(df, 5, metric="euclidean", k=10).collect()}
-    labels = [out[i] for i in range(len(pts))]
-    for c in range(4):
-        block = set(labels[c * 20:(c + 1) * 20])
-        assert -1 not in block or len(block) <= 2
-    found = {x for x in labels if x != -1}
-    assert len(found) == 4
+    pivots = pts[rng.permutation(n)[: int(np.ceil(np.sqrt(n)))]]
+    d = np.linalg.norm(pts[:, None] - pivots[None], axis=2)
+    cell = d.argmin(1)
+    radius = np.array([d[cell == c, c].max(initial=-np.inf) for c in range(len(pivots))])
+    bound = np.sort(d, axis=1)[:, k]
+    looked = (((d - radius[None]) <= bound[:, None]) * np.bincount(cell, minlength=len(pivots))[None]).sum()
+    assert 5 * sum(r["points"] for r in cost) <= looked

@@ -1,14 +1,16 @@
 """Sources, catalogue projection and joins on hand-made rows."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import joins as J
 from tessera.operators.filters import drop_missing_readme, normalise_columns, pending
 from tessera.schemas import CATALOGUE, NO_DESCRIPTION, NO_LANGUAGE, README_MISSING, SUMMARY_ERROR
 from tessera.sources import catalogue as S
-from tessera.sources import ingest
+from tessera.sources import csvsplit, ingest
 
 
 def responses(spark, rows):
@@ -72,6 +74,14 @@ def test_new_items_first_wins_and_empty_keys_ignored(spark):
     assert out == {"x": "first", "z": "z"}
 
 
+def test_filter_keeps_all_keys_that_are_asked_for(spark):
+    have = spark.range(5000).select(F.concat(F.lit("a"), F.col("id") % 7).alias("account"), F.col("id").cast("string").alias("name"))
+    asked = have.filter("cast(name as int) % 50 = 0")
+    kept = J.maybe_among(have, asked, ["account", "name"])
+    assert asked.join(kept, ["account", "name"], "left_anti").isEmpty() and kept.count() < 120
+    assert J.maybe_among(have, asked.limit(0), ["account", "name"]).count() == 0
+
+
 def test_attach_readme_failure_paths(spark):
     cat = spark.createDataFrame([("a", n) for n in ["ok", "404", "500", "nobody", "empty", "absent"]], "account string, name string")
     readmes = spark.createDataFrame(
@@ -94,14 +104,52 @@ def test_csv_round_trip_multiline_quotes_and_na(spark, tmp_path):
     assert back["language"] == "NA" and back["forks"] is None and back["readme_snippet"] == "readme, with comma"
 
 
+def test_csv_records_over_range_borders(spark, tmp_path):
+    """Many ranges of a few bytes; cells with line breaks, doubled quotes and
+    line ends of two characters lie over their borders. Same rows as Spark's own
+    reader of whole files."""
+    rng = random.Random(4)
+    cell = lambda: "".join(rng.choice(['a', 'b,', '"', "\n", "\r\n", " ", "é", "NA"]) for _ in range(rng.randrange(12)))
+    quoted = lambda c: '"' + c.replace('"', '""') + '"' if c else rng.choice(["", '""'])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "xyz"])
+    for k, end in enumerate(["\n", "\r\n", "\n"]):
+        lines = ['x,y,"z', 'more"'] + [",".join(quoted(cell()) for _ in range(3)) for _ in range(25)]
+        lines[5:5] = ["", '"' + "long\n" * 30 + '",b,c']
+        (tmp_path / f"f{k}.csv").write_bytes(((end if k == 1 else "") + end.join(lines) + (end if k != 2 else "")).encode())
+    whole = spark.read.options(**S.CSV_OPTIONS).schema(schema).csv(str(tmp_path))
+    wanted = sorted(map(str, whole.collect()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("90b", "1000b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert sorted(map(str, S.read_catalogue_csv(spark, str(tmp_path), schema).collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "one")
+    text = F.concat(F.lit('line "one"\n'), F.repeat(F.lit("abcdefg "), 100), F.col("id").cast("string"))
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("name"), text.alias("text"))
+    df.coalesce(1).write.options(**S.CSV_OPTIONS).csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        tasks = csvsplit._lines(spark, path).select(F.spark_partition_id()).distinct().count()
+        back = S.read_catalogue_csv(spark, path, df.schema)
+        assert tasks >= 15 and back.count() == 20_000 and back.exceptAll(df).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_overwrite_and_verify(spark, tmp_path):
     df = spark.createDataFrame([("a", "1", README_MISSING), ("a", "2", "ok"), ("a", "3", None)],
                                "account string, name string, readme_snippet string")
     path = str(tmp_path / "cat")
     df.write.parquet(path)
     reject = F.col("readme_snippet").eqNullSafe(F.lit(README_MISSING))
-    res = S.overwrite_and_verify(spark, path, ~reject, reject, str(tmp_path / "staging"))
-    assert res == {"before": 3, "kept": 2, "after": 2, "remaining_rejected": 0}
+    res = S.overwrite_and_verify(spark, path, ~reject, reject)
+    assert res == {"before": 3, "kept": 2, "after": 2, "remaining_rejected": 0, "rewritten": 1}
     assert drop_missing_readme(df).count() == 2  # nulls are kept
 
 

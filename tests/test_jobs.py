@@ -58,7 +58,7 @@ def test_reprocess_audit(spark, tmp_path):
                                "account string, name string, readme_snippet string")
     path = str(tmp_path / "cat")
     df.write.parquet(path)
-    audit = reprocess(spark, path, str(tmp_path / "stage"))
+    audit = reprocess(spark, path)
     assert audit["missing"]["missing"] == 1 and audit["duplicates"] == 2
     assert audit["unique_vs_total"] == {"unique_keys": 2, "total_rows": 3}
     assert audit["rewrite"]["remaining_rejected"] == 0 and audit["rewrite"]["after"] == 2

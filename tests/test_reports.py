@@ -50,6 +50,21 @@ def test_describe_numeric_matches_pandas(spark):
         assert got[a] == pytest.approx(ref[b])
 
 
+def test_order_statistics_without_a_sort(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1e-9, 300), rng.normal(0, 1e200, 300), np.repeat([2.5, -0.0, 0.0], 50), [np.inf, -np.inf, 5e-324]])
+    y = rng.integers(-3, 3, len(x)).astype(float)
+    df = spark.createDataFrame([(float(a), None if i % 9 == 0 else float(b), None) for i, (a, b) in enumerate(zip(x, y))], "x double, y double, z double").repartition(5)
+    ranks = [list(range(0, len(x), 7)), [0, 5, 100, 600], []]
+    got = A.order_statistics(df, ranks)
+    order = [np.sort(x), np.sort([b for i, b in enumerate(y) if i % 9])]
+    for found, at, wanted in zip(got, ranks, order):
+        assert [found[r] for r in at] == [wanted[r] for r in at]
+    assert got[2] == {}
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert np.isnan(A.order_statistics(nan, [[1]])[0][1])
+
+
 def test_unique_vs_total_counts_null_keys(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, "x")], "account string, name string")
     r = A.unique_vs_total(df, ["account", "name"]).first()

@@ -19,7 +19,8 @@ from tessera.plans.scan import scan_job
 from tessera.plans.summarise import summarise, summarise_job
 from tessera.session import shared_path
 from tessera.sources import ingest
-from tessera.sources.catalogue import overwrite_and_verify
+from tessera.sources import catalogue as store
+from tessera.sources.catalogue import overwrite_and_verify, read_table
 
 
 def counting(path, model):
@@ -114,13 +115,40 @@ def test_scores_that_are_no_numbers(spark):
 
 
 def test_rewrite_is_checked_before_the_swap(spark):
-    path, staging = shared_path(spark, "rewrite"), shared_path(spark, "staging")
+    path = shared_path(spark, "rewrite")
     spark.range(10).write.parquet(path)
     reject = F.col("id") >= 7
     with pytest.raises(RuntimeError):  # keep and reject don't complement each other
-        overwrite_and_verify(spark, path, F.col("id") < 9, reject, staging)
-    assert spark.read.parquet(path).count() == 10
-    assert overwrite_and_verify(spark, path, ~reject, reject, staging)["after"] == 7
+        overwrite_and_verify(spark, path, F.col("id") < 9, reject)
+    assert read_table(spark, path).count() == 10
+    assert overwrite_and_verify(spark, path, ~reject, reject)["after"] == 7
+
+
+def test_rewrite_touches_only_files_with_rejected_rows(spark, monkeypatch):
+    path = shared_path(spark, "rewrite")
+    spark.range(0, 100, 1, 5).withColumn("part", F.col("id") % 2).write.partitionBy("part").parquet(path)
+    files = lambda: {f"{folder}/{n}" for folder, names in store._parts(spark, path) for n in names}
+    old, reject = files(), F.col("id") < 10
+    switch = store._switch
+
+    def lost(*_):
+        raise ConnectionError("the driver is gone")
+
+    monkeypatch.setattr(store, "_switch", lost)
+    with pytest.raises(ConnectionError):
+        overwrite_and_verify(spark, path, ~reject, reject)
+    assert files() == old and read_table(spark, path).count() == 100  # the old table
+    monkeypatch.setattr(store, "_switch", switch)
+    done = overwrite_and_verify(spark, path, ~reject, reject)
+    assert (done["after"], done["rewritten"]) == (90, 2) and len(old & files()) == len(old) - 2
+    assert {(r["id"], r["part"]) for r in read_table(spark, path).collect()} == {(i, i % 2) for i in range(10, 100)}
+    # Rows that come later count, and rewrites follow one another.
+    spark.range(3).withColumn("part", F.lit(7).cast("long")).write.mode("append").partitionBy("part").parquet(path)
+    assert read_table(spark, path).count() == 93
+    again = overwrite_and_verify(spark, path, F.col("id") >= 12, F.col("id") < 12)
+    assert again["after"] == 88 and again["before"] == 93
+    assert overwrite_and_verify(spark, path, F.col("id") >= 12, F.col("id") < 12)["rewritten"] == 0
+    assert store.drop_replaced(spark, path) == 5 and read_table(spark, path).count() == 88
 
 
 def test_scan_job_fails_on_a_table_it_cannot_read(spark, tmp_path):

@@ -23,6 +23,24 @@ def test_catalogue_stream_resumes_one_row_per_key(spark, tmp_path):
     assert names == ["a", "b", "c"]
 
 
+def test_a_replayed_batch_adds_nothing(spark, tmp_path):
+    """The driver dies after a batch's output and before its commit: the batch
+    is run again, over the state that it started from."""
+    landing, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    land(spark, landing, [{"name": "a"}, {"name": "b"}])
+    stream_catalogue(spark, landing, out, ckpt)
+    land(spark, landing, [{"name": "c"}, {"name": "a"}, {"name": "c", "description": "later"}])
+    stream_catalogue(spark, landing, out, ckpt)
+    first = sorted(map(str, spark.read.parquet(out).drop("last_scanned_utc").collect()))
+    last = max(int(p.name) for p in (tmp_path / "ckpt" / "commits").iterdir() if p.name.isdigit())
+    for p in (tmp_path / "ckpt" / "commits").iterdir():
+        if p.name in (str(last), f".{last}.crc"):
+            p.unlink()
+    stream_catalogue(spark, landing, out, ckpt)
+    assert sorted(map(str, spark.read.parquet(out).drop("last_scanned_utc").collect())) == first
+    assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
 def test_enrich_stream_saves_each_batch(spark, tmp_path):
     src = spark.createDataFrame([("a", str(i), f"d{i}", "r", None) for i in range(12)],
                                 "account string, name string, description string, readme string, summary string")
