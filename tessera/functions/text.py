@@ -48,12 +48,18 @@ def slug(c) -> Column:
     return F.lower(F.replace(_c(c), F.lit(" "), F.lit("_")))
 
 
+def word_runs(c) -> Column:
+    """All words of F8, before any is dropped: lower, non-word -> blank, split
+    on blank runs (a text without words: one empty word)."""
+    spaced = F.regexp_replace(F.lower(F.coalesce(_c(c), F.lit(""))), NON_WORD, " ")
+    return F.split(F.trim(spaced), " +")
+
+
 def clean_tokens(c, stop_words: Iterable[str] | None = None) -> Column:
-    """F8 as an array of kept words: lower, non-word -> blank, split on
-    blank runs, drop stop words and words shorter than three characters."""
+    """F8 as an array of kept words: those of ``word_runs`` but stop words and
+    words shorter than three characters."""
     stops = list(ENGLISH_STOP_WORDS if stop_words is None else stop_words)
-    spaced = F.regexp_replace(F.lower(F.coalesce(_c(c), F.lit(""))), NON_WORD, " ")
-    words = F.split(F.trim(spaced), " +")
+    words = word_runs(c)
     return F.filter(words, lambda w: (F.length(w) >= MIN_WORD_CHARS) & ~w.isin(stops) if stops else F.length(w) >= MIN_WORD_CHARS)
 
 

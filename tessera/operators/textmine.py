@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import clean_tokens
+from tessera.functions.text import ENGLISH_STOP_WORDS, MIN_WORD_CHARS, word_runs
 from tessera.session import cut_lineage
 
 # Vectoriser and k-means settings of the topic report.
@@ -73,17 +73,26 @@ def _arrow_function(df: DataFrame, columns: Sequence[str], work: Callable[[list[
     return df.mapInArrow(run, out)
 
 
-def _counted(columns: list[pa.Array]) -> list[pa.Array]:
-    """The different terms of each document and how often they occur."""
-    tokens = columns[0]
-    coded = pc.dictionary_encode(tokens.flatten())
-    sizes = np.diff(tokens.offsets.to_numpy())
-    row = np.repeat(np.arange(len(tokens), dtype=np.int64), sizes)
-    width = max(1, len(coded.dictionary))
-    pair, tf = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
-    offsets = pa.array(np.searchsorted(pair, np.arange(len(tokens) + 1, dtype=np.int64) * width).astype(np.int32))
-    terms = coded.dictionary.take(pa.array(pair % width))
-    return [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32)))]
+def _counted(stop_words: Iterable[str] | None) -> Callable[[list[pa.Array]], list[pa.Array]]:
+    """The different kept terms (F8) of each document's words and how often they
+    occur. What is dropped is decided once for each different word of a batch."""
+    stops = list(ENGLISH_STOP_WORDS if stop_words is None else stop_words)
+
+    def work(columns: list[pa.Array]) -> list[pa.Array]:
+        words = columns[0]
+        coded = pc.dictionary_encode(words.flatten())
+        sizes = np.diff(words.offsets.to_numpy())
+        row = np.repeat(np.arange(len(words), dtype=np.int64), sizes)
+        dropped = pc.or_(pc.less(pc.utf8_length(coded.dictionary), MIN_WORD_CHARS), pc.is_in(coded.dictionary, value_set=pa.array(stops, pa.string())))
+        term = coded.indices.to_numpy()
+        kept = ~dropped.to_numpy(zero_copy_only=False)[term]
+        width = max(1, len(coded.dictionary))
+        pair, tf = np.unique(row[kept] * width + term[kept], return_counts=True)
+        offsets = pa.array(np.searchsorted(pair, np.arange(len(words) + 1, dtype=np.int64) * width).astype(np.int32))
+        terms = coded.dictionary.take(pa.array(pair % width))
+        return [pa.ListArray.from_arrays(offsets, terms), pa.ListArray.from_arrays(offsets, pa.array(tf.astype(np.int32)))]
+
+    return work
 
 
 def _weighted(vocab: list[str], idf: list[float]) -> Callable[[list[pa.Array]], list[pa.Array]]:
@@ -117,8 +126,11 @@ def tfidf(df: DataFrame, text_col: str, keys: Sequence[str], stop_words: Iterabl
     (P15); a document without a term of the vocabulary has no weights. Rows
     that share a key are documents of their own."""
     keys = list(keys)
-    toks = df.select(*keys, clean_tokens(text_col, stop_words).alias("__tokens")).filter(F.size("__tokens") > 0)
-    counted = cut_lineage(_arrow_function(toks, ["__tokens"], _counted, "__terms array<string>, __tf array<int>"))
+    # Filtered behind the function: a filter on the words would be pushed in front
+    # of the projection, which then makes them twice.
+    words = df.select(*keys, word_runs(text_col).alias("__words"))
+    terms = _arrow_function(words, ["__words"], _counted(stop_words), "__terms array<string>, __tf array<int>")
+    counted = cut_lineage(terms.filter(F.size("__terms") > 0))
     n_docs = counted.count()
     one = counted.select(F.explode(F.arrays_zip("__terms", "__tf")).alias("x"))
     stats = one.groupBy(F.col("x.__terms").alias("term")).agg(F.count("*").alias("df"), F.sum("x.__tf").alias("total"))
