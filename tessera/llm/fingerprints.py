@@ -10,6 +10,9 @@ SQL expressions on the row; the only shuffle brings neighbours together."""
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 PARAGRAPH = 256
 #: Digests that a table is made for, its cells (three thirds), how often they are doubled.
 PER_TABLE, CELLS, DOUBLINGS = 8, 48, 4
+#: Steps in which digests are dealt to tables (at most 5 bits each).
+STEPS = 4
 #: Rounds of peeling: each takes all cells that hold one digest.
 ROUNDS = 24
 
@@ -42,14 +47,18 @@ def _bits(value: Column, at: int, count: Column) -> Column:
 
 
 def by_table(digests: Column, k: Column) -> Column:
-    """The digests of each of 2^k tables, in two steps of about 2^(k/2) each."""
-    first = F.floor(k / 2).cast("int")
-    n_first, n_second = F.pow(F.lit(2.0), first).cast("long"), F.pow(F.lit(2.0), k - first).cast("long")
+    """The digests of each of 2^k tables. They are split in ``STEPS`` steps by
+    about k / STEPS bits each, as a digest is looked at once for every part
+    that its step makes."""
+    groups = F.array(digests)
+    for i in range(STEPS):
+        parts = F.pow(F.lit(2.0), F.floor((k + i) / STEPS)).cast("long")
 
-    def inner(group: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0).cast("long"), n_second - 1), lambda b: F.filter(group, lambda d: _bits(d, 52, n_second) == b))
+        def split(group: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda v: F.filter(group, lambda d: _bits(d, 42 + 5 * i, parts) == v))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), n_first - 1), lambda a: _let(F.filter(digests, lambda d: _bits(d, 42, n_first) == a), inner)))
+        groups = F.flatten(F.transform(groups, split))
+    return F.when(k == 0, F.array(digests)).otherwise(groups)
 
 
 def _check(digest: Column) -> Column:
@@ -79,30 +88,33 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(cells: Column, size: int) -> Column:
-    """How many digests a difference of tables holds, or null where peeling
-    gets stuck."""
+    """The digests that a difference of tables holds, as (n, key) with n = 1
+    for the first table's and -1 for the second's, or null where peeling gets
+    stuck."""
     third = size // 3
     pure = lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"]))
 
-    def step(state: Column, _: Column) -> Column:
-        def taken(found: Column) -> Column:
-            def less(cell: Column, i: Column) -> Column:
-                part, place = F.floor(i / third).cast("int"), (i % third).cast("long")
-                in_cell = lambda d: F.when(part == 0, _bits(d["key"], 0, F.lit(third))).when(part == 1, _bits(d["key"], 14, F.lit(third))).otherwise(_bits(d["key"], 28, F.lit(third))) == place
-                return F.aggregate(
-                    F.filter(found, in_cell), cell,
-                    lambda c, d: F.struct((c["n"] - d["n"]).alias("n"), c["key"].bitwiseXOR(d["key"]).alias("key"), c["check"].bitwiseXOR(_check(d["key"])).alias("check")),
-                )
+    def state(cells: Column, taken: Column) -> Column:
+        found = F.array_distinct(F.transform(F.filter(cells, pure), lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
+        return F.struct(cells.alias("cells"), found.alias("found"), taken.alias("taken"))
 
-            rest = F.struct(F.transform(state["cells"], less).alias("cells"), (state["count"] + F.size(found)).alias("count"))
-            return F.when(F.size(found) > 0, rest).otherwise(state)
+    def step(now: Column, _: Column) -> Column:
+        def less(cell: Column, i: Column) -> Column:
+            part, place = F.floor(i / third).cast("int"), (i % third).cast("long")
+            in_cell = lambda d: F.when(part == 0, _bits(d["key"], 0, F.lit(third))).when(part == 1, _bits(d["key"], 14, F.lit(third))).otherwise(_bits(d["key"], 28, F.lit(third))) == place
+            return F.aggregate(
+                F.filter(now["found"], in_cell), cell,
+                lambda c, d: F.struct((c["n"] - d["n"]).alias("n"), c["key"].bitwiseXOR(d["key"]).alias("key"), c["check"].bitwiseXOR(_check(d["key"])).alias("check")),
+            )
 
-        found = F.array_distinct(F.transform(F.filter(state["cells"], pure), lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-        return _let(found, taken)
+        # Rounds behind the last pure cell cost nothing.
+        rest = _let(F.transform(now["cells"], less), lambda c: state(c, F.concat(now["taken"], now["found"])))
+        return F.when(F.size(now["found"]) > 0, rest).otherwise(now)
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("count"))
+    none = F.array().cast("array<struct<n:int,key:bigint>>")
     empty = lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.when(F.forall(s["cells"], empty), s["count"]))
+    rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+    return _let(cells, lambda c: F.aggregate(rounds, state(c, none), step, lambda s: F.when(F.forall(s["cells"], empty), s["taken"])))
 
 
 def sketch(digests: Column, k: Column) -> Column:
@@ -110,87 +122,133 @@ def sketch(digests: Column, k: Column) -> Column:
 
 
 def differing(a_digests: Column, b_digests: Column, a_sketch: Column, b_sketch: Column, k: Column) -> Column:
-    """How many digests are in one of two documents only: their sketches (both
-    of 2^k tables) subtracted and peeled, with larger tables where that fails.
-    A difference that no size of table peels is counted from the digests."""
+    """The digests that are in one of two documents only, as (n, key) with n = 1
+    for the first's and -1 for the second's: their sketches (both of 2^k tables)
+    subtracted and peeled, with larger tables where that fails. A difference
+    that no size of table peels is taken from the digests."""
     sides = F.zip_with(by_table(a_digests, k), by_table(b_digests, k), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
     def again(side: Column) -> Column:
         sizes = [CELLS << i for i in range(1, DOUBLINGS + 1)]
         tries = [peel(subtract(sketch_table(side["a"], s), sketch_table(side["b"], s)), s) for s in sizes]
-        both = F.size(F.array_except(side["a"], side["b"])) + F.size(F.array_except(side["b"], side["a"]))
-        return F.coalesce(*tries, both)
+        signed = lambda keys, n: F.transform(keys, lambda d: F.struct(F.lit(n).alias("n"), d.alias("key")))
+        return F.coalesce(*tries, F.concat(signed(F.array_except(side["a"], side["b"]), 1), signed(F.array_except(side["b"], side["a"]), -1)))
 
     first = F.zip_with(a_sketch, b_sketch, lambda x, y: peel(subtract(x, y), CELLS))
-    total = lambda counts: F.aggregate(counts, F.lit(0), lambda n, c: n + c)
-    mended = lambda counts: total(F.zip_with(counts, sides, lambda c, side: F.coalesce(c, again(side))))
-    return _let(first, lambda counts: F.when(F.exists(counts, lambda c: c.isNull()), mended(counts)).otherwise(total(counts)))
+    mended = lambda found: F.zip_with(found, sides, lambda c, side: F.coalesce(c, again(side)))
+    return F.flatten(_let(first, lambda found: F.when(F.exists(found, lambda c: c.isNull()), mended(found)).otherwise(found)))
+
+
+def with_difference(rows: DataFrame, name: str, a: tuple[str, str, str], b: tuple[str, str, str]) -> DataFrame:
+    """``rows`` with what differs between two documents in column ``name``; ``a``
+    and ``b`` name the columns of digests, sketch and k. The smaller sketch is
+    made again at the size of the larger."""
+    rows = rows.withColumn("at", F.greatest(a[2], b[2]))
+    for side, (digests, own, k) in {"a_at": a, "b_at": b}.items():
+        # A projection of its own: the analyzer resolves one nested function a pass.
+        rows = rows.withColumn(side, F.when(F.col(k) == F.col("at"), F.col(own)).otherwise(sketch(F.col(digests), F.col("at"))))
+    differs = differing(F.col(a[0]), F.col(b[0]), F.col("a_at"), F.col("b_at"), F.col("at"))
+    return rows.withColumn(name, differs).drop("at", "a_at", "b_at")
 
 
-def likeness(a_digests: Column, b_digests: Column, a_sketch: Column, b_sketch: Column, a_k: Column, b_k: Column) -> Column:
-    """2 x shared digests / all digests of both, 0 to 1 (both empty: 1). The
-    smaller sketch is made again at the size of the larger."""
-    k, both = F.greatest(a_k, b_k), F.size(a_digests) + F.size(b_digests)
-    at = lambda own, own_sketch, digests: F.when(own == k, own_sketch).otherwise(sketch(digests, k))
-    apart = differing(a_digests, b_digests, at(a_k, a_sketch, a_digests), at(b_k, b_sketch, b_digests), k)
-    return F.when(both == 0, F.lit(1.0)).otherwise((both - apart) / both)
+def likeness(a_digests: Column, b_digests: Column, differ: Column) -> Column:
+    """2 x shared digests / all digests of both, 0 to 1 (both empty: 1)."""
+    both = F.size(a_digests) + F.size(b_digests)
+    return F.when(both == 0, F.lit(1.0)).otherwise((both - F.size(differ)) / both)
 
 
 def _digest(sketched: Column) -> Column:
     return F.sha2(F.to_json(sketched), 256)
 
 
-def _range_of(key: Column, bounds: list, lo: int = 0) -> Column:
-    """How many of the sorted ``bounds`` are below ``key``, as a balanced tree
-    of comparisons."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(key > F.lit(bounds[mid]), _range_of(key, bounds[mid + 1 :], lo + mid + 1)).otherwise(_range_of(key, bounds[:mid], lo))
+def _constant(values: list[int]) -> Column:
+    """An array of numbers as one folded constant, however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _not_below(cuts: list[int], key: Column) -> Column:
+    """How many of the falling ``cuts`` are at least ``key``: found among every
+    n-th of them, then among the n behind it."""
+    step = max(1, math.isqrt(len(cuts)))
+    among = lambda some: F.size(F.filter(some, lambda c: c >= key))
+    begin = among(_constant(cuts[step - 1 :: step])) * step
+    return begin + among(F.slice(_constant(cuts), begin + 1, F.lit(step)))
+
+
+def range_of(docs: DataFrame, ranges: int) -> Column:
+    """The range of a row (columns doc_id and hash), numbered in the order of
+    falling doc_id, nulls last, then hash. Ranges end at quantiles of doc_id. An
+    id that holds several quantiles, and the null ids, are cut by their hash
+    into as many ranges."""
+    quantiles = [i / ranges for i in range(1, ranges)] or [0.5]
+    found = docs.agg(F.percentile_approx("doc_id", quantiles, 10 * ranges).alias("q"), F.count("*").alias("n"), (F.count("*") - F.count("doc_id")).alias("nulls")).first()
+    held = Counter(found.q or [])
+    cuts = sorted(held, reverse=True)
+    width = ranges + 2
+    part = lambda n: F.least(F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * n).cast("long"), n - F.lit(1).cast("long"))
+    null_parts = max(1, math.ceil(ranges * found.nulls / max(1, found.n)))
+    last = (len(cuts) + 1) * width + part(F.lit(null_parts).cast("long"))
+    if not cuts:
+        return last
+
+    def cut(r: Column) -> Column:
+        # Range r begins with its cut, the (r - 1)-th, which may be a held id.
+        n = F.get(_constant([held[c] for c in cuts]), r - 1)
+        first = F.col("doc_id") == F.get(_constant(cuts), r - 1)
+        return r * width + F.when(n > 1, F.when(first, part(n)).otherwise(n)).otherwise(0)
+
+    return F.when(F.col("doc_id").isNull(), last).otherwise(_let(_not_below(cuts, F.col("doc_id")).cast("long"), cut))
 
 
 def with_next(docs: DataFrame, ranges: int) -> DataFrame:
-    """Rows in the ranges of doc_id they fall into, in column ``range``, with
-    the ghost of the row that follows the last of each range. One shuffle."""
-    quantiles = [i / ranges for i in range(1, ranges)]
-    bounds = (docs.agg(F.percentile_approx("doc_id", quantiles, 10 * ranges).alias("q")).first().q or []) if quantiles else []
-    place = F.when(F.col("doc_id").isNull(), -1).otherwise(_range_of(F.col("doc_id"), sorted(set(bounds))))
-    heads = sorted(docs.groupBy(place.alias("range")).agg(F.max("doc_id").alias("head")).collect(), key=lambda r: r.range)  # one row a range
-    # The row that follows a range's last one heads the range below it.
-    goes = [(r.range, r.head, heads[(i + 1) % len(heads)].range) for i, r in enumerate(heads)]
-    heads_df = F.broadcast(docs.sparkSession.createDataFrame(goes, "range int, head long, ghost_of int"))
+    """Rows in their ranges (``range_of``), in column ``range``, with the ghost
+    of the row that follows the last of each range. One shuffle."""
+    docs = docs.withColumn("hash", F.xxhash64("text"))
+    docs = docs.withColumn("range", range_of(docs, ranges))
+    first = F.max(F.struct("doc_id", F.bitwise_not("hash").alias("hash"))).alias("head")  # greatest id, least hash
+    heads = sorted(docs.groupBy("range").agg(first).collect(), key=lambda r: r.range)  # one row a range
+    # The row that follows a range's last one heads the range behind it.
+    goes = [(r.range, r.head.doc_id, ~r.head.hash, heads[i - 1].range) for i, r in enumerate(heads)]
+    heads_df = F.broadcast(docs.sparkSession.createDataFrame(goes, "range long, head long, head_hash long, ghost_of long"))
     own = F.struct(F.col("range"), F.lit(False).alias("ghost"))
     ghost = F.struct(F.col("ghost_of").alias("range"), F.lit(True).alias("ghost"))
-    rows = docs.withColumn("range", place).join(heads_df, "range")
-    rows = rows.withColumn("place", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array(own, ghost)).otherwise(F.array(own))))
-    return rows.select("doc_id", "text", "place.range", "place.ghost").repartition("range")
+    heads_it = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash"))
+    rows = docs.join(heads_df, "range").withColumn("place", F.explode(F.when(heads_it, F.array(own, ghost)).otherwise(F.array(own))))
+    return rows.select("doc_id", "text", "hash", "place.range", "place.ghost").repartition("range")
 
 
 def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited and near_next of every row.
+    near_edited, near_next, removed_digests and added_digests of every row.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the
     first as many, or all, of the next document in descending doc_id; after the
     last comes the first. A null text counts as empty, null ids come last, rows
     of equal doc_id follow each other by a hash of the text; a single document
     follows itself. A fingerprint is the SHA-256 of the sketch, a likeness
-    compares the sketches. Further columns are ignored; an empty table gives an
+    compares the sketches, whose peeled differences are the digests of the
+    paragraphs that the edit removed and added. Rows of equal doc_id and equal
+    text are the same row, several times. A text is worked on whole, however
+    long, in memory. Further columns are ignored; an empty table gives an
     empty one. ``ranges``: stretches of doc_id that tasks work on."""
     ranges = ranges or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = with_next(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), ranges)
     rows = rows.withColumn("digests", paragraph_digests(F.col("text"))).withColumn("k", tables_log2(F.col("digests")))
     rows = rows.withColumn("sketch", sketch(F.col("digests"), F.col("k")))
-    follows = Window.partitionBy("range").orderBy("ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    follows = Window.partitionBy("range").orderBy("ghost", F.desc_nulls_last("doc_id"), "hash")
     rows = rows.withColumn("next", F.lead(F.struct("text", "digests", "k", "sketch")).over(follows)).filter(~F.col("ghost"))
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half)))
     rows = rows.withColumn("e_digests", paragraph_digests(F.col("edited"))).withColumn("e_k", tables_log2(F.col("e_digests")))
     rows = rows.withColumn("e_sketch", sketch(F.col("e_digests"), F.col("e_k")))
     own = ("digests", "sketch", "k")
-    near = lambda d, s, k: likeness(*(F.col(c) for c in (own[0], d, own[1], s, own[2], k)))
+    rows = with_difference(rows, "e_apart", own, ("e_digests", "e_sketch", "e_k"))
+    rows = with_difference(rows, "next_apart", own, ("next.digests", "next.sketch", "next.k"))
+    only = lambda n: F.transform(F.filter("e_apart", lambda d: d["n"] == n), lambda d: d["key"])
     return rows.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         _digest(F.col("sketch")).alias("fingerprint"), _digest(F.col("e_sketch")).alias("edited_fingerprint"),
-        near("e_digests", "e_sketch", "e_k").alias("near_edited"), near("next.digests", "next.sketch", "next.k").alias("near_next"),
+        likeness(F.col("digests"), F.col("e_digests"), F.col("e_apart")).alias("near_edited"),
+        likeness(F.col("digests"), F.col("next.digests"), F.col("next_apart")).alias("near_next"),
+        only(1).alias("removed_digests"), only(-1).alias("added_digests"),
     )

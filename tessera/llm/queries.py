@@ -66,7 +66,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(documents(spark, sf_dir))
+    return fingerprint_documents(documents(spark, sf_dir)).drop("removed_digests", "added_digests")
 
 
 @register
