@@ -73,7 +73,8 @@ def held_out(doc_id: Column) -> Column:
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and statistics of every row, one row each: a null text counts as
-    empty, repeated rows and null ids stay, other columns are ignored."""
+    empty, repeated rows and null ids stay, texts of any length are read whole,
+    other columns are ignored."""
 
     def make():
         def work(batch):

@@ -384,7 +384,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", thr
 
     A null text counts as empty and is scored as one window without words; a
     null doc_id is not held out and has no label; repeated rows are scored
-    alike; further columns are ignored. Without labels of both kinds, all
+    alike. A text of any length is scored whole, window by window, and its score
+    is the highest; a word of over 64 characters is read in overlapping pieces.
+    Texts of over 50,000 code points are only left out of learning. Further
+    columns are ignored. Without labels of both kinds, all
     scores are the same. An empty table gives an empty one."""
     shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, label)))
 
