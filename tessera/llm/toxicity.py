@@ -27,9 +27,9 @@ WINDOW, STEP = 48, 32
 #: Hash buckets, numbers of a word's vector and of its n-grams' mean, states of a direction, attention units.
 BUCKETS, DIM, STATES, ATTENTION = 1 << 17, 8, 8, 8
 GRAMS = (3, 4)
-#: The sample: rows of each label at most, and the longest text (in code
-#: points) that is learnt from. All texts are scored whole.
-SAMPLE, SAMPLE_CHARS = 2000, 50_000
+#: The sample: rows of each label at most, the longest text that is learnt from
+#: and all texts of a label together (in code points). All texts are scored whole.
+SAMPLE, SAMPLE_CHARS, SAMPLE_TOTAL = 2000, 50_000, 10_000_000
 #: Rounds of choosing windows; windows that a round learns from (a small sample
 #: is gone through again, at most EPOCHS times); batch and step.
 ROUNDS, LEARNT, EPOCHS, BATCH, RATE = 2, 14_000, 8, 128, 0.02
@@ -361,20 +361,23 @@ class Scorer:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[list[str], np.ndarray, tuple[float, float]]:
     """Up to SAMPLE labelled texts of either label that are not held out and
-    have up to SAMPLE_CHARS code points, chosen by a hash of doc_id; and how
-    many such texts one of either label stands for."""
+    have up to SAMPLE_CHARS code points, in the order of a hash of doc_id for as
+    long as they have SAMPLE_TOTAL together; and how many such texts one of
+    either label stands for. Of rows of one doc_id, one text is learnt from."""
     marked = labels.select(F.col("doc_id").alias("l_id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).filter(~held_out(F.col("doc_id")))
-    ids = rows.select("doc_id").join(marked, F.col("doc_id") == F.col("l_id")).select("doc_id", "y").distinct()
-    ids = cut_lineage(ids)  # counted and drawn from
+    sizes = rows.select("doc_id", F.length("text").alias("size")).join(marked, F.col("doc_id") == F.col("l_id"))
+    ids = cut_lineage(sizes.groupBy("doc_id", "y").agg(F.max("size").alias("size")))  # counted and drawn from
     count = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}
-    chosen = None
+    chosen = []
     for value in (0, 1):
-        part = ids.filter(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        chosen = part if chosen is None else chosen.unionByName(part)
+        part = ids.filter(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
+        total = np.cumsum([r["size"] for r in part])
+        chosen += part[: int(np.searchsorted(total, SAMPLE_TOTAL, side="right"))]
     # 2 x SAMPLE ids at most, so they are broadcast and the texts don't move.
-    got = rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "c_id")), F.col("doc_id") == F.col("c_id")).select("doc_id", "y", "text")
-    got = got.orderBy("doc_id", "y", "text").limit(2 * SAMPLE).collect()
+    drawn = docs.sparkSession.createDataFrame(chosen, ids.schema).select(F.col("doc_id").alias("c_id"), "y")
+    got = rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("c_id"))
+    got = got.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).orderBy("doc_id", "y").collect()
     y = np.array([r.y for r in got], dtype=np.float32)
     return [r.text for r in got], y, tuple(count.get(k, 0) / max(1, int((y == k).sum())) for k in (0, 1))
 

@@ -162,6 +162,19 @@ def test_scores_follow_the_true_ratio_in_any_sample(spark, monkeypatch):
     assert all(0.07 < s < 0.13 for s in scores), scores
 
 
+def test_sample_is_bounded_in_rows_and_code_points(spark, monkeypatch):
+    """A prefix of each label in hash order; repeated ids give one text each."""
+    docs = spark.createDataFrame([(k, "word " * 20 + str(r)) for k in range(200) for r in range(1 + 9 * (k % 4 == 0))], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, toxic int")
+    texts, y, stands = toxicity.sample(docs, labels, "toxic")
+    learnable = sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(200))
+    assert len(texts) == len(y) == learnable and stands == (1, 1)
+    monkeypatch.setattr(toxicity, "SAMPLE_TOTAL", 1000)
+    texts, y, stands = toxicity.sample(docs, labels, "toxic")
+    assert [int((y == v).sum()) for v in (0, 1)] == [9, 9] and all(9 * len(t) <= 1000 for t in texts)
+    assert sum(s * 9 for s in stands) == pytest.approx(learnable)
+
+
 def test_toxicity_edges(spark, edge, none, rows):
     labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     got = toxicity.score_toxicity(edge, labels).collect()
