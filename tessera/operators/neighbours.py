@@ -5,9 +5,10 @@ at most about ``TILE`` points, a row with its ids, its vectors packed as bytes,
 its centre and its radius. A search takes, for every block, how far its points
 have to look (their bounds) and finds by the triangle inequality the blocks that
 can hold an answer: first the cells of the first level, whose pivots are few
-enough to be sent everywhere, then the blocks inside those cells. Only pairs of
-blocks are shuffled; the vectors meet once for each such pair, and a task works on
-one pair at a time with numpy.
+enough to be sent everywhere, then the blocks inside those cells. The pairs of
+blocks are a grid of tasks: a block is sent once to each task of its row or column
+that has a pair of it, not once for each pair. A task holds the blocks of its row,
+lets those of its column stream by, and works on one pair at a time with numpy.
 
 A k-nearest search has two phases. Inside a point's own block the distance to
 the k-th nearest member is a true upper bound; with that bound the second phase
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 #: Pivots of a level, which the driver holds; points of a block; headers or
-#: probes of one task's tile; rows of a batch that a tile's answers fill.
+#: probes of one task's tile; rows of a batch that a tile's answers fill; bytes of
+#: vectors that a task holds.
 MAX_PIVOTS = 4096
 LEAF, TILE = 128, 512
 PROBES = 2048
 OUT_ROWS = 1 << 18
+HELD_BYTES = 1 << 25
 DIGITS = 12  # of a distance
 
 
@@ -170,66 +173,133 @@ def own_bounds(blocks: Blocks, k: int) -> Blocks:
     return Blocks(cut_lineage(blocks.table.mapInArrow(run, blocks.table.schema)), blocks.pivot_ids, blocks.pivots, blocks.reach, blocks.n)
 
 
+def _chunks(have: dict[int, int]) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[int, int]]]:
+    """Cells put together to chunks of about ``PROBES`` headers: (cell, chunk) in
+    the order of chunks, and for each cell its first chunk and how many it has."""
+    cells, chunks, of, at, filled = [], [], {}, 0, 0
+    for c, n in sorted(have.items()):
+        if filled and filled + n > PROBES:
+            at, filled = at + 1, 0
+        parts = math.ceil(n / PROBES)
+        of[c] = (at, parts)
+        cells += [c] * parts
+        chunks += range(at, at + parts)
+        at, filled = (at + parts, 0) if parts > 1 else (at, filled + n)
+    return np.array(cells, dtype=np.int64), np.array(chunks, dtype=np.int64), of
+
+
 def meeting(blocks: Blocks, probes: DataFrame) -> DataFrame:
     """(a, b), written: the blocks b that can hold a point within ``look`` of
     block a's points. ``probes``: block, centre, look (radius and bound)."""
     pivots, reach, slack = blocks.pivots, blocks.reach, blocks.slack
+    headers = blocks.table.select("cell", F.col("block").alias("b"), F.col("centre").alias("b_centre"), "radius")
+    # At most one row for each pivot.
+    cells, chunks, of = _chunks({r["cell"]: r["count"] for r in headers.groupBy("cell").count().collect()})
+    opens = np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1]))
 
-    def to_cells(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells_near(b: pd.DataFrame) -> np.ndarray:
+        return distances(np.stack(b["centre"].to_numpy()), pivots) - reach[None, :] <= b["look"].to_numpy()[:, None] + slack
+
+    def to_chunks(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in it:
             if len(b):
-                near = distances(np.stack(b["centre"].to_numpy()), pivots) - reach[None, :] <= b["look"].to_numpy()[:, None] + slack
-                a, cell = np.nonzero(near)
-                yield pd.DataFrame({"a": b["block"].to_numpy()[a], "centre": b["centre"].to_numpy()[a], "look": b["look"].to_numpy()[a], "cell": cell.astype("int32")})
-
-    probing = cut_lineage(probes.select("block", "centre", "look").mapInPandas(to_cells, "a long, centre array<double>, look double, cell int"))
-    headers = blocks.table.select("cell", F.col("block").alias("b"), F.col("centre").alias("b_centre"), "radius")
-    # At most one row for each pivot.
-    many = {r["cell"]: r["count"] for r in probing.groupBy("cell").count().collect()}
-    have = {r["cell"]: r["count"] for r in headers.groupBy("cell").count().collect()}
-    plan = probes.sparkSession.createDataFrame([(c, math.ceil(n / PROBES), math.ceil(many.get(c, 0) / PROBES)) for c, n in have.items() if many.get(c)], "cell int, s int, t int")
-    plan = F.broadcast(plan)
-    left = probing.join(plan, "cell").select(F.col("cell").alias("in"), "a", "centre", "look", F.pmod(F.xxhash64("a"), F.col("t")).cast("int").alias("a_part"), F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("b_part"))
-    right = headers.join(plan, "cell").select("cell", "b", "b_centre", "radius", F.pmod(F.xxhash64("b"), F.col("s")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("other_part"))
+                a, chunk = np.nonzero(np.logical_or.reduceat(cells_near(b)[:, cells], opens, axis=1))
+                yield pd.DataFrame({"a": b["block"].to_numpy()[a], "centre": b["centre"].to_numpy()[a], "look": b["look"].to_numpy()[a], "chunk": chunks[opens][chunk].astype("int32")})
+
+    probing = cut_lineage(probes.select("block", "centre", "look").mapInPandas(to_chunks, "a long, centre array<double>, look double, chunk int"))
+    # A row for each chunk, fewer than pivots and headers / PROBES.
+    asked = {r["chunk"]: math.ceil(r["count"] / PROBES) for r in probing.groupBy("chunk").count().collect()}
+    spark = probes.sparkSession
+    sizes = F.broadcast(spark.createDataFrame(list(asked.items()), "chunk int, t int"))
+    places = F.broadcast(spark.createDataFrame([(c, first, parts) for c, (first, parts) in of.items()], "cell int, first int, parts int"))
+    left = probing.join(sizes, "chunk").select("chunk", "a", "centre", "look", F.pmod(F.xxhash64("a"), F.col("t")).cast("int").alias("part"))
+    right = headers.join(places, "cell").withColumn("of", (F.col("first") + F.pmod(F.xxhash64("b"), F.col("parts"))).cast("int"))
+    right = right.join(sizes.withColumnRenamed("chunk", "of"), "of").select("of", "cell", "b", "b_centre", "radius", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("of_part"))
 
     def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []})
         d = distances(np.stack(x["centre"].to_numpy()), np.stack(y["b_centre"].to_numpy()))
-        i, j = np.nonzero(d - y["radius"].to_numpy()[None, :] <= x["look"].to_numpy()[:, None] + slack)
+        near = d - y["radius"].to_numpy()[None, :] <= x["look"].to_numpy()[:, None] + slack
+        i, j = np.nonzero(near & cells_near(x)[:, y["cell"].to_numpy()])
         return pd.DataFrame({"a": x["a"].to_numpy()[i], "b": y["b"].to_numpy()[j]})
 
-    return cut_lineage(left.groupBy("in", "a_part", "b_part").cogroup(right.groupBy("cell", "other_part", "part")).applyInPandas(match, "a long, b long"))
+    return cut_lineage(left.groupBy("chunk", "part").cogroup(right.groupBy("of", "of_part")).applyInPandas(match, "a long, b long"))
 
 
 Tile = Callable[[dict, dict], "tuple | None"]
 
 
-def over_tiles(pairs: DataFrame, left: DataFrame, right: DataFrame, work: Tile, schema: str, names: list[str], types: list) -> DataFrame:
+def grid(blocks: Blocks, tasks: int) -> tuple[int, int]:
+    """Rows and columns of the tasks that pairs of blocks are dealt to: a row's
+    blocks are at most about ``HELD_BYTES``."""
+    size, most = blocks.n * blocks.pivots.shape[1] * 8, math.ceil(blocks.n / LEAF)
+    rows = max(math.ceil(size / HELD_BYTES), math.ceil(math.sqrt(min(tasks, most))))
+    return rows, math.ceil(min(tasks, most) / rows)
+
+
+def dealt(blocks: Blocks, pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """The rows of both sides, each once for a task that has a pair of it, as a
+    partition for each task: first the left ones, then the right ones ``with``
+    the left ones that they meet."""
+    rows, columns = grid(blocks, 2 * pairs.sparkSession.sparkContext.defaultParallelism)
+    row, column = F.pmod(F.xxhash64("a"), F.lit(rows)), F.pmod(F.xxhash64("b", F.lit("column")), F.lit(columns))
+    at = pairs.withColumn("task", (row * columns + column).cast("int"))
+    held = at.select("task", F.col("a").alias("block")).distinct().join(left, "block")
+    streamed = at.groupBy("task", F.col("b").alias("block")).agg(F.collect_list("a").alias("with")).join(right, "block")
+    held = held.select("task", F.lit(0).alias("side"), *[F.col(c).alias(f"a_{c}") for c in left.columns])
+    streamed = streamed.select("task", F.lit(1).alias("side"), "with", *[F.col(c).alias(f"b_{c}") for c in right.columns])
+    both = held.unionByName(streamed, allowMissingColumns=True)
+    return both.repartitionById(rows * columns, F.col("task")).sortWithinPartitions("task", "side")
+
+
+def over_tiles(blocks: Blocks, pairs: DataFrame, left: DataFrame, right: DataFrame, work: Tile, schema: str, names: list[str], types: list, fold=None) -> DataFrame:
     """``work`` on every pair of blocks: it takes the two rows and gives columns
-    of answers, or None. ``left`` and ``right`` hold a row for each block."""
-    a = left.select(F.col("block").alias("a"), *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "block"])
-    b = right.select(F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in right.columns if c != "block"])
+    of answers, or None. ``left`` and ``right`` hold a row for each block.
+    ``fold`` makes a task's answers fewer before they leave it."""
+
+    def side_of(batch: pa.RecordBatch, at: int, prefix: str) -> dict:
+        return {name[2:]: batch.column(k)[at] for k, name in enumerate(batch.schema.names) if name.startswith(prefix)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        answers, size, task, kept = [], 0, None, {}
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(answers[0], types, strict=True)], names=names)
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                got: tuple[dict, dict] = ({}, {})
-                for name, column in zip(batch.schema.names, batch.columns, strict=True):
-                    side = got[name[0] == "b"]
-                    side[name[2:] or "block"] = column[row]
-                answer = work(*got)
-                if answer is not None and len(answer[0]):
-                    held.append(answer)
-                    size += len(answer[0])
-                if size >= OUT_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
-                    held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
-
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, schema)
+            tasks, sides = batch.column("task").to_numpy(), batch.column("side").to_numpy()
+            ours = np.flatnonzero(sides == 0)
+            own = batch.take(pa.array(ours))  # a copy, that lets go of the batch
+            place = dict(zip(ours.tolist(), range(len(ours)), strict=True))
+            for at in range(batch.num_rows):
+                if tasks[at] != task:
+                    task, kept = tasks[at], {}
+                if sides[at] == 0:
+                    a = side_of(own, place[at], "a_")
+                    kept[a["block"].as_py()] = a
+                    continue
+                b = side_of(batch, at, "b_")
+                for k in batch.column("with")[at].as_py():
+                    answer = work(kept[k], b)
+                    if answer is not None and len(answer[0]):
+                        answers.append(answer)
+                        size += len(answer[0])
+                    if size >= OUT_ROWS:
+                        answers = [tuple(np.concatenate(c) for c in zip(*answers, strict=True))]
+                        if fold is not None:
+                            answers = [fold(*answers[0])]
+                        size = len(answers[0][0])
+                        if size >= OUT_ROWS // 2:
+                            yield out()
+                            answers, size = [], 0
+        if answers:
+            answers = [tuple(np.concatenate(c) for c in zip(*answers, strict=True))]
+            if fold is not None:
+                answers = [fold(*answers[0])]
+            yield out()
+
+    return dealt(blocks, pairs, left, right).mapInArrow(run, schema)
 
 
 def _looking(a: dict, b: dict, slack: float) -> tuple[np.ndarray, ...]:
@@ -270,7 +340,7 @@ def within(blocks: Blocks, metric: str, k: int | None) -> DataFrame:
 
     left = blocks.table.select(*SIDE, "bounds")
     right = blocks.table.select(*SIDE, "centre", "radius")
-    return over_tiles(pairs, left, right, work, "src long, dst long, distance double", ["src", "dst", "distance"], [pa.int64(), pa.int64(), pa.float64()])
+    return over_tiles(blocks, pairs, left, right, work, "src long, dst long, distance double", ["src", "dst", "distance"], [pa.int64(), pa.int64(), pa.float64()])
 
 
 def star_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,8 +363,8 @@ def star_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def connecting(blocks: Blocks, metric: str) -> DataFrame:
     """(src, dst) that connect what pairs within the bounds (one for all points)
-    connect: a forest of each block's points, and for two blocks a forest of
-    their components."""
+    connect: a forest of each block's points, for two blocks a forest of their
+    components, and of a task's answers a forest again."""
     slack = blocks.slack
     pairs = meeting(blocks, blocks.table.select("block", "centre", (F.col("radius") + F.array_max("bounds")).alias("look"))).filter("a <= b")
 
@@ -324,7 +394,7 @@ def connecting(blocks: Blocks, metric: str) -> DataFrame:
         return star_forest(*np.unique(np.stack([ours, theirs]), axis=1))
 
     left, right = blocks.table.select(*SIDE, "bounds"), blocks.table.select(*SIDE, "centre", "radius")
-    return over_tiles(pairs, left, right, work, "src long, dst long", ["src", "dst"], [pa.int64(), pa.int64()])
+    return over_tiles(blocks, pairs, left, right, work, "src long, dst long", ["src", "dst"], [pa.int64(), pa.int64()], star_forest)
 
 
 def search_cost(blocks: Blocks) -> DataFrame:
@@ -338,7 +408,7 @@ def search_cost(blocks: Blocks) -> DataFrame:
         return ids, np.full(len(ids), len(other))
 
     right = blocks.table.select(*SIDE, "centre", "radius")
-    met = over_tiles(pairs, blocks.table.select(*SIDE, "bounds"), right, work, "id long, points long", ["id", "points"], [pa.int64(), pa.int64()])
+    met = over_tiles(blocks, pairs, blocks.table.select(*SIDE, "bounds"), right, work, "id long, points long", ["id", "points"], [pa.int64(), pa.int64()])
     return met.groupBy("id").agg(F.count("*").alias("blocks"), F.sum("points").alias("points"))
 
 
@@ -373,5 +443,5 @@ def nearest_outside(blocks: Blocks, queries: DataFrame, labels: DataFrame, metri
         first = np.append(True, mine[1:] != mine[:-1])[: len(mine)]
         return mine[first], least[first], other[first]
 
-    met = over_tiles(pairs, sides.select(*SIDE, "labels", "bounds"), sides.select(*SIDE, "centre", "radius", "labels"), work, "label long, distance double, other long", ["label", "distance", "other"], [pa.int64(), pa.float64(), pa.int64()])
+    met = over_tiles(blocks, pairs, sides.select(*SIDE, "labels", "bounds"), sides.select(*SIDE, "centre", "radius", "labels"), work, "label long, distance double, other long", ["label", "distance", "other"], [pa.int64(), pa.float64(), pa.int64()])
     return met.groupBy("label").agg(F.min(F.struct("distance", "other")).alias("best")).select("label", "best.*")

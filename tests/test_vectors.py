@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from tessera.operators import neighbours as N
 from tessera.operators import vectors as V
 
 
@@ -103,3 +104,26 @@ def test_knn_with_fewer_points_than_k(spark):
     pts = np.random.default_rng(9).standard_normal((6, 4))
     got = V.knn_join(frame(spark, pts), 15, metric="euclidean").collect()
     assert len(got) == 6 * 5 and {r["rank"] for r in got} == set(range(1, 6))
+
+
+def test_blocks_are_sent_once_to_a_task(spark):
+    pts = np.random.default_rng(3).standard_normal((3000, 24))  # nearly all blocks meet
+    blocks = N.own_bounds(N.lay_out(V._points(frame(spark, pts), "vec_id", "embedding", "cosine"), 15), 15)
+    table = blocks.table
+    pairs = N.meeting(blocks, table.selectExpr("block", "centre", "radius + array_max(bounds) AS look"))
+    rows, columns = N.grid(blocks, 2 * spark.sparkContext.defaultParallelism)
+    sent = N.dealt(blocks, pairs, table.select(*N.SIDE, "bounds"), table.select(*N.SIDE, "centre", "radius"))
+    n = table.count()
+    assert pairs.count() > n * (rows + columns) >= sent.count()
+    u = pts / np.linalg.norm(pts, axis=1, keepdims=True)
+    d = 1 - u @ u.T
+    np.fill_diagonal(d, np.inf)
+    got = V.knn_join(frame(spark, pts), 15).groupBy("src").agg({"dst": "collect_set"}).collect()
+    assert {r[0]: set(r[1]) for r in got} == {i: set(np.argsort(d[i])[:15].tolist()) for i in range(len(pts))}
+
+
+def test_chunks_hold_every_header():
+    have = {0: 5, 2: 2040, 3: 10, 7: 3 * N.PROBES + 1, 9: 1}
+    cells, chunks, of = N._chunks(have)
+    assert (np.diff(chunks) >= 0).all() and set(zip(cells.tolist(), chunks.tolist())) == {(c, a + k) for c, (a, n) in of.items() for k in range(n)}
+    assert of[7][1] == 4 and not {c for c, at in zip(cells, chunks) if c != 7} & {7} and set(chunks.tolist()) == set(range(max(chunks) + 1))
