@@ -2,7 +2,10 @@
 
 The model is a caller-supplied *factory* (picklable, no arguments) that
 returns the model function; it is built once per task on the executors,
-and its calls run inside an Arrow-batched iterator pandas UDF. Pending rows
+and its calls run inside an Arrow-batched iterator UDF. Texts stay in Arrow but
+for the one that the model reads, and answers leave a task in small pieces, so
+a worker's memory is a batch (at most Spark's limit of bytes) and a piece,
+however many rows there are. Pending rows
 are filtered before the UDF, so done work never reaches Python. The UDF is
 non-deterministic by default: Catalyst then never duplicates or reorders
 the call, and callers persist or write the result before reusing it."""
@@ -13,6 +16,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +24,8 @@ from pyspark.sql import types as T
 from tessera.schemas import EMBED_BATCH, SUMMARY_ERROR
 
 RESULT = T.StructType([T.StructField("value", T.StringType()), T.StructField("error", T.StringType())])
+#: Answers sent on at once: so many rows or characters.
+PIECE_ROWS, PIECE_CHARS = 1024, 1 << 20
 
 _MODELS: dict[str, Callable] = {}
 
@@ -36,7 +42,7 @@ def _build(factory: Callable[[], Callable]) -> Callable:
 def text_model_udf(factory: Callable[[], Callable[[str], str]], on_error: str = "sentinel",
                    error_value: str | None = SUMMARY_ERROR, pause_s: float = 0.0,
                    deterministic: bool = False):
-    """M1 + M2 as a pandas UDF returning ``struct<value, error>``.
+    """M1 + M2 as an Arrow UDF returning ``struct<value, error>``.
 
     ``on_error``: ``"sentinel"`` -> value = ``error_value``, job goes on;
     ``"raise"`` -> the task fails (topic and label calls). ``pause_s`` is the
@@ -44,31 +50,41 @@ def text_model_udf(factory: Callable[[], Callable[[str], str]], on_error: str =
     if on_error not in ("sentinel", "raise"):
         raise ValueError(f"on_error must be 'sentinel' or 'raise', not {on_error!r}")
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _build(factory)
-        for s in batches:
-            values, errors = [], []
-            for prompt in s:
-                if prompt is None:  # a row that is not due
-                    values.append(None)
-                    errors.append(None)
-                    continue
+        for prompts in batches:
+            yield from answers(model, prompts)
+
+    def answers(model, prompts: pa.Array) -> Iterator[pa.Array]:
+        values, errors, chars = [], [], 0
+        for text in prompts:
+            value = error = None
+            if text.is_valid:  # else a row that is not due
                 try:
-                    values.append(model(prompt))
-                    errors.append(None)
+                    value = model(text.as_py())
                 except Exception as e:  # noqa: BLE001 - policy decides
                     if on_error == "raise":
                         raise
-                    values.append(error_value)
-                    errors.append(f"{type(e).__name__}: {e}")
+                    value, error = error_value, f"{type(e).__name__}: {e}"
                 if pause_s > 0:
                     time.sleep(pause_s)
-            yield pd.DataFrame({"value": values, "error": errors})
-
-    udf = F.pandas_udf(run, RESULT)
+            values.append(value)
+            errors.append(error)
+            chars += len(value or "")
+            if len(values) >= PIECE_ROWS or chars >= PIECE_CHARS:
+                yield _answers(values, errors)
+                values, errors, chars = [], [], 0
+        if values:
+            yield _answers(values, errors)
+
+    udf = F.arrow_udf(run, RESULT)
     return udf if deterministic else udf.asNondeterministic()
 
 
+def _answers(values: list, errors: list) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(values, pa.string()), pa.array(errors, pa.string())], names=["value", "error"])
+
+
 def predict_text(df: DataFrame, prompt: Column, factory, out_col: str = "summary", error_col: str | None = None,
                  tasks: int | None = None, **kw) -> DataFrame:
     """M1: one model call per row of ``df`` whose prompt is not null.

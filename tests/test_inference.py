@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera import stubs
 from tessera.functions.prompts import render_prompt
+from tessera.operators import inference
 from tessera.operators.inference import embed, predict_text
 from tessera.plans.classify import classify_goals, classify_open_vocab
 from tessera.plans.summarise import summarise
@@ -32,6 +33,19 @@ def test_raise_policy_fails_job(spark):
         predict_text(df, render_prompt("{description}"), stubs.shout("boom"), on_error="raise").collect()
 
 
+def test_answers_leave_in_pieces(spark):
+    """One batch of 8 MB of texts with nulls and faults gives many small ones."""
+    texts = [None if i % 11 == 5 else f"t{i} " + "x" * (i * 37 % 4000) + ("boom" if i % 7 == 3 else "") for i in range(4000)]
+    run = inference.text_model_udf(stubs.shout("boom")).func
+    pieces = list(run(iter([inference.pa.array(texts)])))
+    assert max(map(len, pieces)) <= inference.PIECE_ROWS and max(p.nbytes for p in pieces) < 2 * inference.PIECE_CHARS
+    assert [r["value"] for p in pieces for r in p.to_pylist()] == [t and (SUMMARY_ERROR if "boom" in t else t.upper()) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, description string").coalesce(1)
+    got = predict_text(df, F.col("description"), stubs.shout("boom"), error_col="error").collect()
+    assert {r["id"]: r["summary"] for r in got} == {i: t and (SUMMARY_ERROR if "boom" in t else t.upper()) for i, t in enumerate(texts)}
+    assert all((r["error"] is not None) == ("boom" in (texts[r["id"]] or "")) for r in got)
+
+
 def test_embed_batches(spark):
     df = spark.createDataFrame([(f"text {i}",) for i in range(23)], "summary string")
     out = embed(df, stubs.hash_embedding(8), batch_size=10).collect()
