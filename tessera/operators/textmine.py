@@ -33,7 +33,7 @@ DEFAULT_K = 5
 MAX_DRIVER_VOCAB = 262_144
 #: Steps of k-means, digits that its distances are compared by, and term weights
 #: of a document block that meet all centres at once.
-ROUNDS, NEAR_DIGITS, BLOCK = 10, 9, 1 << 14
+ROUNDS, NEAR_DIGITS, BLOCK = 10, 9, 1 << 12
 #: Part sums that one task adds up.
 FAN = 64
 
@@ -173,6 +173,12 @@ def _times(offsets: np.ndarray, index: np.ndarray, weight: np.ndarray, dense: np
     return out
 
 
+def _add_at(sums: np.ndarray, row: np.ndarray, column: np.ndarray, weight: np.ndarray) -> None:
+    """Adds to places of a matrix, in order; by one index, which numpy does in a
+    fraction of the time that it takes for two."""
+    np.add.at(sums.reshape(-1), row.astype(np.int64) * sums.shape[1] + column, weight)
+
+
 def _add_up(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Sums of ``n``, ``cost`` and of the packed arrays ``sums`` by ``by``, in two
     steps, so that no task adds up those of all others."""
@@ -280,7 +286,7 @@ def _part_sums(rows: DataFrame, centres: dict[int, np.ndarray], costs_only: bool
                     np.add.at(n, begin + c, 1)
                     np.add.at(cost, begin + c, d)
                     if not costs_only:
-                        np.add.at(sums, (begin + c[row], index[a:b]), weight[a:b])
+                        _add_at(sums, begin + c[row], index[a:b], weight[a:b])
         part = TaskContext.get().partitionId() % FAN
         k = np.repeat(ks, ks).astype(np.int32)
         c = np.concatenate([np.arange(x) for x in ks]).astype(np.int32)
@@ -393,7 +399,8 @@ def _products(rows: DataFrame, block: np.ndarray) -> DataFrame:
                 part = offsets[low : high + 1] - a
                 z = _times(part, index[a:b], weight[a:b], block)
                 row = np.repeat(np.arange(high - low), np.diff(part))
-                np.add.at(sums, index[a:b], weight[a:b, None] * z[row])
+                each = np.tile(np.arange(z.shape[1]), b - a)
+                _add_at(sums, np.repeat(index[a:b], z.shape[1]), each, (weight[a:b, None] * z[row]).reshape(-1))
         yield _packed(0, sums)
 
     return rows.select("term_index", "weight").mapInArrow(run, "k int, part int, n long, cost double, sums binary")

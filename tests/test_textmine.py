@@ -143,3 +143,15 @@ def test_idf_is_smoothed_plus_one(tf):
     vocab = tf.vocab_df().collect()
     assert vocab == sorted(vocab, key=lambda r: r["term"])
     assert all(r["idf"] >= 1.0 for r in vocab)
+
+
+def test_blocks_are_small_and_sums_go_by_one_index(monkeypatch):
+    """Products of a block with all 119 centres stay in a core's cache."""
+    rng = np.random.default_rng(5)
+    offsets = np.concatenate([[0], np.cumsum(rng.integers(0, 60, 1500))])
+    index, weight = rng.integers(0, 300, offsets[-1]).astype(np.int32), rng.random(offsets[-1])
+    assert max(offsets[b] - offsets[a] for a, b in TM._blocks(offsets)) * 119 * 8 <= 1 << 22
+    row, plain, sums = np.repeat(np.arange(1500), np.diff(offsets)) % 7, np.zeros((7, 300)), np.zeros((7, 300))
+    np.add.at(plain, (row, index), weight)
+    TM._add_at(sums, row, index, weight)
+    assert (sums == plain).all()
