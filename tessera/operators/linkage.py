@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.neighbours import Blocks, distances, lay_out, nearest_outside, own_bounds, star_forest, within
+from tessera.operators.neighbours import Blocks, distances, lay_out, nearest_outside, star_forest, within
 from tessera.session import cut_lineage
 
 #: Neighbours listed for each point before the rounds; any number gives the same result.
@@ -61,7 +61,6 @@ def rounds(points: DataFrame, metric: str) -> list[DataFrame]:
     blocks = lay_out(points, NEAREST)
     if blocks is None:
         return []
-    blocks = own_bounds(blocks, NEAREST)
     nn = within(blocks, metric, NEAREST)
     order = Window.partitionBy("src").orderBy("distance", "dst")
     nn = nn.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= NEAREST)
@@ -72,11 +71,13 @@ def rounds(points: DataFrame, metric: str) -> list[DataFrame]:
     labels = cut_lineage(points.select("id", F.col("id").alias("label")))
     tables: list[DataFrame] = []
     while True:
-        sizes = labels.groupBy(F.col("label").alias("node")).count()
-        parts = sizes.orderBy(F.desc("count"), "node").limit(DRIVER_PARTS + 1).collect()
-        if len(parts) < 2:
+        sizes = cut_lineage(labels.groupBy(F.col("label").alias("node")).count())
+        # The largest component, the least node of equals; a sort with a limit would
+        # send that many rows of every task to the driver.
+        found = sizes.agg(F.count("*").alias("n"), F.min(F.struct(-F.col("count"), "node")).alias("first")).first()
+        if found["n"] < 2:
             break
-        rests, few = parts[0]["node"], len(parts) <= DRIVER_PARTS
+        rests, few = found["first"]["node"], found["n"] <= DRIVER_PARTS
         best = cut_lineage(edges.groupBy(F.col("l").alias("label")).agg(F.min(F.struct("distance", "other")).alias("b")).select("label", "b.*"))
         closed = labels.filter(F.col("label") != rests).join(edges.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
         open_ = closed.join(far, "id").join(best.select("label", "distance"), "label", "left").filter(F.col("distance").isNull() | (F.col("far") < F.col("distance")))
@@ -86,15 +87,14 @@ def rounds(points: DataFrame, metric: str) -> list[DataFrame]:
             queries = cut_lineage(_bounded(open_, points, labels, blocks))
             best = best.unionByName(nearest_outside(blocks, queries, labels, metric))
             best = best.groupBy("label").agg(F.min(F.struct("distance", "other")).alias("b")).select("label", "b.*")
-        best = best.filter(F.col("label") != rests)
+        best = cut_lineage(best.filter(F.col("label") != rests))
         if few:
             steps = best.collect()
-            up = _joined([r["node"] for r in parts], [(r["label"], r["other"]) for r in steps])
+            up = _joined([r["node"] for r in sizes.select("node").collect()], [(r["label"], r["other"]) for r in steps])
             t = {r["label"]: r["distance"] for r in steps}
             tables.append(points.sparkSession.createDataFrame([(n, t.get(n), up[n]) for n in up], "node long, t double, up long"))
             ups = F.broadcast(tables[-1].select("node", "up"))
         else:
-            best = cut_lineage(best)
             steps = best.select(F.col("label").alias("src"), F.col("other").alias("dst"))
             joined = connected_components(sizes.select(F.col("node").alias("id")), steps.unionByName(steps.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
             ups = cut_lineage(joined.select(F.col("id").alias("node"), F.col("label").alias("up")))

@@ -79,15 +79,30 @@ def _share(c: str):
     return F.shiftrightunsigned(F.xxhash64(c), 11) / F.lit(float(1 << 53))
 
 
+def _first_by_hash(points: DataFrame, n: int, m: int) -> list:
+    """The first ``m`` of ``n`` points by a hash of their id. Only rows with hashes
+    that are low enough are sorted, for every task sends its first ``m`` to the
+    driver."""
+    key, share = F.md5(F.col("id").cast("string")), (m + 8 * math.sqrt(m) + 16) / n
+    while share < 1:
+        low = points.filter(key.isNull() | (key < F.lit(f"{int(share * 16**12):012x}")))
+        rows = low.orderBy(key, "id").limit(m).collect()
+        if len(rows) == m:
+            return rows
+        share *= 4
+    return points.orderBy(key, "id").limit(m).collect()
+
+
 def lay_out(points: DataFrame, k: int | None) -> Blocks | None:
-    """The blocks of ``points`` (id, v), written; None for fewer than two. With
-    ``k`` the bounds are the distances to the k-th nearest pivot, else infinite."""
-    points = cut_lineage(points)
+    """The blocks of ``points`` (id, v: a written table, which is read again and
+    again), written; None for fewer than two. With ``k`` the bounds are the
+    distances to the k-th nearest pivot or, if less, to the k-th nearest inside the
+    own block (the first phase); else infinite."""
     n = points.count()
     if n < 2:
         return None
     m = min(MAX_PIVOTS, max((k or 1) + 1, math.ceil(math.sqrt(n))))
-    rows = points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(m).collect()
+    rows = _first_by_hash(points, n, m)
     pivot_ids, pivots = np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows], dtype=np.float64)
 
     def assign(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,7 +148,8 @@ def lay_out(points: DataFrame, k: int | None) -> Blocks | None:
                 x = p.values.field("v").flatten().to_numpy().reshape(len(ids), -1)
                 centre = x.mean(axis=0)
                 radius = float(np.sqrt(((x - centre) ** 2).sum(1).max()))
-                out.append((cell, len(ids), centre.tolist(), radius, ids.to_pylist(), bounds.to_pylist(), x.tobytes()))
+                bound = bounds.to_numpy() if k is None else _own_bound(x, bounds.to_numpy(), k)
+                out.append((cell, len(ids), centre.tolist(), radius, ids.to_pylist(), bound.tolist(), x.tobytes()))
             types = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()]
             columns = zip(*out, strict=True) if out else [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["cell", "n", "centre", "radius", "ids", "bounds", "rows"])
@@ -153,20 +169,24 @@ def unpacked(rows: bytes, n: int) -> np.ndarray:
     return np.frombuffer(rows, dtype=np.float64).reshape(n, -1)
 
 
+def _own_bound(x: np.ndarray, bound: np.ndarray, k: int) -> np.ndarray:
+    """Bounds of a block's points, not above the k-th nearest of the block."""
+    if len(x) <= k:
+        return bound
+    d = distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    return np.minimum(bound, np.partition(d, k - 1, axis=1)[:, k - 1])
+
+
 def own_bounds(blocks: Blocks, k: int) -> Blocks:
-    """The first phase: bounds not above the k-th nearest inside the own block."""
+    """Bounds not above the k-th nearest inside the own block, for another ``k``
+    than the blocks were laid out with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bounds = []
             for n, rows, old in zip(batch.column("n").to_pylist(), batch.column("rows"), batch.column("bounds"), strict=True):
-                bound = old.values.to_numpy()
-                if n > k:
-                    x = unpacked(rows.as_py(), n)
-                    d = distances(x, x)
-                    np.fill_diagonal(d, np.inf)
-                    bound = np.minimum(bound, np.partition(d, k - 1, axis=1)[:, k - 1])
-                bounds.append(bound.tolist())
+                bounds.append(_own_bound(unpacked(rows.as_py(), n), old.values.to_numpy(), k).tolist())
             columns = [pa.array(bounds, pa.list_(pa.float64())) if name == "bounds" else batch.column(name) for name in batch.schema.names]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
@@ -421,9 +441,11 @@ def nearest_outside(blocks: Blocks, queries: DataFrame, labels: DataFrame, metri
     marked = members.join(labels, "id").join(queries.select("id", "bound"), "id", "left")
     row = F.struct("place", "label", F.coalesce("bound", F.lit(-1.0)).alias("bound"))
     marked = marked.groupBy("block").agg(F.array_sort(F.collect_list(row)).alias("m"))
-    sides = cut_lineage(blocks.table.drop("bounds").join(marked, "block").select(*SIDE, "centre", "radius", "cell", F.col("m.label").alias("labels"), F.col("m.bound").alias("bounds")))
-    asking = sides.filter(F.array_max("bounds") >= 0)
-    pairs = meeting(blocks, asking.select("block", "centre", (F.col("radius") + F.array_max("bounds")).alias("look")))
+    # Vectors stay in the blocks' own table; only labels and bounds are written.
+    marks = cut_lineage(marked.select("block", F.col("m.label").alias("labels"), F.col("m.bound").alias("bounds")))
+    asking = marks.select("block", F.array_max("bounds").alias("bound")).filter("bound >= 0").join(blocks.table.select("block", "centre", "radius"), "block")
+    pairs = meeting(blocks, asking.select("block", "centre", (F.col("radius") + F.col("bound")).alias("look")))
+    sides = blocks.table.drop("bounds").join(marks, "block")
 
     def work(a: dict, b: dict):
         at, _, xs, bound, _, ys = _looking(a, b, slack)

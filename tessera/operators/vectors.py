@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.neighbours import connecting, lay_out, own_bounds, search_cost, star_forest, within
+from tessera.operators.neighbours import connecting, lay_out, search_cost, star_forest, within
 from tessera.operators.textmine import principal_axes, project
 from tessera.session import cut_lineage
 
@@ -38,10 +38,10 @@ def knn_join(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: s
              metric: str = "cosine") -> DataFrame:
     """The k nearest other vectors of every vector, exactly:
     (src, dst, distance, rank); cosine distance = 1 - cos."""
-    blocks = lay_out(_points(vectors, id_col, vec_col, metric), k)
+    blocks = lay_out(cut_lineage(_points(vectors, id_col, vec_col, metric)), k)
     if blocks is None:
         return vectors.sparkSession.createDataFrame([], "src long, dst long, distance double, rank int")
-    pairs = cut_lineage(within(own_bounds(blocks, k), metric, k))
+    pairs = cut_lineage(within(blocks, metric, k))
     w = Window.partitionBy("src").orderBy("distance", "dst")
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -50,17 +50,17 @@ def knn_cost(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: s
              metric: str = "cosine") -> DataFrame:
     """What ``knn_join`` compares: (id, blocks, points) of each vector, the blocks
     it looks into and the vectors that they hold."""
-    blocks = lay_out(_points(vectors, id_col, vec_col, metric), k)
+    blocks = lay_out(cut_lineage(_points(vectors, id_col, vec_col, metric)), k)
     if blocks is None:
         return vectors.sparkSession.createDataFrame([], "id long, blocks long, points long")
-    return search_cost(own_bounds(blocks, k))
+    return search_cost(blocks)
 
 
 _star_forest = star_forest
 
 
 def _within_eps(vectors: DataFrame, eps: float, id_col: str, vec_col: str, metric: str, forest: bool = False) -> DataFrame:
-    blocks = lay_out(_points(vectors, id_col, vec_col, metric), None)
+    blocks = lay_out(cut_lineage(_points(vectors, id_col, vec_col, metric)), None)
     if blocks is None:
         return vectors.sparkSession.createDataFrame([], "src long, dst long, distance double")
     if metric == "cosine":

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 _PKG_DIR = os.path.dirname(os.path.abspath(__file__))
 _REPO_DIR = os.path.dirname(_PKG_DIR)
 
+#: Spark's setting that removes an action's shuffle files as soon as it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def _driver_memory() -> str:
     """Local mode: three quarters of the machine's memory, at most 16g."""
@@ -92,8 +95,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     back: survives executor loss (never ``localCheckpoint``), and the plan
     restarts from a file scan. (A ``checkpoint()`` keeps its origin plan
     for statistics, and in loops the optimizer's work on those nested
-    plans grows with every round.)"""
+    plans grows with every round.) The shuffle files behind it go with the
+    write, else a loop's would all lie on disk until the driver collects its
+    garbage."""
     spark = df.sparkSession
     path = shared_path(spark, "stage")
-    df.write.mode("overwrite").parquet(path)
+    old = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if old is None else spark.conf.set(SHUFFLE_CLEANUP, old)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,10 +1,15 @@
 """The density hierarchy against a brute-force restatement: components at
 every distance, condensed, chosen by excess of mass."""
 
+import os
+import time
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.operators import linkage
 from tessera.operators.vectors import density_hierarchy, knn_cost
+from tessera.session import SHUFFLE_CLEANUP, cut_lineage
 
 
 def distance_matrix(pts, metric):
@@ -135,3 +140,46 @@ def test_vectors_look_into_few_others(spark):
     bound = np.sort(d, axis=1)[:, k]
     looked = (((d - radius[None]) <= bound[:, None]) * np.bincount(cell, minlength=len(pivots))[None]).sum()
     assert 5 * sum(r["points"] for r in cost) <= looked
+
+
+def test_vectors_are_written_a_few_times_whatever_the_rounds(spark, monkeypatch):
+    """Rounds write labels and steps; the vectors stay in the blocks' own table."""
+    from tessera.operators import neighbours
+
+    written = []
+
+    def cut(df):
+        written.append(set(df.columns))
+        return cut_lineage(df)
+
+    for module in (linkage, neighbours):
+        monkeypatch.setattr(module, "cut_lineage", cut)
+    rng = np.random.default_rng(12)
+    check(spark, np.concatenate([rng.normal(c, 0.3, (20, 2)) for c in ((0, 0), (50, 0), (0, 60), (80, 80))]), 5)
+    assert sum(bool(c & {"v", "rows"}) for c in written) <= 5
+    assert sum("labels" in c for c in written) >= 1  # a search was needed
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.splitlines() if os.path.basename(f).startswith("shuffle_")}
+
+    before = shuffled()
+    table = cut_lineage(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and table.count() == 7
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == "false"
+
+
+def test_first_points_by_hash_are_those_of_a_full_sort(spark):
+    from tessera.operators.neighbours import _first_by_hash
+
+    points = spark.range(5000).select("id", F.array(F.col("id").cast("double")).alias("v")).cache()
+    want = [r["id"] for r in points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(71).collect()]
+    assert [r["id"] for r in _first_by_hash(points, 5000, 71)] == want
+    one = spark.range(300).select(F.lit(7).cast("long").alias("id"), F.array(F.lit(1.0)).alias("v"))
+    assert len(_first_by_hash(one, 300, 20)) == 20  # equal ids: none or all are low
+    assert len(_first_by_hash(points.limit(3), 3, 9)) == 3
