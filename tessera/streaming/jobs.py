@@ -1,10 +1,10 @@
 """Incremental jobs as Structured Streaming.
 
 I1: landed listing responses -> catalogue rows with READMEs. Which keys are known
-is keyed state of the stream (``transformWithState`` over the RocksDB store):
-the stored catalogue's keys are its initial state, and every key that a batch
-adds joins them, so a batch looks up its own keys and reads neither the stored
-catalogue nor earlier output. A run can be interrupted and resumed.
+is state of a streaming aggregate over the RocksDB store: the stored catalogue's
+keys are a source of the first batch, and every key that a batch adds joins them,
+so a batch looks up its own keys and reads neither the stored catalogue nor earlier
+output. A run can be interrupted and resumed.
 
 Micro-batches run in ``foreachBatch``. Each batch's
 output goes to its own ``batch_id`` partition with dynamic overwrite, so a
@@ -14,12 +14,11 @@ about ``every`` rows per batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tessera.operators.joins import attach_readme
 from tessera.schemas import KEY, SAVE_EVERY
@@ -33,28 +32,41 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
-class FirstOfKey(StatefulProcessor):
-    """The first row of a key that was never seen, by (page, pos)."""
+#: Stored keys, landed once beside the stream's own checkpoint.
+KNOWN_KEYS = "known-keys"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if not self.seen.exists():
-            first = min(rows, key=lambda r: (r["page"] is not None, r["page"] or 0, r["pos"]))
-            self.seen.update((True,))
-            yield first
+def _land_known(spark: SparkSession, stored: DataFrame | None, checkpoint: str) -> DataFrame:
+    """The stored catalogue's keys as a stream, written by the first run over a
+    checkpoint; one without a stored catalogue writes none."""
+    path = f"{checkpoint.rstrip('/')}/{KNOWN_KEYS}"
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    schema = ", ".join(f"{k} string" for k in KEY)
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        keys = spark.createDataFrame([], schema) if stored is None else stored.select(*KEY)
+        for k in KEY:
+            keys = keys.filter(F.length(F.col(k)) > 0)
+        keys.write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.seen.update((True,))
 
-    def close(self) -> None:
-        pass
+def first_of_new_keys(items: DataFrame, known: DataFrame) -> DataFrame:
+    """The first row by (page, pos) of each key that a batch is the first to hold
+    (both frames are streams; in update mode). A batch has one time of its own,
+    kept for its replay, so a key is new where its first time is its last; known
+    keys are of the oldest time, whichever batch they come in."""
+    row, at = F.struct(*items.columns), F.struct(F.current_timestamp().alias("at"), "page", "pos")
+    rows = items.select(*KEY, row.alias("row"), at.alias("at"))
+    none = rows.schema["row"].dataType
+    old = F.struct(F.timestamp_seconds(F.lit(0)).alias("at"), F.lit(None).cast(items.schema["page"].dataType).alias("page"), F.lit(None).cast(items.schema["pos"].dataType).alias("pos"))
+    both = rows.unionByName(known.select(*KEY, F.lit(None).cast(none).alias("row"), old.alias("at")))
+    seen = both.groupBy(*KEY).agg(F.min_by("row", "at").alias("row"), F.min("at.at").alias("first"), F.max("at.at").alias("last"))
+    return seen.filter("first = last AND row IS NOT NULL").select("row.*")
 
 
 def _rocksdb(spark: SparkSession, start: Callable):
-    """Start a query with the RocksDB state store, which keyed state needs; the
-    session's own setting stands again afterwards."""
+    """Start a query with the RocksDB state store, which holds state beyond the
+    heap; the session's own setting stands again afterwards."""
     old = spark.conf.get(STORE, None)
     spark.conf.set(STORE, ROCKSDB)
     try:
@@ -76,14 +88,7 @@ def stream_catalogue(spark: SparkSession, landing: str, out_path: str, checkpoin
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     items = to_catalogue(explode_listing(reader.json(landing)))
-    nameless = F.lit(True)
-    for k in KEY:
-        nameless = nameless & (F.length(F.col(k)) > 0)
-    known = None
-    if stored is not None:
-        # One row for each key: the state takes a key once.
-        known = stored.select(*KEY).filter(nameless).distinct().groupBy(*KEY)
-    new = items.groupBy(*KEY).transformWithState(FirstOfKey(), items.schema, "Append", "None", initialState=known)
+    new = first_of_new_keys(items, _land_known(spark, stored, checkpoint))
 
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = batch if readmes is None else attach_readme(batch, readmes)
@@ -91,7 +96,7 @@ def stream_catalogue(spark: SparkSession, landing: str, out_path: str, checkpoin
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
 
     def start():
-        query = new.writeStream.outputMode("append").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query = new.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
         return query
 

@@ -41,6 +41,22 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_path):
     assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_new_keys_are_found_without_python_and_stored_ones_in_the_first_run(spark, tmp_path):
+    landing, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stored = spark.createDataFrame([("acc", "known"), ("acc", "known"), ("acc", ""), (None, "x")], "account string, name string")
+    rows = [("acc", 2, [{"name": "a", "description": "page 2"}]), ("acc", 1, [{"name": "b"}, {"name": "a", "description": "page 1"}]),
+            ("acc", None, [{"name": "b", "description": "no page"}, {"name": "known"}]), (None, 1, [{"name": "x"}])]
+    spark.createDataFrame([(a, p, json.dumps(i)) for a, p, i in rows], "account string, page bigint, body string").write.json(landing)
+    query = stream_catalogue(spark, landing, out, ckpt, stored)
+    plan = query._jsq.explainInternal(False)
+    assert "StateStoreSave" in plan and "Python" not in plan and "Pandas" not in plan
+    got = {(r["account"], r["name"]): r["description"] for r in spark.read.parquet(out).collect()}
+    assert got == {("acc", "a"): "page 1", ("acc", "b"): "no page", (None, "x"): "No description"}
+    land(spark, landing, [{"name": "a"}, {"name": "late"}, {"name": "known"}])
+    stream_catalogue(spark, landing, out, ckpt, spark.createDataFrame([("acc", "late")], stored.schema))
+    assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["a", "b", "late", "x"]
+
+
 def test_enrich_stream_saves_each_batch(spark, tmp_path):
     src = spark.createDataFrame([("a", str(i), f"d{i}", "r", None) for i in range(12)],
                                 "account string, name string, description string, readme string, summary string")
