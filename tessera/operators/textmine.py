@@ -227,14 +227,15 @@ def _nearest(offsets, index, weight, stacked: np.ndarray, squares: np.ndarray, e
         yield c, d[np.arange(len(c)), begin + c]
 
 
-def kmeans(rows: DataFrame, keys: Sequence[str], width: int, ks: Sequence[int] | None = None, rounds: int = ROUNDS) -> KMeansModels:
+def kmeans(rows: DataFrame, keys: Sequence[str], width: int, ks: Sequence[int] | None = None, rounds: int = ROUNDS, written: bool = False) -> KMeansModels:
     """K-means for every K of ``ks`` (2 to 15) at once.
 
     The first K documents by a hash of their key are the first centres; each
     of ``rounds`` steps is one pass over the rows, in which every document meets
     the centres of all K that still move. A centre without documents stays. One
-    more pass gives the costs. K above the number of documents is left out."""
-    rows = cut_lineage(rows)
+    more pass gives the costs. K above the number of documents is left out.
+    ``written`` rows are a table already."""
+    rows = rows if written else cut_lineage(rows)
     ks = sorted(ks if ks is not None else range(2, K_MAX + 1))
     key = F.md5(F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys]))
     first = rows.orderBy(key, *keys, "term_index", "weight").limit(max(ks, default=0)).select("term_index", "weight").collect()
@@ -427,10 +428,10 @@ def project(rows: DataFrame, keep: Sequence[str], axes: np.ndarray, shift: np.nd
     return _arrow_function(rows.select(*keep, "term_index", "weight"), ["term_index", "weight"], work, f"{out_col} array<double>")
 
 
-def pca_2d(rows: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+def pca_2d(rows: DataFrame, keys: Sequence[str], width: int, written: bool = False) -> DataFrame:
     """Centred projection to two dimensions, skipped below two rows. No row
-    is densified to the vocabulary's width."""
-    rows = cut_lineage(rows)
+    is densified to the vocabulary's width. ``written`` rows are a table already."""
+    rows = rows if written else cut_lineage(rows)
     axes, _, mean, n = principal_axes(rows, width, 2)
     if n < 2:
         return rows.select(*keys, F.lit(None).cast("double").alias("pc1"), F.lit(None).cast("double").alias("pc2"))

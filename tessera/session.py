@@ -97,13 +97,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     for statistics, and in loops the optimizer's work on those nested
     plans grows with every round.) The shuffle files behind it go with the
     write, else a loop's would all lie on disk until the driver collects its
-    garbage."""
+    garbage. Tables hold texts, so they are packed with zstd."""
     spark = df.sparkSession
     path = shared_path(spark, "stage")
     old = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if old is None else spark.conf.set(SHUFFLE_CLEANUP, old)
     return spark.read.schema(df.schema).parquet(path)

@@ -62,3 +62,21 @@ def test_reprocess_audit(spark, tmp_path):
     assert audit["missing"]["missing"] == 1 and audit["duplicates"] == 2
     assert audit["unique_vs_total"] == {"unique_keys": 2, "total_rows": 3}
     assert audit["rewrite"]["remaining_rejected"] == 0 and audit["rewrite"]["after"] == 2
+
+
+def test_topic_report_makes_its_rows_once(spark):
+    """A model behind the input runs once for each row, whatever is read of the report."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def answer(text):
+        calls.add(1)
+        return f"topic of {text[:4]}"
+
+    model = F.udf(answer, "string").asNondeterministic()  # else a filter alone would ask it again
+
+    words = ["stone river walks", "river stone falls", "green stone house", "green house garden", "garden walks falls", "house river garden"]
+    rows = [("acc", str(i), words[i % 6], i, i) for i in range(24)]
+    df = spark.createDataFrame(rows, "account string, name string, summary string, stars long, forks long")
+    rep = topic_report(df.withColumn("topic", model("summary")), ks=[2, 3, 4])
+    assert rep["topics_per_cluster"].count() > 0 and rep["top_topics"].count() == 5
+    assert calls.value == 24
