@@ -47,19 +47,20 @@ def classify_batch(df: DataFrame, embed_factory, label_factory, label_template:
     unc = spark.createDataFrame([(UNCATEGORIZED,)], "topic string")
     if df.isEmpty():
         return df.withColumn("topic", F.lit(None).cast("string")), unc.limit(0)
-    rows = embed_pending(df, embed_factory, text_col)
-    rows = cut_lineage(rows.withColumn("__id", F.monotonically_increasing_id()))
-    with_vec = rows.filter(F.col("embedding").isNotNull())
+    rows = embed_pending(df.withColumn("__id", F.monotonically_increasing_id()), embed_factory, text_col)  # written with the ids
+    # Texts stay in that one table: only ids and vectors go through the clustering.
+    with_vec = rows.filter(F.col("embedding").isNotNull()).select("__id", "embedding")
     if with_vec.isEmpty():
         return rows.drop("__id").withColumn("topic", F.lit(UNCATEGORIZED)), unc
-    reduced = cut_lineage(reduce_dims(with_vec, dims, "embedding", "reduced"))
+    reduced = cut_lineage(reduce_dims(with_vec, dims, "embedding", "reduced").select("__id", "reduced"))
     if eps is None:
         clusters = density_hierarchy(reduced, min_size, "__id", "reduced", "euclidean")
     else:
         clusters = density_clusters(reduced, eps, min_size, "__id", "reduced", "euclidean")
-    clustered = reduced.join(clusters, "__id").select("__id", text_col, "cluster_id", *KEY)
+    clusters = cut_lineage(clusters.select("__id", "cluster_id"))
+    clustered = rows.select("__id", text_col, *KEY).join(clusters.filter(F.col("cluster_id") != -1), "__id")  # outliers have no label
     # Written: rows and topic table must see the same answers.
     labels = cut_lineage(label_clusters(clustered, label_template, label_factory, text_col=text_col))
-    topics = map_labels(clustered.select("__id", "cluster_id"), labels)
+    topics = map_labels(clusters, labels)
     out = assign_topic(rows, topics.select("__id", "topic"), keys=["__id"]).drop("__id")
     return out, final_topics(out)

@@ -80,3 +80,22 @@ def test_topic_report_makes_its_rows_once(spark):
     rep = topic_report(df.withColumn("topic", model("summary")), ks=[2, 3, 4])
     assert rep["topics_per_cluster"].count() > 0 and rep["top_topics"].count() == 5
     assert calls.value == 24
+
+
+def test_classify_batch_writes_texts_once(spark, monkeypatch):
+    from tessera.operators import vectors
+    from tessera.plans import batch
+    from tessera.session import cut_lineage
+
+    written = []
+
+    def cut(df):
+        written.append(df.schema.simpleString())
+        return cut_lineage(df)
+
+    for module in (batch, vectors):
+        monkeypatch.setattr(module, "cut_lineage", cut)
+    df = spark.createDataFrame([("a", str(i), f"text {i % 2}") for i in range(12)], SCHEMA)
+    out, _ = classify_batch(df, stubs.hash_embedding(8), stubs.cluster_label(), stubs.LABEL_TEMPLATE)
+    assert out.count() == 12
+    assert sum("summary:" in x for x in written) == 1
