@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, merging
 
 #: Pivots of a level, which the driver holds; points of a block; headers or
 #: probes of one task's tile; rows of a batch that a tile's answers fill; bytes of
@@ -265,8 +265,8 @@ def dealt(blocks: Blocks, pairs: DataFrame, left: DataFrame, right: DataFrame) -
     rows, columns = grid(blocks, 2 * pairs.sparkSession.sparkContext.defaultParallelism)
     row, column = F.pmod(F.xxhash64("a"), F.lit(rows)), F.pmod(F.xxhash64("b", F.lit("column")), F.lit(columns))
     at = pairs.withColumn("task", (row * columns + column).cast("int"))
-    held = at.select("task", F.col("a").alias("block")).distinct().join(left, "block")
-    streamed = at.groupBy("task", F.col("b").alias("block")).agg(F.collect_list("a").alias("with")).join(right, "block")
+    held = at.select("task", F.col("a").alias("block")).distinct().join(merging(left), "block")
+    streamed = at.groupBy("task", F.col("b").alias("block")).agg(F.collect_list("a").alias("with")).join(merging(right), "block")
     held = held.select("task", F.lit(0).alias("side"), *[F.col(c).alias(f"a_{c}") for c in left.columns])
     streamed = streamed.select("task", F.lit(1).alias("side"), "with", *[F.col(c).alias(f"b_{c}") for c in right.columns])
     both = held.unionByName(streamed, allowMissingColumns=True)
@@ -438,14 +438,14 @@ def nearest_outside(blocks: Blocks, queries: DataFrame, labels: DataFrame, metri
     as one lies within the bounds. ``labels``: (id, label) of all points."""
     slack = blocks.slack
     members = blocks.table.select("block", F.posexplode("ids").alias("place", "id"))
-    marked = members.join(labels, "id").join(queries.select("id", "bound"), "id", "left")
+    marked = members.join(merging(labels), "id").join(merging(queries.select("id", "bound")), "id", "left")
     row = F.struct("place", "label", F.coalesce("bound", F.lit(-1.0)).alias("bound"))
     marked = marked.groupBy("block").agg(F.array_sort(F.collect_list(row)).alias("m"))
     # Vectors stay in the blocks' own table; only labels and bounds are written.
     marks = cut_lineage(marked.select("block", F.col("m.label").alias("labels"), F.col("m.bound").alias("bounds")))
-    asking = marks.select("block", F.array_max("bounds").alias("bound")).filter("bound >= 0").join(blocks.table.select("block", "centre", "radius"), "block")
+    asking = marks.select("block", F.array_max("bounds").alias("bound")).filter("bound >= 0").join(merging(blocks.table.select("block", "centre", "radius")), "block")
     pairs = meeting(blocks, asking.select("block", "centre", (F.col("radius") + F.col("bound")).alias("look")))
-    sides = blocks.table.drop("bounds").join(marks, "block")
+    sides = blocks.table.drop("bounds").join(merging(marks), "block")
 
     def work(a: dict, b: dict):
         at, _, xs, bound, _, ys = _looking(a, b, slack)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.neighbours import connecting, lay_out, search_cost, star_forest, within
 from tessera.operators.textmine import principal_axes, project
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, merging
 
 
 def as_double_array(c) -> F.Column:
@@ -94,17 +94,17 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
     rounds = 0
     while True:
         rounds += 1
-        prop = e.join(labels.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), "label")
+        prop = e.join(merging(labels.withColumnRenamed("id", "src")), "src").select(F.col("dst").alias("id"), "label")
         step = labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label")).persist(
             StorageLevel.MEMORY_AND_DISK)
         # Pointer jumping: adopt the label of one's label.
         via = step.select(F.col("id").alias("via_id"), F.col("label").alias("via_label"))
-        hop = step.join(via, step["label"] == via["via_id"], "left").select(
+        hop = step.join(merging(via), step["label"] == via["via_id"], "left").select(
             "id", F.least(F.col("label"), F.coalesce(F.col("via_label"), F.col("label"))).alias("label")
         )
         old = labels.select("id", F.col("label").alias("old_label"))
         # One reliable checkpoint per round, carrying the change flag.
-        new = cut_lineage(hop.join(old, "id").select("id", "label", (F.col("label") != F.col("old_label")).alias("moved")))
+        new = cut_lineage(hop.join(merging(old), "id").select("id", "label", (F.col("label") != F.col("old_label")).alias("moved")))
         step.unpersist()
         labels = new.select("id", "label")
         if new.filter(F.col("moved")).limit(1).count() == 0 or (max_rounds is not None and rounds >= max_rounds):
@@ -170,4 +170,4 @@ def density_hierarchy(vectors: DataFrame, min_size: int = 5, id_col: str = "vec_
 
     found = linkage.density_hierarchy(_points(vectors, id_col, vec_col, metric), min_size, metric)
     ids = vectors.select(F.col(id_col).cast("long").alias("id"))
-    return ids.join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("cluster_id"))
+    return ids.join(merging(found), "id", "left").select(F.col("id").alias(id_col), F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("cluster_id"))

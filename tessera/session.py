@@ -107,3 +107,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     finally:
         spark.conf.unset(SHUFFLE_CLEANUP) if old is None else spark.conf.set(SHUFFLE_CLEANUP, old)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def merging(table: DataFrame) -> DataFrame:
+    """``table`` as a side of a join that sorts and merges. For tables that grow
+    with the input: Spark would gather one of a few MB on the driver and send it
+    to all executors, and a loop does so again in every round."""
+    return table.hint("merge")

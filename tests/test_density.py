@@ -160,6 +160,45 @@ def test_vectors_are_written_a_few_times_whatever_the_rounds(spark, monkeypatch)
     assert sum("labels" in c for c in written) >= 1  # a search was needed
 
 
+def sent(df):
+    """The broadcasts in a plan that read a written or kept table."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*")) for x in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            found += [x.strip() for x in lines[i:end] if "Scan parquet" in x or "InMemoryTableScan" in x]
+    return found
+
+
+def test_tables_that_grow_are_never_gathered_to_be_broadcast(spark, monkeypatch):
+    """With more components than the driver joins, every join of points, steps,
+    chains or clusters sorts and merges, however small its tables are here. (What
+    the code itself asks to broadcast has few rows, and is left out.)"""
+    from tessera.operators import neighbours, vectors
+
+    gathered, written = [], []
+
+    def cut(df):
+        written.append(df.columns)
+        if "rows" not in df.columns:  # the blocks' own table counts its blocks
+            gathered.extend((df.columns, x) for x in sent(df))
+        return cut_lineage(df)
+
+    for module in (linkage, neighbours, vectors):
+        monkeypatch.setattr(module, "cut_lineage", cut)
+    monkeypatch.setattr(linkage, "DRIVER_PARTS", 0)
+    monkeypatch.setattr(F, "broadcast", lambda table: table.hint("merge"))
+    rng = np.random.default_rng(5)
+    pts = np.concatenate([rng.normal(c, 0.3, (14, 2)) for c in ((0, 0), (50, 0), (0, 60))] + [np.ones((7, 2))])
+    got = density_hierarchy(frame(spark, pts), 5)
+    gathered += [("result", x) for x in sent(got)]
+    assert {r["vec_id"]: r["cluster_id"] for r in got.collect()} == brute(pts, 5)
+    assert ["block", "labels", "bounds"] in written and ["id", "label", "moved"] in written  # a search, and Spark's components
+    assert not gathered
+
+
 def test_shuffle_files_go_with_the_write(spark):
     def shuffled():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
