@@ -26,7 +26,8 @@ a cluster of its own splits the chain, and any other leaves the chain's cluster
 at 1 / w. Clusters, their links, stabilities (the sum over points of 1 / w where
 they leave less 1 / w where the cluster began) and the choice by excess of mass
 follow chain by chain, in as many steps as there were rounds. Nothing is gathered
-on the driver but a row for each partition or pivot."""
+on the driver but a row for each partition or pivot and, of at most ``DRIVER_PARTS``,
+for each component, chain or cluster."""
 
 from __future__ import annotations
 
