@@ -30,7 +30,7 @@ PIECE_ROWS, PIECE_CHARS = 1024, 1 << 20
 _MODELS: dict[str, Callable] = {}
 
 
-def _build(factory: Callable[[], Callable]) -> Callable:
+def build(factory: Callable[[], Callable]) -> Callable:
     key = getattr(factory, "cache_key", None)
     if key is None:
         return factory()
@@ -51,7 +51,7 @@ def text_model_udf(factory: Callable[[], Callable[[str], str]], on_error: str =
         raise ValueError(f"on_error must be 'sentinel' or 'raise', not {on_error!r}")
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = _build(factory)
+        model = build(factory)
         for prompts in batches:
             yield from answers(model, prompts)
 
@@ -106,7 +106,7 @@ def embedding_udf(factory: Callable[[], Callable[[list[str]], list[list[float]]]
     ``ARRAY<FLOAT>``. Null texts are not sent and stay null."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = _build(factory)
+        model = build(factory)
         for s in batches:
             due = [i for i, t in enumerate(s) if t is not None]
             out: list = [None] * len(s)

@@ -4,16 +4,17 @@ goal scores (M8), prompt comparison (M10) and the dispatcher (E4)."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonx
-from tessera.functions.prompts import render, render_goal_prompt, render_topic_prompt
+from tessera.functions.prompts import around, render, render_goal_prompt, topic_list_text
 from tessera.functions.text import strip_label
 from tessera.operators.aggregates import cluster_prompt_text
 from tessera.operators.filters import normalise_columns, scorable
-from tessera.operators.inference import predict_text
+from tessera.operators.inference import build, predict_text
 from tessera.operators.joins import cross_prompts
 from tessera.operators.sets import extend_vocabulary, in_order, place_of, seed_topics
 from tessera.operators.topk import sample_rows
@@ -27,9 +28,6 @@ from tessera.sources.catalogue import write_stage
 # is, to the end: at most half of the rows come after the last new vocabulary.
 # Waves of one row reproduce the sequential reference.
 FIRST_WAVE, WAVE_GROWTH = 64, 2
-#: Topics that a prompt lists: those of the least rank. The vocabulary itself, and
-#: what counts as new, has no bound.
-LISTED_TOPICS = 10_000
 
 
 def order_key(df: DataFrame, sort_by: str | None = "created_at") -> F.Column:
@@ -49,10 +47,21 @@ def wave_sizes() -> Iterator[int]:
         size *= WAVE_GROWTH
 
 
+class Listing:
+    """A model of summaries: their prompts list every known topic. ``around`` (a
+    broadcast of ``prompts.around``) is sent once to an executor; put into the
+    rows, the list would be sent with each of them."""
+
+    def __init__(self, factory, around):
+        self.model, self.around = build(factory), around.value
+
+    def __call__(self, summary: str) -> str:
+        return self.model(summary.join(self.around))
+
+
 def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[str],
                         waves: Sequence[int] | None = None, sort_by: str | None = "created_at",
-                        pause_s: float = 0.0, tasks: int | None = None,
-                        listed: int = LISTED_TOPICS) -> tuple[DataFrame, DataFrame]:
+                        pause_s: float = 0.0, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """M6: a topic per row, chosen from (or added to) a growing vocabulary;
     returns the rows and the vocabulary (topic, rank).
 
@@ -61,10 +70,9 @@ def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[
     wave see the vocabulary known before it; new topics are added in order of
     first appearance (U1). Waves grow by ``WAVE_GROWTH`` until the input ends
     (``waves`` gives other sizes; a last one takes the rest), so every row sees
-    the topics of all waves before its own, in prompts up to ``listed`` of them.
+    all topics of all waves before its own, however many.
     Each wave's answers are written once, then used for output and vocabulary.
-    The driver holds the topics that the next prompts list, and none after the
-    last wave."""
+    The driver holds the topics known before the last wave, for the prompts."""
     df = normalise_columns(df)
     spark = df.sparkSession
     vocab = seed_topics(spark, list(topics))
@@ -81,19 +89,20 @@ def classify_open_vocab(df: DataFrame, template: str, factory, topics: Sequence[
             break
         bounds.append(place_of(cum, counts))
     parts: list[DataFrame] = []
-    known, size = list(topics)[:listed], len(topics)
+    known = list(topics)
     for i, lo in enumerate(bounds):
         last = i + 1 == len(bounds)
         wave = placed.filter(F.col("__place") >= lo)
         if not last:
             wave = wave.filter(F.col("__place") < bounds[i + 1])
-        prompt = render_topic_prompt(template, "summary", known)
-        answered = cut_lineage(predict_text(wave, prompt, factory, out_col="topic", on_error="raise", pause_s=pause_s, tasks=tasks))
+        listed = spark.sparkContext.broadcast(around(template, "summary", {"topic_list": topic_list_text(known)}))
+        summary = F.coalesce(F.col("summary").cast("string"), F.lit(""))
+        answered = cut_lineage(predict_text(wave, summary, partial(Listing, factory, listed), out_col="topic", on_error="raise", pause_s=pause_s, tasks=tasks))
+        listed.destroy()
         parts.append(answered)
-        vocab = cut_lineage(extend_vocabulary(vocab, answered.select("topic", F.col("__place").alias("seen_at")), offset=size))
+        vocab = cut_lineage(extend_vocabulary(vocab, answered.select("topic", F.col("__place").alias("seen_at")), offset=len(known)))
         if not last:
-            size = vocab.count()
-            known = [r["topic"] for r in vocab.orderBy("rank").limit(listed).collect()]
+            known += [r["topic"] for r in sorted(vocab.filter(F.col("rank") >= len(known)).collect(), key=lambda r: r["rank"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

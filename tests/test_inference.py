@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import stubs
-from tessera.functions.prompts import render_prompt
+from tessera.functions.prompts import render_prompt, render_topic_prompt
 from tessera.operators import inference
 from tessera.operators.inference import embed, predict_text
 from tessera.plans.classify import classify_goals, classify_open_vocab
@@ -85,3 +85,25 @@ def test_classify_goals_guards(spark):
     assert out["2"]["open_data_score"] is None and out["3"]["public_health_reason"] is None
     r = out["1"]
     assert r["open_data_score"] is not None and (r["open_data_reason"] or GOAL_MISSING_REASON)
+
+
+def many_topics(spark):
+    """Three rows, the first a wave of its own, and 10,050 topics known before."""
+    seeds = [f"t{i:05d}x" for i in range(10_050)]
+    data = [("a", "r0", "newest words"), ("a", "r1", "about t10049x"), ("a", "r2", "the newest of all")]
+    df = spark.createDataFrame(data, "account string, name string, summary string")
+    return classify_open_vocab(df, stubs.TOPIC_TEMPLATE, stubs.seed_topic((), use_prompt_list=True), seeds, waves=[1]), seeds
+
+
+def test_open_vocab_lists_every_topic(spark):
+    (out, _), _ = many_topics(spark)
+    assert {r["name"]: r["topic"] for r in out.collect()} == {"r0": "newest", "r1": "t10049x", "r2": "newest"}
+
+
+def test_around_is_what_render_gives(spark):
+    from tessera.functions.prompts import around
+
+    template = "{{x}} {summary}, {topic_list}; {summary}"
+    rows = spark.createDataFrame([("a {b}",), ("",)], "summary string")
+    for r in rows.select("summary", render_topic_prompt(template, "summary", ["one", "{two}"]).alias("p")).collect():
+        assert r["summary"].join(around(template, "summary", {"topic_list": "one, {two}"})) == r["p"]
