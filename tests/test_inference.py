@@ -100,6 +100,11 @@ def test_open_vocab_lists_every_topic(spark):
     assert {r["name"]: r["topic"] for r in out.collect()} == {"r0": "newest", "r1": "t10049x", "r2": "newest"}
 
 
+def test_open_vocab_topics_adds_none_that_is_known(spark):
+    (_, vocab), seeds = many_topics(spark)
+    assert topic_list(vocab) == [*seeds, "newest"]
+
+
 def test_around_is_what_render_gives(spark):
     from tessera.functions.prompts import around
 
