@@ -18,20 +18,25 @@ from tessera.session import cut_lineage, merging
 
 
 def as_double_array(c) -> F.Column:
-    return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: x.cast("double"))
+    return (F.col(c) if isinstance(c, str) else c).cast("array<double>")
+
+
+def _norm(c) -> F.Column:
+    return F.sqrt(F.aggregate(as_double_array(c), F.lit(0.0), lambda a, x: a + x * x))
 
 
 def unit(c) -> F.Column:
     """Scale to unit length (cosine order = Euclidean order on unit
-    vectors); zero vectors become null."""
-    v = as_double_array(c)
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm))
+    vectors); zero vectors become null. The norm is a variable of its own: inside
+    the inner function it would be taken anew for each coordinate."""
+    scaled = F.transform(F.array(_norm(c)), lambda norm: F.when(norm > 0, F.transform(as_double_array(c), lambda x: x / norm)))
+    return F.get(scaled, 0)
 
 
 def _points(vectors: DataFrame, id_col: str, vec_col: str, metric: str) -> DataFrame:
-    v = unit(vec_col) if metric == "cosine" else as_double_array(vec_col)
-    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.col("v").isNotNull())
+    # The filter asks for less than the vectors, which would be made twice.
+    some, v = (_norm(vec_col) > 0, unit(vec_col)) if metric == "cosine" else (F.col(vec_col).isNotNull(), as_double_array(vec_col))
+    return vectors.filter(some).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
 
 
 def knn_join(vectors: DataFrame, k: int = 15, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -115,10 +120,9 @@ def connected_components(vertices: DataFrame | None, edges: DataFrame, max_round
 
 def epsilon_forest(vectors: DataFrame, eps: float, id_col: str = "vec_id", vec_col: str = "embedding",
                    metric: str = "cosine") -> DataFrame:
-    """Edges with the connectivity of the eps-graph: inside a block at most one
-    for each point, between two blocks at most one for each of their components
-    (so a dense group of m points gives about m edges and one for each pair of its
-    blocks, not m^2)."""
+    """Edges with the connectivity of the eps-graph: of each task at most one for
+    each point that it holds or that comes to it (so a dense group of m points gives
+    about m edges for each row and column of the grid, not m^2)."""
     e = _within_eps(vectors, eps, id_col, vec_col, metric, forest=True).select("src", "dst")
     return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 

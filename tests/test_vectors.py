@@ -127,3 +127,49 @@ def test_chunks_hold_every_header():
     cells, chunks, of = N._chunks(have)
     assert (np.diff(chunks) >= 0).all() and set(zip(cells.tolist(), chunks.tolist())) == {(c, a + k) for c, (a, n) in of.items() for k in range(n)}
     assert of[7][1] == 4 and not {c for c, at in zip(cells, chunks) if c != 7} & {7} and set(chunks.tolist()) == set(range(max(chunks) + 1))
+
+
+def test_knn_search_answers_once_for_each_point_and_task(spark):
+    pts = np.random.default_rng(5).standard_normal((2000, 16))
+    blocks = N.lay_out(V._points(frame(spark, pts), "vec_id", "embedding", "cosine"), 5)
+    _, columns = N.grid(blocks, 2 * spark.sparkContext.defaultParallelism)
+    assert N.within(blocks, "cosine", 5).count() <= 5 * 2000 * columns
+
+
+def tile_block(x, ids, bound):
+    centre = x.mean(axis=0)
+    return {"n": len(x), "ids": ids, "rows": x, "centre": centre, "radius": float(np.sqrt(((x - centre) ** 2).sum(1).max())), "bounds": np.full(len(x), bound)}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e25])
+def test_tile_of_nearest_against_brute_force(scale):
+    """Also far from the origin, with ties and copies, and beyond float32's range."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.standard_normal((300, 7)), rng.integers(0, 3, (300, 7)) + 100.0]) * scale
+    ids = rng.permutation(len(x)).astype(np.int64)
+    d = N.exact(x, x, "euclidean")[1]
+    tile = N.Nearest([tile_block(x[a : a + 100], ids[a : a + 100], np.inf) for a in (0, 300)], (x.mean(axis=0), 200.0 * scale), 1e-6 * scale, "euclidean", 6)
+    for a in range(0, 600, 75):
+        tile.look(tile_block(x[a : a + 75], ids[a : a + 75], np.inf))
+    src, dst, dist = tile.last()
+    at = [*range(100), *range(300, 400)]
+    want = {(int(ids[i]), int(ids[j])) for i in at for j in [j for j in np.lexsort((ids, d[i])) if j != i][:6]}
+    assert set(zip(src.tolist(), dst.tolist())) == want and np.isfinite(dist).all()
+
+
+def test_points_that_meet_the_largest_component_are_done():
+    x = np.random.default_rng(7).uniform(0, 1, (4000, 3))
+    ids = np.arange(4000)
+    tile = N.Forest([tile_block(x[:2000], ids[:2000], 0.5)], (x.mean(axis=0), 2.0), 1e-6, "euclidean")
+    compared, near = [], tile.near
+
+    def counted(at, came, columns=None):
+        compared.append(len(at) * len(came.y if columns is None else columns))
+        return near(at, came, columns)
+
+    tile.near = counted
+    for a in range(2000, 4000, 200):
+        tile.look(tile_block(x[a : a + 200], ids[a : a + 200], 0.5))
+    src, dst = tile.last()
+    assert len(src) == 3999 and sum(compared) < 2000 * 2000 / 2
+    assert len({(a, b) for a, b in zip(*V._star_forest(src, dst))}) == 3999
